@@ -6,6 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
+from .text import strip
+
 # Field names the service answers with.
 POST_LABEL, POST_LABEL_SPACED = "게시글_감정", "게시글 감정"
 COMMENT_LABELS, COMMENT_TEXT, COMMENT_LABEL = "댓글_분석", "내용", "감정"
@@ -24,7 +26,7 @@ REPLY_SCHEMA = StructType([
 
 def strip_json_fence(c: Column) -> Column:
     """Remove the code fence a reply may be wrapped in."""
-    return F.regexp_replace(F.trim(c), r"```json\s*([\s\S]*?)\s*```", "$1")
+    return F.regexp_replace(strip(c), r"```json\s*([\s\S]*?)\s*```", "$1")
 
 
 def parse_sentiment_json(c: Column, lenient: bool = False) -> Column:

@@ -79,8 +79,11 @@ def with_batch_partitions(df: DataFrame) -> DataFrame:
 
 
 def land_partitioned(df: DataFrame, path: str, mode: str = "append") -> None:
-    """Many batches in one job, partitioned by batch time for pruning."""
-    with_batch_partitions(df).write.mode(mode).partitionBy(*PARTITIONS).parquet(path)
+    """Many batches in one job, partitioned by batch time for pruning.
+
+    Rows are gathered by batch first, which keeps files few; a huge batch is split.
+    """
+    with_batch_partitions(df).hint("rebalance", *PARTITIONS).write.mode(mode).partitionBy(*PARTITIONS).parquet(path)
 
 
 def scan_partitioned(spark: SparkSession, path: str, checked_at: str | None = None) -> DataFrame:

@@ -26,6 +26,7 @@ def write_summary(summary: DataFrame, root: str, checked_at: str) -> str:
 def load_append(df: DataFrame, table: str, idempotent: bool = False) -> None:
     """Append rows to a warehouse table (a Parquet folder), partitioned by batch.
 
+    Rows are gathered by batch first, which keeps files few; a huge batch is split.
     ``idempotent`` replaces the batches found in ``df`` instead, so that a repeated load
     of a batch leaves the table as after the first.
     """
@@ -33,7 +34,7 @@ def load_append(df: DataFrame, table: str, idempotent: bool = False) -> None:
         "batch_date": F.to_date("checked_at"),
         "batch_time": F.date_format("checked_at", "HHmmss"),
     })
-    writer = parts.write.partitionBy("batch_date", "batch_time")
+    writer = parts.hint("rebalance", "batch_date", "batch_time").write.partitionBy("batch_date", "batch_time")
     if idempotent:
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     else:

@@ -29,7 +29,6 @@ def stream_summary(rows: DataFrame, lexicon: Lexicon = DEFAULT_LEXICON, lateness
         timed.withWatermark("checked_at", lateness)
         .groupBy(F.window("checked_at", every))
         .agg(*sentiment_metrics(), *mention_totals(lexicon))
-        .withColumn("period", F.col("window.start").cast("timestamp_ntz"))
+        .select(F.col("window.start").cast("timestamp_ntz").alias("period"), "*")
         .drop("window")
-        .select("period", "*")
     )
