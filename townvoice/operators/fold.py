@@ -18,13 +18,13 @@ BASE, FORCED, HIT = 0, 1, 2  # row kinds, in the order they apply at one positio
 
 ORDER = ["at", "seq", "kind"]
 COLUMNS = [
-    "platform", "url", *ORDER, "status", "view", "comment_count", "created_at", "checked_at", "blank",
+    "platform", "url", *ORDER, "status", "view", "comment_count", "created_at", "checked_at", "blank", "post_id", "words",
 ]
 OUTCOME_SCHEMA = (
     "platform string, url string, at timestamp_ntz, seq bigint, kind int, n int, role string, "
     "view_low bigint, view_high bigint, count_low bigint, count_high bigint, "
     "view int, comment_count int, status string, created_at timestamp_ntz, checked_at timestamp_ntz, "
-    "blank_at timestamp_ntz, blank_seq bigint"
+    "blank_at timestamp_ntz, blank_seq bigint, post_id string, words string"
 )
 OUTCOME_COLUMNS = [part.strip().split(" ")[0] for part in OUTCOME_SCHEMA.split(",")]
 TIMES = ["at", "created_at", "checked_at", "blank_at"]
@@ -43,6 +43,7 @@ class Run:
         self.unstable = None  # last (status, checked_at) met by an entry state that never fired
         self.known = None  # the state once it no longer depends on the entry state
         self.from_base = False
+        self.words = []  # rows that only carry post_id and keywords along
 
     def fires(self, state: dict, view: int, count: int) -> bool:
         fallen = state["view"] - view
@@ -111,8 +112,12 @@ class Run:
                 merged.append(entry)
         self.entries = merged
 
+    def note(self, at: int, seq: int, kind: int, post_id: str, words: str) -> None:
+        self.words.append((*self.key, at, seq, kind, 0, "words", *[None] * 11, post_id, words))
+
     def outcomes(self) -> Iterator[tuple]:
         """Rows telling how any entry state leaves this range."""
+        yield from self.words
         if not self.from_base:
             for n, (*interval, state) in enumerate(self.entries):
                 yield self.row(n, "entry", interval, state)
@@ -126,7 +131,7 @@ class Run:
         blank_at, blank_seq = s["blank"] or (None, None)
         return (
             *self.key, *self.start, n, role, *interval, s["view"], s["comment_count"], s["status"],
-            s["created_at"], s["checked_at"], blank_at, blank_seq,
+            s["created_at"], s["checked_at"], blank_at, blank_seq, None, None,
         )
 
 
@@ -161,14 +166,16 @@ def fold_ranges(threshold: int, documented: bool):
                 batch["platform"].tolist(), batch["url"].tolist(), micros(batch["at"]), integers(batch["seq"]),
                 batch["kind"].tolist(), batch["status"].tolist(), integers(batch["view"]),
                 integers(batch["comment_count"]), micros(batch["created_at"]), micros(batch["checked_at"]),
-                batch["blank"].tolist(),
+                batch["blank"].tolist(), batch["post_id"].tolist(), batch["words"].tolist(),
             )
-            for platform, url, at, seq, kind, status, view, count, created, checked, blank in zip(*columns):
+            for platform, url, at, seq, kind, status, view, count, created, checked, blank, post_id, words in zip(*columns):
                 if run is None or run.key != (platform, url):
                     if run is not None:
                         done.extend(run.outcomes())
                     run = Run((platform, url), (at, seq, kind), threshold, documented)
                 run.add(kind, status, view, count, created, checked, blank, (at, seq))
+                if kind != HIT:
+                    run.note(at, seq, kind, post_id, words)
             if done:
                 yield to_frame(done)
                 done = []

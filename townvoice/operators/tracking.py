@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import TRACKING_SCHEMA
-from .fold import BASE, COLUMNS, FORCED, HIT, OUTCOME_SCHEMA, fold_ranges
+from ..session import materialize
+from .fold import BASE, COLUMNS, FORCED, HIT, OUTCOME_COLUMNS, OUTCOME_SCHEMA, fold_ranges
 
 KEY = ["platform", "url"]
 UNSTABLE = ["FAILED", "BANNED"]
@@ -37,74 +38,108 @@ def tracking_upsert(tracking: DataFrame | None, hits: DataFrame, threshold: int
     """
     if threshold < 0 or rule not in ("literal", "documented"):
         raise ValueError("threshold must not be negative, rule must be literal or documented")
-    position = F.struct(F.col("checked_at").alias("at"), "seq")
     figures = [F.col(name).isNotNull() for name in ("comment_count", "view", "created_at", "keyword")]
     has_figures = figures[0] & figures[1] & figures[2] & figures[3]
     unstable = F.col("status").isin(UNSTABLE)
     known = hits.filter(
         F.col("url").isNotNull() & F.col("checked_at").isNotNull() & F.col("status").isNotNull() & (unstable | has_figures)
     )
-    complete = has_figures & F.col("post_id").isNotNull()
-
-    inserts = known.filter(complete).groupBy(*KEY).agg(
-        F.min_by(F.struct("post_id", *STATE, F.array("keyword").alias("keywords")), position).alias("state"),
-        F.min(position).alias("position"),
-    )
-    base = inserts.select(*KEY, "position", "state.*")
-    if tracking is not None:
-        stored = tracking.select(*KEY, F.struct("post_id", *STATE, F.array_distinct("keywords").alias("keywords")).alias("stored"))
-        both = stored.alias("t").join(inserts.alias("i"), same_key("t", "i"), "full")
-        base = both.select(
-            *[F.coalesce(F.col(f"t.{name}"), F.col(f"i.{name}")).alias(name) for name in KEY],
-            F.when(F.col("t.stored").isNull(), F.col("i.position")).alias("position"),
-            F.coalesce("t.stored", "i.state").alias("state"),
-        ).select(*KEY, "position", "state.*")
-
-    # A hit without post_id cannot insert, so it counts only after its URL is known.
-    sighted = known.filter(~unstable & (F.col("keyword") != ""))
-    late = (
-        sighted.filter(F.col("post_id").isNull()).alias("h")
-        .join(base.select(*KEY, F.col("position").alias("_known")).alias("b"), same_key("h", "b"))
-        .filter(F.col("_known").isNull() | (F.struct(F.col("h.checked_at").alias("at"), F.col("h.seq").alias("seq")) > F.col("_known")))
-        .select("h.*")
-    )
-    sightings = sighted.filter(F.col("post_id").isNotNull()).unionByName(late)
-    firsts = sightings.groupBy(*KEY, "keyword").agg(
-        F.min_by(F.struct(*STATE), position).alias("state"), F.min(position).alias("position")
+    own = F.struct(F.col("checked_at").alias("at"), F.coalesce("seq", F.lit(0)).alias("seq"), *STATE, "post_id")
+    insertable, sighted = F.col("post_id").isNotNull(), ~unstable & (F.col("keyword") != "")
+    # A small table, one row per (url, keyword), used several times below.
+    seen = materialize(
+        known.filter(has_figures).groupBy(*KEY, "keyword").agg(
+            F.min(F.when(insertable, own)).alias("insert"),
+            F.min(F.when(sighted, own)).alias("any"),
+            F.min(F.when(sighted & insertable, own)).alias("full"),
+        ),
+        "sightings",
     )
-    forced = (
-        firsts.alias("f")
-        .join(base.select(*KEY, F.col("keywords").alias("_known")).alias("b"), same_key("f", "b"))
-        .filter(~F.array_contains("_known", F.col("keyword")))
-        .select("f.*")
+    late = late_sightings(known.filter(sighted & ~insertable).withColumn("own", own), seen)
+    per_keyword = seen.alias("s").join(
+        late.alias("l"), same_key("s", "l") & (F.col("s.keyword") == F.col("l.keyword")), "left"
     )
-
-    def rows(df: DataFrame, kind: int, at: Column, seq: Column, state: str, blank: Column) -> DataFrame:
-        return df.select(
-            *KEY, at.alias("at"), F.coalesce(seq, F.lit(0)).alias("seq"), F.lit(kind).alias("kind"),
-            *[F.col(f"{state}{name}").alias(name) for name in STATE], blank.alias("blank"),
-        ).select(*COLUMNS)
-
-    no = F.lit(False)
-    stream = (
-        rows(base, BASE, F.col("position.at"), F.col("position.seq"), "", no)
-        .unionByName(rows(forced, FORCED, F.col("position.at"), F.col("position.seq"), "state.", no))
-        .unionByName(rows(known, HIT, F.col("checked_at"), F.col("seq"), "", F.coalesce(F.col("keyword") == "", no)))
+    found = per_keyword.groupBy("s.platform", "s.url").agg(
+        F.min_by(F.struct("insert", F.array("s.keyword").alias("keywords")), "insert").alias("first"),
+        F.collect_list(F.struct("s.keyword", "any", "full", "late")).alias("sightings"),
     )
     order = [F.col(name).asc_nulls_first() for name in (*KEY, "at", "seq", "kind")]
+    hit_rows = known.withColumn("own", own).select(
+        *KEY, F.lit(HIT).alias("kind"), "own.*", F.coalesce(F.col("keyword") == "", F.lit(False)).alias("blank"),
+        F.lit(None).cast("string").alias("words"),
+    )
+    stream = start_rows(tracking, found).select(*COLUMNS).unionByName(hit_rows.select(*COLUMNS))
     outcomes = (
         stream.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .mapInPandas(fold_ranges(threshold, rule == "documented"), OUTCOME_SCHEMA)
     )
-    names = [name.split()[0] for name in OUTCOME_SCHEMA.split(", ")][2:]
-    folded = outcomes.groupBy(*KEY).agg(
-        combine(F.array_sort(F.collect_list(F.struct(*names))), threshold, rule).alias("final")
+    return final_state(outcomes, threshold, rule)
+
+
+def late_sightings(strays: DataFrame, seen: DataFrame) -> DataFrame:
+    """First sightings among hits that cannot insert, where some came before the insert.
+
+    Only a hit after its URL is known counts. The plain minimum answers that unless it
+    lies before the insert; for those few (url, keyword) the hits are looked at again.
+    """
+    known_from = F.min("insert").over(Window.partitionBy(*KEY))
+    early = seen.withColumn("known_from", known_from).filter(F.col("any") < F.col("known_from"))
+    return (
+        strays.alias("h")
+        .join(early.alias("e"), same_key("h", "e") & (F.col("h.keyword") == F.col("e.keyword")))
+        .filter(F.col("h.own") > F.col("known_from"))
+        .groupBy("h.platform", "h.url", "h.keyword")
+        .agg(F.min("h.own").alias("late"))
+    )
+
+
+def start_rows(tracking: DataFrame | None, found: DataFrame) -> DataFrame:
+    """The rows every URL's fold is sure of: its first state and its new keywords."""
+    figures = ["at", "seq", *STATE, "post_id"]
+    if tracking is None:
+        both = found.select(*KEY, F.lit(None).cast("int").alias("stored"), "first", "sightings")
+        base = F.struct(*[F.col(f"first.insert.{name}").alias(name) for name in figures])
+        keywords, stored = F.col("first.keywords"), F.lit(False)
+    else:
+        kept = tracking.select(*KEY, F.struct(*STATE, "post_id", "keywords").alias("stored"))
+        joined = kept.alias("t").join(found.alias("f"), same_key("t", "f"), "full")
+        both = joined.select(
+            *[F.coalesce(F.col(f"t.{name}"), F.col(f"f.{name}")).alias(name) for name in KEY], "stored", "first", "sightings"
+        )
+        stored = F.col("stored").isNotNull()
+        old = {"at": F.lit(None).cast("timestamp_ntz"), "seq": F.lit(0).cast("bigint")}
+        old.update({name: F.col(f"stored.{name}") for name in (*STATE, "post_id")})
+        base = F.struct(*[
+            F.when(stored, old[name]).otherwise(F.col(f"first.insert.{name}")).alias(name) for name in figures
+        ])
+        keywords = F.when(stored, F.col("stored.keywords")).otherwise(F.col("first.keywords"))
+
+    def earliest(s: Column) -> Column:
+        sure = stored | (s["any"] >= F.col("first.insert"))
+        return F.when(sure, s["any"]).otherwise(F.least(s["full"], s["late"]))
+
+    def row(kind: int, s: Column, words: Column) -> Column:
+        return F.struct(
+            F.lit(kind).alias("kind"), *[s[name].alias(name) for name in figures], F.to_json(words).alias("words")
+        )
+
+    new = F.filter(
+        F.transform(F.coalesce("sightings", F.array()), lambda s: F.struct(s["keyword"].alias("keyword"), earliest(s).alias("own"))),
+        lambda s: s["own"].isNotNull() & ~F.array_contains("_keywords", s["keyword"]),
+    )
+    rows = F.concat(
+        F.array(row(BASE, F.col("_base"), F.col("_keywords"))),
+        F.transform("_new", lambda s: row(FORCED, s["own"], F.array(s["keyword"]))),
     )
-    added = forced.groupBy(*KEY).agg(
-        F.collect_list(F.struct(F.col("position.at").alias("at"), F.col("position.seq").alias("seq"), "keyword")).alias("added")
+    return (
+        both.withColumns({"_base": base, "_keywords": keywords})
+        # Without a stored state or a hit that can insert, the URL stays unknown.
+        .filter(F.col("_base.status").isNotNull())
+        .withColumn("_new", new)
+        .select(*KEY, F.inline(rows))
+        .withColumn("blank", F.lit(False))
     )
-    return with_keywords(base, folded, added)
 
 
 STATE_TYPE = (
@@ -144,27 +179,37 @@ def combine(outcomes: Column, threshold: int, rule: str) -> Column:
     return F.aggregate(outcomes, F.lit(None).cast(STATE_TYPE), step)
 
 
-def with_keywords(base: DataFrame, folded: DataFrame, added: DataFrame) -> DataFrame:
-    joined = (
-        base.select(*KEY, "post_id", "keywords").alias("b")
-        .join(folded.alias("f"), same_key("b", "f"))
-        .join(added.alias("a"), same_key("b", "a"), "left")
+def final_state(outcomes: DataFrame, threshold: int, rule: str) -> DataFrame:
+    """One row per URL from the outcomes of its ranges and the keywords it met.
+
+    What is collected per URL is its keywords and the outcomes of the ranges it was cut
+    into, never its hits.
+    """
+    names = [name for name in OUTCOME_COLUMNS if name not in KEY]
+    rows = outcomes.groupBy(*KEY).agg(F.array_sort(F.collect_list(F.struct(*names))).alias("rows"))
+    steps = F.filter("rows", lambda o: o["role"] != "words")
+    notes = F.transform(
+        F.filter("rows", lambda o: o["role"] == "words"),
+        lambda o: F.struct(o["at"].alias("at"), o["seq"].alias("seq"), o["words"].alias("words")),
     )
     final = F.col("final")
     blank = F.when(
-        final["blank_seq"].isNotNull() | final["blank_at"].isNotNull(),
-        F.array(F.struct(final["blank_at"].alias("at"), final["blank_seq"].alias("seq"), F.lit("").alias("keyword"))),
+        final["blank_at"].isNotNull(),
+        F.array(F.struct(final["blank_at"].alias("at"), final["blank_seq"].alias("seq"), F.lit('[""]').alias("words"))),
+    ).otherwise(F.filter("notes", lambda _: F.lit(False)))
+    met = F.transform(F.array_sort(F.concat("notes", blank)), lambda n: F.from_json(n["words"], "array<string>"))
+    return (
+        rows.select(
+            *KEY,
+            combine(steps, threshold, rule).alias("final"),
+            notes.alias("notes"),
+            F.array_max(F.transform("rows", lambda o: o["post_id"])).alias("post_id"),
+        )
+        .select(*KEY, F.array_distinct(F.flatten(met)).alias("keywords"), "post_id", *[final[name].alias(name) for name in STATE])
+        # Hits of URLs that never became known leave outcomes, but no state.
+        .filter(F.col("status").isNotNull())
+        .select(*TRACKING_SCHEMA.names)
     )
-    none = F.array().cast("array<struct<at:timestamp_ntz,seq:bigint,keyword:string>>")
-    new = F.array_sort(F.concat(F.coalesce("added", none), F.coalesce(blank, none)))
-    keywords = F.array_distinct(F.concat("keywords", F.transform(new, lambda k: k["keyword"])))
-    return joined.select(
-        F.col("b.platform").alias("platform"),
-        F.col("b.url").alias("url"),
-        keywords.alias("keywords"),
-        "post_id",
-        *[final[name].alias(name) for name in STATE],
-    ).select(*TRACKING_SCHEMA.names)
 
 
 def status_transition(tracking: DataFrame, changes: DataFrame) -> DataFrame:
