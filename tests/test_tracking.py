@@ -207,3 +207,36 @@ def test_rollback(spark):
     urls = tracking.filter("url = '/a'").unionByName(tracking.filter("url = '/a'"))
     out = {r.url: r.status for r in T.failed_write_rollback(tracking, urls, "CHANGED").collect()}
     assert out == {"/a": "CHANGED", "/b": "UNCHANGED"}
+
+
+def test_urls_without_hits_keep_their_row(spark):
+    tracking = frame(spark, [state("/quiet", keywords=["x", "x"]), state("/hit"), state("/banned")], TRACKING_SCHEMA)
+    hits = frame(spark, [
+        hit(url="/hit", view=5, keyword="new", minute=1), hit(url="/new", minute=1),
+        hit(url="/banned", status="BANNED", post_id=None, view=None, comment_count=None, keyword=None, created_at=None, minute=2),
+        hit(url="/unknown", post_id=None, minute=1),
+    ])
+    out = {url: dict(zip(TRACKING_SCHEMA.names, row)) for (_, url), row in result(T.tracking_upsert(tracking, hits)).items()}
+    assert set(out) == {"/quiet", "/hit", "/new", "/banned"}
+    assert out["/quiet"]["keywords"] == ("x",) and out["/quiet"]["view"] == 10
+    assert out["/hit"]["keywords"] == ("k", "new") and out["/hit"]["view"] == 5
+    assert (out["/banned"]["status"], out["/banned"]["checked_at"], out["/banned"]["view"]) == ("BANNED", T0 + timedelta(minutes=2), 10)
+
+
+def test_stream_applies_every_batch_once(spark, tmp_path):
+    """A replayed micro-batch starts from the version before it; old versions go."""
+    from townvoice.streaming.tracking import _versions, read_tracking, stream_tracking
+
+    root = str(tmp_path)
+    expected = []
+    for n in range(4):
+        rows = [hit(url="/a", view=1000 - 200 * n, minute=n, keyword=f"k{n}", seq=n)]
+        expected += rows
+        frame(spark, rows).write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(HITS_SCHEMA).parquet(f"{root}/in")
+        stream_tracking(stream, f"{root}/out", f"{root}/check", keep=2).awaitTermination()
+    assert list(_versions(spark, f"{root}/out")) == [2, 3]
+    assert result(read_tracking(spark, f"{root}/out")) == plain_upsert([], expected, 100, False)
+    before = read_tracking(spark, f"{root}/out", before=3)
+    again = T.tracking_upsert(before, frame(spark, expected[3:]))
+    assert result(again) == plain_upsert([], expected, 100, False)

@@ -4,6 +4,10 @@ A mention is the presence of a term in a row, case-sensitive, not its number of
 occurrences. All figures come from one aggregation over one scan: each task keeps
 one partial row per batch, so neither the number of rows nor a hot batch matters to
 the shuffle.
+
+Every operator takes rows with their content, or rows that already went through
+:func:`keyword_flags`. Flag first and drop the content when something has to be joined
+to the rows before summing: then the texts are not shuffled.
 """
 
 from __future__ import annotations
@@ -47,6 +51,12 @@ def keyword_flags(df: DataFrame, lexicon: Lexicon = DEFAULT_LEXICON, content: st
     return df.select("*", *[mentions(term, content).alias(f"{name}_count") for _, term, name in lexicon])
 
 
+def flag(df: DataFrame, term: str, name: str) -> Column:
+    """The term's flag: its column where the rows have it, else worked out here."""
+    column = f"{name}_count"
+    return F.col(column) if column in df.columns else mentions(term)
+
+
 def sentiment_metrics() -> list[Column]:
     return [
         F.sum("view").alias("total_views"),
@@ -55,8 +65,8 @@ def sentiment_metrics() -> list[Column]:
     ]
 
 
-def mention_totals(lexicon: Lexicon, content: str = "content") -> list[Column]:
-    return [F.sum(mentions(term, content)).alias(f"{name}_total_count") for _, term, name in lexicon]
+def mention_totals(df: DataFrame, lexicon: Lexicon) -> list[Column]:
+    return [F.sum(flag(df, term, name)).alias(f"{name}_total_count") for _, term, name in lexicon]
 
 
 def sentiment_summary(df: DataFrame) -> DataFrame:
@@ -65,7 +75,7 @@ def sentiment_summary(df: DataFrame) -> DataFrame:
 
 
 def category_totals(df: DataFrame, category: str, lexicon: Lexicon = DEFAULT_LEXICON) -> DataFrame:
-    return df.agg(*mention_totals(of_category(lexicon, category)))
+    return df.agg(*mention_totals(df, of_category(lexicon, category)))
 
 
 def accident_totals(df: DataFrame, lexicon: Lexicon = DEFAULT_LEXICON) -> DataFrame:
@@ -91,17 +101,17 @@ def stamp_checked_at(summary: DataFrame, checked_at: str) -> DataFrame:
 
 def batch_summary(df: DataFrame, checked_at: str, lexicon: Lexicon = DEFAULT_LEXICON) -> DataFrame:
     """The whole summary of one batch in one row. An empty batch still gives a row."""
-    return stamp_checked_at(df.agg(*sentiment_metrics(), *mention_totals(lexicon)), checked_at)
+    return stamp_checked_at(df.agg(*sentiment_metrics(), *mention_totals(df, lexicon)), checked_at)
 
 
 def summary_history(df: DataFrame, lexicon: Lexicon = DEFAULT_LEXICON) -> DataFrame:
     """One summary row per batch time found in the data."""
-    return df.groupBy("checked_at").agg(*sentiment_metrics(), *mention_totals(lexicon))
+    return df.groupBy("checked_at").agg(*sentiment_metrics(), *mention_totals(df, lexicon))
 
 
 def keyword_long(df: DataFrame, lexicon: Lexicon = DEFAULT_LEXICON) -> DataFrame:
     """Totals as rows (category, name, total); terms never mentioned have total 0."""
-    totals = df.agg(*[F.coalesce(F.sum(mentions(term)), F.lit(0).cast("bigint")).alias(name) for _, term, name in lexicon])
+    totals = df.agg(*[F.coalesce(F.sum(flag(df, term, name)), F.lit(0).cast("bigint")).alias(name) for _, term, name in lexicon])
     entries = F.array(*[
         F.struct(F.lit(category).alias("category"), F.lit(name).alias("name"), F.col(name).alias("total"))
         for category, _, name in lexicon

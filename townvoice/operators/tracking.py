@@ -48,13 +48,19 @@ def tracking_upsert(tracking: DataFrame | None, hits: DataFrame, threshold: int
     insertable, sighted = F.col("post_id").isNotNull(), ~unstable & (F.col("keyword") != "")
     # A small table, one row per (url, keyword), used several times below.
     seen = materialize(
-        known.filter(has_figures).groupBy(*KEY, "keyword").agg(
-            F.min(F.when(insertable, own)).alias("insert"),
-            F.min(F.when(sighted, own)).alias("any"),
-            F.min(F.when(sighted & insertable, own)).alias("full"),
+        known.groupBy(*KEY, "keyword").agg(
+            F.min(F.when(has_figures & insertable, own)).alias("insert"),
+            F.min(F.when(has_figures & sighted, own)).alias("any"),
+            F.min(F.when(has_figures & sighted & insertable, own)).alias("full"),
         ),
         "sightings",
     )
+    touched = untouched = None
+    if tracking is not None:
+        # URLs without a hit keep their row and stay out of the fold.
+        urls = seen.select(*KEY).distinct().alias("u")
+        touched = tracking.alias("t").join(urls, same_key("t", "u"), "left_semi")
+        untouched = tracking.alias("t").join(urls, same_key("t", "u"), "left_anti")
     late = late_sightings(known.filter(sighted & ~insertable).withColumn("own", own), seen)
     per_keyword = seen.alias("s").join(
         late.alias("l"), same_key("s", "l") & (F.col("s.keyword") == F.col("l.keyword")), "left"
@@ -68,13 +74,17 @@ def tracking_upsert(tracking: DataFrame | None, hits: DataFrame, threshold: int
         *KEY, F.lit(HIT).alias("kind"), "own.*", F.coalesce(F.col("keyword") == "", F.lit(False)).alias("blank"),
         F.lit(None).cast("string").alias("words"),
     )
-    stream = start_rows(tracking, found).select(*COLUMNS).unionByName(hit_rows.select(*COLUMNS))
+    stream = start_rows(touched, found).select(*COLUMNS).unionByName(hit_rows.select(*COLUMNS))
     outcomes = (
         stream.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .mapInPandas(fold_ranges(threshold, rule == "documented"), OUTCOME_SCHEMA)
     )
-    return final_state(outcomes, threshold, rule)
+    folded = final_state(outcomes, threshold, rule)
+    if untouched is None:
+        return folded
+    kept = untouched.withColumn("keywords", F.array_distinct("keywords")).select(*TRACKING_SCHEMA.names)
+    return folded.unionByName(kept)
 
 
 def late_sightings(strays: DataFrame, seen: DataFrame) -> DataFrame:
@@ -113,7 +123,7 @@ def start_rows(tracking: DataFrame | None, found: DataFrame) -> DataFrame:
         base = F.struct(*[
             F.when(stored, old[name]).otherwise(F.col(f"first.insert.{name}")).alias(name) for name in figures
         ])
-        keywords = F.when(stored, F.col("stored.keywords")).otherwise(F.col("first.keywords"))
+        keywords = F.when(stored, F.array_distinct("stored.keywords")).otherwise(F.col("first.keywords"))
 
     def earliest(s: Column) -> Column:
         sure = stored | (s["any"] >= F.col("first.insert"))

@@ -13,6 +13,7 @@ from ..sources import adapters as A
 from ..sources import landing, sinks
 from . import views as V
 from .registry import query
+from .summaries import flagged
 
 CHECKED_AT = A.BATCH.replace(" ", "T")
 AS_INT = r"case when regexp_full_match({0}, '[+-]?\d+') then cast({0} as bigint) end"
@@ -94,8 +95,7 @@ def write_curated(spark, sf):
 
 @query("write_summary", V.with_views(V.merged(), f"select timestamp '{A.BATCH}' as checked_at, {V.BASE_METRICS}, {V.totals(A.LATIN_LEXICON)} from merged"))
 def write_summary(spark, sf):
-    merged = S.union_posts_comments(A.posts(spark, sf), A.comments(spark, sf))
-    summary = S.batch_summary(merged, A.BATCH, A.LATIN_LEXICON)
+    summary = S.batch_summary(flagged(spark, sf, A.LATIN_LEXICON), A.BATCH, A.LATIN_LEXICON)
     return spark.read.parquet(sinks.write_summary(summary, shared_path(spark, "curated"), CHECKED_AT))
 
 

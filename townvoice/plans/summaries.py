@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..lexicon import DEFAULT_LEXICON, of_category
 from ..operators import rollup as R
 from ..operators import summary as S
@@ -18,8 +20,17 @@ def merged(spark, sf, many=False):
     return S.union_posts_comments(A.posts(spark, sf, many), A.comments(spark, sf, many))
 
 
+def flagged(spark, sf, lexicon, many=False):
+    """Posts and comments with term flags for their content, so no join moves texts."""
+
+    def flag(rows):
+        return S.keyword_flags(rows, lexicon).drop("content")
+
+    return S.union_posts_comments(A.posts(spark, sf, many, flag), flag(A.comments(spark, sf, many)))
+
+
 def history(spark, sf):
-    return S.summary_history(merged(spark, sf, True), A.LATIN_LEXICON)
+    return S.summary_history(flagged(spark, sf, A.LATIN_LEXICON, True), A.LATIN_LEXICON)
 
 
 def stored_history(spark, sf):
@@ -32,12 +43,12 @@ HISTORY_SQL = f"{V.merged(True)},\nhistory as (select checked_at, {V.BASE_METRIC
 
 @query("batch_summary", V.with_views(V.merged(), f"select timestamp '{A.BATCH}' as checked_at, {V.BASE_METRICS}, {V.totals(DEFAULT_LEXICON)} from merged"))
 def batch_summary(spark, sf):
-    return S.batch_summary(merged(spark, sf), A.BATCH)
+    return S.batch_summary(flagged(spark, sf, DEFAULT_LEXICON), A.BATCH)
 
 
 @query("batch_summary_latin", V.with_views(V.merged(), f"select timestamp '{A.BATCH}' as checked_at, {V.BASE_METRICS}, {V.totals(A.LATIN_LEXICON)} from merged"))
 def batch_summary_latin(spark, sf):
-    return S.batch_summary(merged(spark, sf), A.BATCH, A.LATIN_LEXICON)
+    return S.batch_summary(flagged(spark, sf, A.LATIN_LEXICON), A.BATCH, A.LATIN_LEXICON)
 
 
 @query("sentiment_summary", V.with_views(V.merged(), f"select {V.BASE_METRICS} from merged"))
@@ -64,15 +75,18 @@ FLAGS = ", ".join(f"{V.flag(term)} as {name}_count" for _, term, name in ALL_TER
 
 @query("keyword_flags", V.with_views(V.merged(), f"select platform, post_id, length(content) as n, {FLAGS} from merged"))
 def keyword_flags(spark, sf):
-    from pyspark.sql import functions as F
+    def measure(rows):
+        length = F.length("content").cast("bigint").alias("n")
+        return S.keyword_flags(rows.select("*", length), ALL_TERMS).drop("content")
 
-    rows = merged(spark, sf).select("platform", "post_id", F.length("content").cast("bigint").alias("n"), "content")
-    return S.keyword_flags(rows, ALL_TERMS).drop("content")
+    rows = S.union_posts_comments(A.posts(spark, sf, prepare=measure), measure(A.comments(spark, sf)))
+    return rows.select("platform", "post_id", "n", *[f"{name}_count" for _, _, name in ALL_TERMS])
 
 
 def _category(name, operator, category):
-    sql = V.with_views(V.merged(), f"select {V.totals(of_category(ALL_TERMS, category))} from merged")
-    query(name, sql)(lambda spark, sf: operator(merged(spark, sf), ALL_TERMS))
+    terms = of_category(ALL_TERMS, category)
+    sql = V.with_views(V.merged(), f"select {V.totals(terms)} from merged")
+    query(name, sql)(lambda spark, sf: operator(flagged(spark, sf, terms), ALL_TERMS))
 
 
 _category("accident_totals", S.accident_totals, "accident")
@@ -94,7 +108,7 @@ LONG = "\nunion all\n".join(
 
 @query("keyword_long", V.with_views(V.merged(), LONG))
 def keyword_long(spark, sf):
-    return S.keyword_long(merged(spark, sf), ALL_TERMS)
+    return S.keyword_long(flagged(spark, sf, ALL_TERMS), ALL_TERMS)
 
 
 def _rollup(name, unit):
@@ -139,7 +153,7 @@ POST_COLUMNS = 'platform, title, post_id, url, content, "view", created_at, "lik
 
 @query("project_posts", V.with_views(V.posts(), f"select {POST_COLUMNS} from posts"))
 def project_posts(spark, sf):
-    return S.project_posts(A.posts(spark, sf).withColumn("extra", A.checked_at(S.F.lit(1), False)))
+    return S.project_posts(A.posts(spark, sf).withColumn("extra", F.lit(1)))
 
 
 @query("align_columns", V.with_views(V.merged(), f"select {', '.join(sorted(POST_COLUMNS.split(', '), key=lambda c: c.strip(chr(34))))} from merged where platform is null"))

@@ -6,9 +6,13 @@ it scales with that table and groups nothing.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..schemas import POSTS_SCHEMA
+
 BATCH = "2025-02-24 13:45:03"
 NOW = "2025-02-24 13:45:03"
 SITES = ("bobaedream", "clien", "dcinside")
@@ -43,11 +47,12 @@ def site(key: Column) -> Column:
     return F.element_at(F.array(*[F.lit(name) for name in SITES]), (key % 3 + 1).cast("int"))
 
 
-def posts(spark: SparkSession, sf_dir: str, many: bool = False) -> DataFrame:
-    documents = table(spark, sf_dir, "documents")
-    labels = table(spark, sf_dir, "labels")
+def posts(spark: SparkSession, sf_dir: str, many: bool = False, prepare: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Documents with their labels. ``prepare`` is applied before the labels are joined,
+    for work that can shrink the rows the join may have to shuffle."""
     key = F.col("doc_id")
-    return documents.join(labels, "doc_id", "left").select(
+    rows = table(spark, sf_dir, "documents").select(
+        key,
         F.col("source").alias("platform"),
         F.substring("text", 1, 40).alias("title"),
         key.cast("string").alias("post_id"),
@@ -55,16 +60,21 @@ def posts(spark: SparkSession, sf_dir: str, many: bool = False) -> DataFrame:
         F.col("text").alias("content"),
         F.col("n_chars").alias("view"),
         (F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + minutes(key)).alias("created_at"),
-        F.col("quality").cast("bigint").alias("like"),
-        F.col("toxic").cast("bigint").alias("dislike"),
         F.lit(0).cast("bigint").alias("comment_count"),
         F.col("lang").alias("keywords"),
-        F.when(F.col("toxic") == 1, "negative")
-        .when(F.col("quality") == 1, "positive")
-        .when(F.col("quality") == 0, "neutral")
-        .alias("sentiment"),
         checked_at(key, many).alias("checked_at"),
     )
+    rows = prepare(rows) if prepare else rows
+    labelled = rows.join(table(spark, sf_dir, "labels"), "doc_id", "left").withColumns({
+        "like": F.col("quality").cast("bigint"),
+        "dislike": F.col("toxic").cast("bigint"),
+        "sentiment": F.when(F.col("toxic") == 1, "negative")
+        .when(F.col("quality") == 1, "positive")
+        .when(F.col("quality") == 0, "neutral"),
+    })
+    contract = [name for name in POSTS_SCHEMA.names if name in labelled.columns]
+    added = [name for name in rows.columns if name not in contract and name != "doc_id"]
+    return labelled.select(*contract, *added)
 
 
 def comments(spark: SparkSession, sf_dir: str, many: bool = False) -> DataFrame:

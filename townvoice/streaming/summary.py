@@ -28,7 +28,7 @@ def stream_summary(rows: DataFrame, lexicon: Lexicon = DEFAULT_LEXICON, lateness
     return (
         timed.withWatermark("checked_at", lateness)
         .groupBy(F.window("checked_at", every))
-        .agg(*sentiment_metrics(), *mention_totals(lexicon))
+        .agg(*sentiment_metrics(), *mention_totals(timed, lexicon))
         .select(F.col("window.start").cast("timestamp_ntz").alias("period"), "*")
         .drop("window")
     )

@@ -1,7 +1,8 @@
 """The tracking table kept up to date by a stream of listing hits.
 
-Every micro-batch writes a new version of the table below ``path``. A batch replayed
-after a failure starts from the version before it, so it is applied exactly once.
+Every micro-batch writes a new version of the table below ``path``; the last few are
+kept. A batch replayed after a failure starts from the version before it, so it is
+applied exactly once.
 """
 
 from __future__ import annotations
@@ -13,13 +14,20 @@ from ..operators.tracking import tracking_upsert
 from ..schemas import TRACKING_SCHEMA
 
 
-def _versions(spark: SparkSession, path: str) -> list[int]:
-    """Numbers of the completely written versions."""
+def _versions(spark: SparkSession, path: str) -> dict[int, object]:
+    """The completely written versions: number to folder, oldest first."""
     jvm = spark.sparkContext._jvm
     folder = jvm.org.apache.hadoop.fs.Path(path)
     fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    done = fs.globStatus(jvm.org.apache.hadoop.fs.Path(folder, "v*/_SUCCESS")) or []
-    return sorted(int(status.getPath().getParent().getName()[1:]) for status in done)
+    done = [status.getPath().getParent() for status in fs.globStatus(jvm.org.apache.hadoop.fs.Path(folder, "v*/_SUCCESS")) or []]
+    return {int(p.getName()[1:]): p for p in sorted(done, key=lambda p: int(p.getName()[1:]))}
+
+
+def drop_versions(spark: SparkSession, path: str, before: int) -> None:
+    """Delete the versions older than ``before``."""
+    for number, folder in _versions(spark, path).items():
+        if number < before:
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def read_tracking(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
@@ -28,12 +36,17 @@ def read_tracking(spark: SparkSession, path: str, before: int | None = None) ->
     return spark.read.schema(TRACKING_SCHEMA).parquet(f"{path}/v{versions[-1]}") if versions else None
 
 
-def stream_tracking(hits: DataFrame, path: str, checkpoint: str, threshold: int = 100, rule: str = "literal", **trigger) -> StreamingQuery:
-    """Start folding a stream of hits into the tracking table at ``path``."""
+def stream_tracking(hits: DataFrame, path: str, checkpoint: str, threshold: int = 100, rule: str = "literal", keep: int = 3, **trigger) -> StreamingQuery:
+    """Start folding a stream of hits into the tracking table at ``path``.
+
+    ``keep`` versions are kept, at least two: a replayed batch needs the one before it.
+    """
+    keep = max(keep, 2)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         state = read_tracking(batch.sparkSession, path, before=batch_id)
         tracking_upsert(state, batch, threshold, rule).write.mode("overwrite").parquet(f"{path}/v{batch_id}")
+        drop_versions(batch.sparkSession, path, before=batch_id - keep + 1)
 
     return (
         hits.writeStream.foreachBatch(apply)
