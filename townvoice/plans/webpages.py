@@ -37,20 +37,24 @@ ORACLES["parse_listing_bobaedream"] += " where pos % 4 <> 2"  # the board "news"
 STRIPPED = f"list_filter(list_transform(string_split(text, chr(0)), lambda l: trim(l, {WS})), lambda l: l <> '')"
 
 
+FIELDS = ["title", "content", "view", "like", "dislike", "comment_count", "created_at"]
+
+
 def _detail(site, post, comment, keep="true"):
     sql = V.with_views(LINES, f"""select doc_id as page_id, null::bigint as pos, {post} from parts
       union all select doc_id, pos, {comment} from lines where {keep}""")
 
     @query(f"parse_detail_{site}", sql)
     def run(spark, sf):
+        # The post and its comments as rows, from one pass over the pages.
         posts = G.parse_detail(A.detail_html(spark, sf, site), site)
-        fields = ["title", "content", "view", "like", "dislike", "comment_count", "created_at"]
-        head = posts.select("page_id", F.lit(None).cast("bigint").alias("pos"), *fields)
-        tail = posts.select("page_id", F.posexplode("comment").alias("n", "c")).select(
-            "page_id", F.col("n").cast("bigint").alias("pos"), F.lit(None).cast("string").alias("title"), "c.content",
-            F.lit(None).cast("bigint").alias("view"), "c.like", "c.dislike", F.lit(None).cast("bigint").alias("comment_count"), "c.created_at",
-        )
-        return head.unionByName(tail)
+        absent = {"title": "string", "view": "bigint", "comment_count": "bigint"}
+        head = F.struct(F.lit(None).cast("bigint").alias("pos"), *FIELDS)
+        rows = F.transform("comment", lambda c, n: F.struct(
+            n.cast("bigint").alias("pos"),
+            *[F.lit(None).cast(absent[name]).alias(name) if name in absent else c[name].alias(name) for name in FIELDS],
+        ))
+        return posts.select("page_id", F.inline(F.concat(F.array(head), rows)))
 
 
 TITLE = "'t' || doc_id as title"
@@ -84,4 +88,4 @@ UNESCAPE = "replace(replace(replace(replace({}, '&middot;', '·'), '&copy;', '©
     lambda p: trim({UNESCAPE.format('p')}, {WS})), lambda p: p <> ''), chr(10)) as content,
   array_to_string(regexp_extract_all(html, '<a href="([^"]*)"', 1), ' ') as links from pages""")
 def parse_generic(spark, sf):
-    return G.parse_generic(A.table(spark, sf, "pages")).withColumn("links", F.array_join("links", " "))
+    return G.parse_generic(A.table(spark, sf, "pages", heavy=True)).withColumn("links", F.array_join("links", " "))

@@ -26,8 +26,20 @@ LATIN_LEXICON = [
 ]
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, heavy: bool = False) -> DataFrame:
+    """A given table. ``heavy`` announces costly work per row, see :func:`spread`."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df) if heavy else df
+
+
+def spread(df: DataFrame, pieces: int = 8) -> DataFrame:
+    """Cut a scan of few row groups into more tasks, when cores would stay idle.
+
+    One row group is one task, however many cores there are. A scan with as many tasks
+    as cores, so any large one, is left alone and not shuffled.
+    """
+    cores, tasks = df.sparkSession.sparkContext.defaultParallelism, df.rdd.getNumPartitions()
+    return df if tasks >= cores else df.repartition(min(cores, tasks * pieces))
 
 
 def minutes(c: Column) -> Column:
@@ -51,7 +63,7 @@ def posts(spark: SparkSession, sf_dir: str, many: bool = False, prepare: Callabl
     """Documents with their labels. ``prepare`` is applied before the labels are joined,
     for work that can shrink the rows the join may have to shuffle."""
     key = F.col("doc_id")
-    rows = table(spark, sf_dir, "documents").select(
+    rows = table(spark, sf_dir, "documents", heavy=prepare is not None).select(
         key,
         F.col("source").alias("platform"),
         F.substring("text", 1, 40).alias("title"),
@@ -109,7 +121,7 @@ def nested_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit(None).cast("string").alias("sentiment"),
         ),
     )
-    return table(spark, sf_dir, "documents").select(
+    return table(spark, sf_dir, "documents", heavy=True).select(
         F.col("source").alias("platform"),
         F.when(key % 4 != 0, F.substring("text", 1, 40)).alias("title"),
         key.cast("string").alias("post_id"),
@@ -137,7 +149,7 @@ def replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = F.when(key % 9 == 4, F.slice(labelled, 1, 1)).when(key % 9 == 5, F.concat(labelled, labelled)).otherwise(labelled)
     full = F.to_json(F.struct(label(key).alias("게시글_감정"), items.alias("댓글_분석")))
     no_label = F.to_json(F.struct(items.alias("댓글_분석")))
-    return table(spark, sf_dir, "documents").select(
+    return table(spark, sf_dir, "documents", heavy=True).select(
         key.cast("string").alias("post_id"),
         F.when(key % 11 == 0, "sorry, no answer")
         .when(key % 13 == 0, "{}")
@@ -270,7 +282,7 @@ def stamp(c: Column, style: str) -> Column:
 def page_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the site pages below are written from: a document, its lines and its time."""
     key = F.col("doc_id")
-    return table(spark, sf_dir, "documents").select(
+    return table(spark, sf_dir, "documents", heavy=True).select(
         key.alias("page_id"),
         key,
         "text",

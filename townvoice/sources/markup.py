@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 from html.parser import HTMLParser
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -43,24 +44,31 @@ class Element:
         siblings = [c for c in self.parent.children if not isinstance(c, str)] if self.parent else [self]
         return siblings[0] is self
 
-    def find(self, *path: str) -> list[Element]:
+    def matches(self, step: str) -> bool:
+        tag, classes, name = read_step(step)
+        if self.tag != tag or (name and self.attrs.get("id") != name):
+            return False
+        return all(c in self.classes for c in classes)
+
+    def find(self, step: str, *inner: str) -> Iterator[Element]:
         """Descendants matching the path; a step is ``tag``, ``tag.class.class`` or ``tag#id``."""
-        found = [self]
-        for step in path:
-            tag, _, name = step.partition("#")
-            tag, *classes = tag.split(".")
-            seen, matches = set(), []
-            for scope in found:
-                for element in scope.walk():
-                    if element.tag == tag and id(element) not in seen and all(c in element.classes for c in classes):
-                        if not name or element.attrs.get("id") == name:
-                            seen.add(id(element))
-                            matches.append(element)
-            found = matches
-        return found
+        seen = set()
+        for element in self.walk():
+            if element.matches(step):
+                for found in element.find(*inner) if inner else (element,):
+                    if id(found) not in seen:
+                        seen.add(id(found))
+                        yield found
 
     def first(self, *path: str) -> Element | None:
-        return next(iter(self.find(*path)), None)
+        return next(self.find(*path), None)
+
+
+@cache
+def read_step(step: str) -> tuple[str, list[str], str]:
+    rest, _, name = step.partition("#")
+    tag, *classes = rest.split(".")
+    return tag, classes, name
 
 
 class _Builder(HTMLParser):

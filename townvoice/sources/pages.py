@@ -121,11 +121,11 @@ def clien_detail(page: Element) -> dict:
 
 
 def bobaedream_detail(page: Element) -> dict:
-    rows = page.find("div#cmt_list", "ul.basiclist", "li")
+    rows = list(page.find("div#cmt_list", "ul.basiclist", "li"))
     comments = []
     for row in rows:
-        about = row.find("dl", "dt", "span")
-        votes = row.find("div.updownbox", "dd")
+        about = list(row.find("dl", "dt", "span"))
+        votes = list(row.find("div.updownbox", "dd"))
         body = row.first("dd")
         if DELETED_COMMENT in row.text():
             comments.append({"content": DELETED_COMMENT})
@@ -136,7 +136,7 @@ def bobaedream_detail(page: Element) -> dict:
             })
     heading = page.first("div.writerProfile", "dl")
     counts = heading.first("span.countGroup") if heading else None
-    numbers = counts.find("em") if counts else []
+    numbers = list(counts.find("em")) if counts else []
     return {
         "title": attr_of(heading.first("dt"), "title") if heading else None,
         "content": text_of(page.first("div.bodyCont")),
@@ -195,7 +195,9 @@ def parse_listing(pages: DataFrame, site: str) -> DataFrame:
     keys = [name if name != "url" else "page_url" for name in page_keys(pages)]
     pages = pages.withColumnRenamed("url", "page_url")
     rows = pages.select(*keys, extract(F.col("html"), LISTINGS[site], LISTING_FIELDS, LISTING_ROWS).alias("_rows"))
-    raw = rows.select(*keys, F.posexplode("_rows").alias("pos", "_row")).select(*keys, "pos", "_row.*")
+    # The outer form: the plain one would check the array first, parsing each page twice.
+    found = rows.select(*keys, F.posexplode_outer("_rows").alias("pos", "_row")).filter(F.col("pos").isNotNull())
+    raw = found.select(*keys, "pos", "_row.*")
     typed = raw.withColumns({"title": strip(F.col("title")), "url": absolute_url(HOSTS[site], F.col("path"))})
     if site == "bobaedream":
         typed = typed.withColumns({

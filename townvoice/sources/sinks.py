@@ -24,19 +24,17 @@ def write_summary(summary: DataFrame, root: str, checked_at: str) -> str:
 
 
 def load_append(df: DataFrame, table: str, idempotent: bool = False) -> None:
-    """Append rows to a warehouse table (a Parquet folder), partitioned by batch.
+    """Append rows to a warehouse table (a Parquet folder), partitioned by batch date.
 
-    Rows are gathered by batch first, which keeps files few; a huge batch is split.
-    ``idempotent`` replaces the batches found in ``df`` instead, so that a repeated load
-    of a batch leaves the table as after the first.
+    ``idempotent`` partitions by batch and replaces the batches found in ``df`` instead,
+    so that a repeated load leaves the table as after the first. A table is loaded in
+    one of the two modes only. Rows are gathered by partition first, which keeps files
+    few; a huge partition is split.
     """
-    parts = df.withColumns({
-        "batch_date": F.to_date("checked_at"),
-        "batch_time": F.date_format("checked_at", "HHmmss"),
-    })
-    writer = parts.hint("rebalance", "batch_date", "batch_time").write.partitionBy("batch_date", "batch_time")
-    if idempotent:
-        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    else:
-        writer = writer.mode("append")
-    writer.parquet(table)
+    parts = df.withColumn("batch_date", F.to_date("checked_at"))
+    if not idempotent:
+        parts.hint("rebalance", "batch_date").write.mode("append").partitionBy("batch_date").parquet(table)
+        return
+    keys = ["batch_date", "batch_time"]
+    batches = parts.withColumn("batch_time", F.date_format("checked_at", "HHmmss")).hint("rebalance", *keys)
+    batches.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(table)
