@@ -267,3 +267,23 @@ def test_stream_sees_files_in_any_order_and_drops_late_rows(spark, tmp_path):
     land("2025-02-24T00:00:03", 5, "late")
     land("2025-02-24T01:00:03", 1, "d")
     assert run()["2025-02-24 00:00:00"] == (3, 1)
+
+
+def test_jobs_end_to_end(spark, tmp_path):
+    from townvoice import jobs
+
+    landed, output, warehouse = (str(tmp_path / name) for name in ("landing", "output", "warehouse"))
+    for minute, n in ((5, 1), (10, 3)):
+        at = f"2025-02-24T03:{minute:02d}:03"
+        landing.land_nested(nested(spark, *[{"post_id": str(i), "content": "현대 화재"} for i in range(n)]), landed, at, "clien", "f0")
+        jobs.main(["transform", "--checked_at", at, "--landing", landed, "--output", output])
+        jobs.main(["load", "--checked_at", at, "--output", output, "--warehouse", warehouse])
+    stored = spark.read.parquet(f"{warehouse}/summary").orderBy("checked_at")
+    assert [(r.total_posts_comments, r.fire_total_count, r.hyundai_total_count) for r in stored.collect()] == [(3, 1, 1), (9, 3, 3)]
+    assert spark.read.parquet(f"{warehouse}/post").count() == 12
+    again = jobs.backfill(spark, landed).orderBy("checked_at")
+    assert again.collect() == stored.drop("batch_date").collect()
+    with pytest.raises(SystemExit):
+        jobs.main(["transform", "--checked_at", "2025-02-24 03:05", "--landing", landed, "--output", output])
+    with pytest.raises(SystemExit):
+        jobs.main(["load"])

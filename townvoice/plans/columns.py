@@ -227,11 +227,11 @@ select post_id, null::bigint as pos, label as sentiment from nested join replied
 union all
 select post_id, pos, labels[pos + 1] from lines join replied using (doc_id)"""))
 def attach_sentiment(spark, sf):
-    from ..operators.normalize import explode_comments
-
     labelled = attach(A.nested_posts(spark, sf), A.replies(spark, sf))
-    posts = labelled.select("post_id", F.lit(None).cast("bigint").alias("pos"), "sentiment")
-    return posts.unionByName(explode_comments(labelled, "post_id").select("post_id", F.col("pos").cast("bigint").alias("pos"), "sentiment"))
+    none = F.lit(None).cast("bigint")
+    post = F.array(F.struct(none.alias("pos"), "sentiment"))
+    comment = F.transform("comment", lambda c, i: F.struct(i.cast("bigint").alias("pos"), c["sentiment"].alias("sentiment")))
+    return labelled.select("post_id", F.inline(F.concat(post, F.coalesce(comment, F.array()))))
 
 
 TASK_SQL = (

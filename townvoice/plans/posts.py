@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .. import jobs
 from ..functions.text import join_keywords, lenient_int
 from ..operators import listing as L
 from ..operators import normalize as N
@@ -79,12 +80,11 @@ def land_nested(spark, sf):
     return landing.scan_batch(spark, root, CHECKED_AT).drop("kind")
 
 
-@query("land_partitioned", V.with_views(V.posts(True), "select checked_at, count(*) as n from posts where hour(checked_at) = 3 group by 1"))
+@query("land_partitioned", V.with_views(V.posts(True), "select checked_at, count(*) as n, sum(\"view\")::bigint as views from posts group by 1"))
 def land_partitioned(spark, sf):
     path = shared_path(spark, "partitioned")
     landing.land_partitioned(A.posts(spark, sf, many=True), path)
-    hour = spark.read.parquet(path).filter(F.col("hour") == 3)
-    return hour.groupBy("checked_at").agg(F.count(F.lit(1)).alias("n"))
+    return landing.scan_partitioned(spark, path).groupBy("checked_at").agg(F.count(F.lit(1)).alias("n"), F.sum("view").alias("views"))
 
 
 @query("write_curated", V.with_views(LANDED, f"select {COLUMNS} from landed"))
@@ -206,3 +206,20 @@ def drop_repeated_pages(spark, sf):
 @query("force_refresh_sentinel", V.with_views(V.HITS, 'select url, seq, keyword, -999 as "view", -999 as comment_count, \'CHANGED\' as status from hits'))
 def force_refresh_sentinel(spark, sf):
     return L.force_refresh_sentinel(A.hits(spark, sf)).select("url", "seq", "keyword", "view", "comment_count", "status")
+
+
+LANDED_SUMMARY = f"""select timestamp '{A.BATCH}' as checked_at, cast(sum("view") as bigint) as total_views, count(*) as total_posts_comments,
+  cast(sum(case when sentiment = 'positive' then 1 end) as bigint) as positive, cast(sum(case when sentiment = 'neutral' then 1 end) as bigint) as neutral,
+  cast(sum(case when sentiment = 'negative' then 1 end) as bigint) as negative, {V.totals(A.LATIN_LEXICON)} from landed"""
+
+
+@query("transform_batch", V.with_views(LANDED, LANDED_SUMMARY))
+def transform_batch(spark, sf):
+    """The production job: landing files to curated rows to a stored summary."""
+    _, summary = jobs.transform_batch(spark, landing_root(spark, sf), shared_path(spark, "output"), CHECKED_AT, A.LATIN_LEXICON)
+    return spark.read.parquet(summary)
+
+
+@query("backfill", V.with_views(LANDED, LANDED_SUMMARY))
+def backfill(spark, sf):
+    return jobs.backfill(spark, landing_root(spark, sf), A.LATIN_LEXICON)

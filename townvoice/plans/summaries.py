@@ -20,13 +20,18 @@ def merged(spark, sf, many=False):
     return S.union_posts_comments(A.posts(spark, sf, many), A.comments(spark, sf, many))
 
 
-def flagged(spark, sf, lexicon, many=False):
+def flagged(spark, sf, lexicon, many=False, labelled=True):
     """Posts and comments with term flags for their content, so no join moves texts."""
 
     def flag(rows):
         return S.keyword_flags(rows, lexicon).drop("content")
 
-    return S.union_posts_comments(A.posts(spark, sf, many, flag), flag(A.comments(spark, sf, many)))
+    return S.union_posts_comments(A.posts(spark, sf, many, flag, labelled), flag(A.comments(spark, sf, many)))
+
+
+def flags_alone(spark, sf, lexicon):
+    """The same for figures that need no label, without the join."""
+    return flagged(spark, sf, lexicon, labelled=False)
 
 
 def history(spark, sf):
@@ -79,14 +84,14 @@ def keyword_flags(spark, sf):
         length = F.length("content").cast("bigint").alias("n")
         return S.keyword_flags(rows.select("*", length), ALL_TERMS).drop("content")
 
-    rows = S.union_posts_comments(A.posts(spark, sf, prepare=measure), measure(A.comments(spark, sf)))
+    rows = S.union_posts_comments(A.posts(spark, sf, prepare=measure, labelled=False), measure(A.comments(spark, sf)))
     return rows.select("platform", "post_id", "n", *[f"{name}_count" for _, _, name in ALL_TERMS])
 
 
 def _category(name, operator, category):
     terms = of_category(ALL_TERMS, category)
     sql = V.with_views(V.merged(), f"select {V.totals(terms)} from merged")
-    query(name, sql)(lambda spark, sf: operator(flagged(spark, sf, terms), ALL_TERMS))
+    query(name, sql)(lambda spark, sf: operator(flags_alone(spark, sf, terms), ALL_TERMS))
 
 
 _category("accident_totals", S.accident_totals, "accident")
@@ -108,7 +113,7 @@ LONG = "\nunion all\n".join(
 
 @query("keyword_long", V.with_views(V.merged(), LONG))
 def keyword_long(spark, sf):
-    return S.keyword_long(flagged(spark, sf, ALL_TERMS), ALL_TERMS)
+    return S.keyword_long(flags_alone(spark, sf, ALL_TERMS), ALL_TERMS)
 
 
 def _rollup(name, unit):
@@ -156,9 +161,10 @@ def project_posts(spark, sf):
     return S.project_posts(A.posts(spark, sf).withColumn("extra", F.lit(1)))
 
 
-@query("align_columns", V.with_views(V.merged(), f"select {', '.join(sorted(POST_COLUMNS.split(', '), key=lambda c: c.strip(chr(34))))} from merged where platform is null"))
+@query("align_columns", V.with_views(V.merged(), f"select {', '.join(sorted(POST_COLUMNS.split(', '), key=lambda c: c.strip(chr(34))))} from merged"))
 def align_columns(spark, sf):
-    return S.align_columns(A.posts(spark, sf), A.comments(spark, sf))[1]
+    posts, comments = S.align_columns(A.posts(spark, sf), A.comments(spark, sf))
+    return posts.union(comments)
 
 
 @query("union_posts_comments", V.with_views(V.merged(), f"select {POST_COLUMNS} from merged"))

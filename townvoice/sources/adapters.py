@@ -59,9 +59,10 @@ def site(key: Column) -> Column:
     return F.element_at(F.array(*[F.lit(name) for name in SITES]), (key % 3 + 1).cast("int"))
 
 
-def posts(spark: SparkSession, sf_dir: str, many: bool = False, prepare: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+def posts(spark: SparkSession, sf_dir: str, many: bool = False, prepare: Callable[[DataFrame], DataFrame] | None = None, labelled: bool = True) -> DataFrame:
     """Documents with their labels. ``prepare`` is applied before the labels are joined,
-    for work that can shrink the rows the join may have to shuffle."""
+    for work that can shrink the rows the join may have to shuffle. Without ``labelled``
+    nothing is joined and the columns that come from labels are absent."""
     key = F.col("doc_id")
     rows = table(spark, sf_dir, "documents", heavy=prepare is not None).select(
         key,
@@ -77,16 +78,18 @@ def posts(spark: SparkSession, sf_dir: str, many: bool = False, prepare: Callabl
         checked_at(key, many).alias("checked_at"),
     )
     rows = prepare(rows) if prepare else rows
-    labelled = rows.join(table(spark, sf_dir, "labels"), "doc_id", "left").withColumns({
+    if not labelled:
+        return rows.drop("doc_id")
+    joined = rows.join(table(spark, sf_dir, "labels"), "doc_id", "left").withColumns({
         "like": F.col("quality").cast("bigint"),
         "dislike": F.col("toxic").cast("bigint"),
         "sentiment": F.when(F.col("toxic") == 1, "negative")
         .when(F.col("quality") == 1, "positive")
         .when(F.col("quality") == 0, "neutral"),
     })
-    contract = [name for name in POSTS_SCHEMA.names if name in labelled.columns]
+    contract = [name for name in POSTS_SCHEMA.names if name in joined.columns]
     added = [name for name in rows.columns if name not in contract and name != "doc_id"]
-    return labelled.select(*contract, *added)
+    return joined.select(*contract, *added)
 
 
 def comments(spark: SparkSession, sf_dir: str, many: bool = False) -> DataFrame:
@@ -121,7 +124,7 @@ def nested_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit(None).cast("string").alias("sentiment"),
         ),
     )
-    return table(spark, sf_dir, "documents", heavy=True).select(
+    return table(spark, sf_dir, "documents").select(
         F.col("source").alias("platform"),
         F.when(key % 4 != 0, F.substring("text", 1, 40)).alias("title"),
         key.cast("string").alias("post_id"),
