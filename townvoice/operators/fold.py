@@ -29,6 +29,7 @@ OUTCOME_SCHEMA = (
 OUTCOME_COLUMNS = [part.strip().split(" ")[0] for part in OUTCOME_SCHEMA.split(",")]
 TIMES = ["at", "created_at", "checked_at", "blank_at"]
 UNSTABLE = ("FAILED", "BANNED")
+NO_TIME = np.iinfo("int64").min  # as a time: not a time
 
 
 class Run:
@@ -151,8 +152,8 @@ def integers(numbers: pd.Series) -> list:
 def to_frame(rows: list[tuple]) -> pd.DataFrame:
     frame = pd.DataFrame(rows, columns=OUTCOME_COLUMNS, dtype=object)
     for name in TIMES:
-        whole = np.array([np.iinfo("int64").min if t is None else t for t in frame[name]], dtype="int64")
-        frame[name] = whole.view("datetime64[us]")  # the smallest int64 is NaT
+        whole = np.array([NO_TIME if t is None else t for t in frame[name]], dtype="int64")
+        frame[name] = whole.view("datetime64[us]")
     return frame
 
 

@@ -61,10 +61,14 @@ def tracking_upsert(tracking: DataFrame | None, hits: DataFrame, threshold: int
         urls = seen.select(*KEY).distinct().alias("u")
         touched = tracking.alias("t").join(urls, same_key("t", "u"), "left_semi")
         untouched = tracking.alias("t").join(urls, same_key("t", "u"), "left_anti")
-    late = late_sightings(known.filter(sighted & ~insertable).withColumn("own", own), seen)
-    per_keyword = seen.alias("s").join(
-        late.alias("l"), same_key("s", "l") & (F.col("s.keyword") == F.col("l.keyword")), "left"
-    )
+    strays = seen.filter(F.col("any").isNotNull() & ~F.col("any").eqNullSafe(F.col("full")))
+    if strays.isEmpty():  # the usual case: every hit has its post_id
+        per_keyword = seen.withColumn("late", F.col("full")).alias("s")
+    else:
+        late = late_sightings(known.filter(sighted & ~insertable).withColumn("own", own), seen)
+        per_keyword = seen.alias("s").join(
+            late.alias("l"), same_key("s", "l") & (F.col("s.keyword") == F.col("l.keyword")), "left"
+        )
     found = per_keyword.groupBy("s.platform", "s.url").agg(
         F.min_by(F.struct("insert", F.array("s.keyword").alias("keywords")), "insert").alias("first"),
         F.collect_list(F.struct("s.keyword", "any", "full", "late")).alias("sightings"),

@@ -80,7 +80,8 @@ _detail(
     f"null, case when pos % 6 <> 5 then trim(line, {WS}) end, null, case when pos % 6 <> 5 then pos end, case when pos % 6 <> 5 then 1 end, null, case when pos % 6 <> 5 then time end",
 )
 
-UNESCAPE = "replace(replace(replace(replace({}, '&middot;', '·'), '&copy;', '©'), '&quot;', '\"'), '&amp;', '&')"
+# Old entity names count without their semicolon too, as where a title was cut off.
+UNESCAPE = "regexp_replace(regexp_replace(regexp_replace(regexp_replace({}, '&middot;?', '·', 'g'), '&copy;?', '©', 'g'), '&quot;?', '\"', 'g'), '&amp;?', '&', 'g')"
 
 
 @query("parse_generic", f"""select page_id, url, trim({UNESCAPE.format("regexp_extract(html, '<title>([^<]*)</title>', 1)")}, {WS}) as title,
