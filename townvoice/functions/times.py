@@ -47,7 +47,7 @@ def batch_ts(c: Column) -> Column:
 
 def batch_path(ts: Column) -> Column:
     """Directory of a batch, ``yyyy-MM-dd/H/m`` with unpadded hour and minute."""
-    return F.concat_ws("/", F.date_format(ts, "yyyy-MM-dd"), F.hour(ts).cast("string"), F.minute(ts).cast("string"))
+    return F.concat_ws("/", F.to_date(ts).cast("string"), F.hour(ts).cast("string"), F.minute(ts).cast("string"))
 
 
 def utc_now() -> Column:

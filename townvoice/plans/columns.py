@@ -151,7 +151,7 @@ def unique_keywords(spark, sf):
 @query("batch_path", "select o_orderkey, strftime(t, '%Y-%m-%d') || '/' || hour(t) || '/' || minute(t) as path from (select o_orderkey, o_orderdate + o_orderkey * interval 1 minute as t from orders)")
 def batch_path(spark, sf):
     started = F.col("o_orderdate") + A.minutes(F.col("o_orderkey"))
-    text = F.date_format(started, "yyyy-MM-dd'T'HH:mm:ss")
+    text = F.translate(started.cast("string"), " ", "T")
     return A.table(spark, sf, "orders").select("o_orderkey", D.batch_path(D.batch_ts(text)).alias("path"))
 
 

@@ -72,7 +72,7 @@ def land_nested(nested: DataFrame, root: str, checked_at: str, platform: str | N
 
 def with_batch_partitions(df: DataFrame) -> DataFrame:
     return df.withColumns({
-        "date": F.date_format("checked_at", "yyyy-MM-dd"),
+        "date": F.to_date("checked_at"),
         "hour": F.hour("checked_at"),
         "minute": F.minute("checked_at"),
     })
@@ -91,7 +91,7 @@ def scan_partitioned(spark: SparkSession, path: str, checked_at: str | None = No
     df = spark.read.parquet(path)
     if checked_at is not None:
         date, hour, minute = batch_dir(checked_at).split("/")
-        df = df.filter((F.col("date") == date) & (F.col("hour") == int(hour)) & (F.col("minute") == int(minute)))
+        df = df.filter((F.col("date") == F.lit(date).cast("date")) & (F.col("hour") == int(hour)) & (F.col("minute") == int(minute)))
     return df.drop(*PARTITIONS)
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
 from html.parser import HTMLParser
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -64,11 +63,15 @@ class Element:
         return next(self.find(*path), None)
 
 
-@cache
+STEPS: dict[str, tuple[str, list[str], str]] = {}
+
+
 def read_step(step: str) -> tuple[str, list[str], str]:
-    rest, _, name = step.partition("#")
-    tag, *classes = rest.split(".")
-    return tag, classes, name
+    if step not in STEPS:
+        rest, _, name = step.partition("#")
+        tag, *classes = rest.split(".")
+        STEPS[step] = tag, classes, name
+    return STEPS[step]
 
 
 class _Builder(HTMLParser):

@@ -36,5 +36,6 @@ def load_append(df: DataFrame, table: str, idempotent: bool = False) -> None:
         parts.hint("rebalance", "batch_date").write.mode("append").partitionBy("batch_date").parquet(table)
         return
     keys = ["batch_date", "batch_time"]
-    batches = parts.withColumn("batch_time", F.date_format("checked_at", "HHmmss")).hint("rebalance", *keys)
+    time = F.translate(F.substring(F.col("checked_at").cast("string"), 12, 8), ":", "")
+    batches = parts.withColumn("batch_time", time).hint("rebalance", *keys)
     batches.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(table)
