@@ -8,6 +8,18 @@ from pyspark.sql import functions as F
 from ..schemas import NOT_KNOWN
 
 SEARCH = ("source", "keyword")
+SALTS = 64
+
+
+def join_per_listing(df: DataFrame, per_listing: DataFrame) -> DataFrame:
+    """Left join with one row per listing, a listing's rows spread over ``SALTS`` groups.
+
+    The small side is repeated per group. It is shuffled for the join alone, so adaptive
+    execution can still broadcast it, or split a group further.
+    """
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int"))
+    repeated = per_listing.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(repeated, [*SEARCH, "_salt"], "left").drop("_salt")
 
 
 def listing_window(df: DataFrame, start: Column, end: Column, mode: str = "take_while") -> DataFrame:
@@ -24,12 +36,8 @@ def listing_window(df: DataFrame, start: Column, end: Column, mode: str = "take_
     if mode != "take_while":
         raise ValueError(f"mode must be take_while or filter, not {mode!r}")
     stops = df.filter(created < start).groupBy(*SEARCH).agg(F.min("pos").alias("_stop"))
-    return (
-        df.filter(inside)
-        .join(stops, list(SEARCH), "left")
-        .filter(F.col("_stop").isNull() | (F.col("pos") < F.col("_stop")))
-        .drop("_stop")
-    )
+    kept = join_per_listing(df.filter(inside), stops)
+    return kept.filter(F.col("_stop").isNull() | (F.col("pos") < F.col("_stop"))).drop("_stop").select(*df.columns)
 
 
 def category_filter(df: DataFrame) -> DataFrame:
@@ -67,11 +75,8 @@ def drop_repeated_pages(df: DataFrame) -> DataFrame:
         .groupBy(*SEARCH)
         .agg(F.min("page").alias("_repeat"))
     )
-    return (
-        df.join(first_repeat, list(SEARCH), "left")
-        .filter(F.col("_repeat").isNull() | (F.col("page") <= F.col("_repeat")))
-        .drop("_repeat")
-    )
+    kept = join_per_listing(df, first_repeat)
+    return kept.filter(F.col("_repeat").isNull() | (F.col("page") <= F.col("_repeat"))).select(*df.columns)
 
 
 def force_refresh_sentinel(df: DataFrame) -> DataFrame:
