@@ -15,7 +15,11 @@ STATE = ["status", "comment_count", "created_at", "checked_at", "view"]
 
 
 def tracking_lookup(hits: DataFrame, tracking: DataFrame) -> DataFrame:
-    """Each hit with the current state of its URL, NULL for a new URL."""
+    """Each hit with the current state of its URL, NULL for a new URL.
+
+    With a stored ``tracking`` both sides are shuffled for the join alone, which lets
+    adaptive execution split a URL with most of the hits.
+    """
     state = tracking.select(*KEY, *[F.col(name).alias(f"known_{name}") for name in ("keywords", *STATE)])
     return hits.join(state, KEY, "left")
 
