@@ -7,13 +7,14 @@ from .language import op8_bloom_filters
 from .mixing import op6_entropy_balancing
 from .neardup import op10_superminhash
 from .quality import op5_divergence
+from .repeats import op1_previous_factors
 from .sharding import op7_external_shuffle
 from .tokens import op4_prefix_tokens
 from .toxicity import op3_naive_bayes_linear
 from .urls import op9_url_trees
 
 OPERATORS = (
-    op2_templates, op3_naive_bayes_linear, op4_prefix_tokens, op5_divergence, op6_entropy_balancing,
+    op1_previous_factors, op2_templates, op3_naive_bayes_linear, op4_prefix_tokens, op5_divergence, op6_entropy_balancing,
     op7_external_shuffle, op8_bloom_filters, op9_url_trees, op10_superminhash,
 )
 QUERIES = {operator.__name__: operator for operator in OPERATORS}
