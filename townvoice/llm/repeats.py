@@ -112,8 +112,11 @@ def anchor_filter(repeated: DataFrame) -> tuple[int, np.ndarray]:
     return bits, out
 
 
-def candidates(docs: DataFrame, known: tuple[int, np.ndarray], size: int) -> DataFrame:
-    """``anchor, content_hash, doc_id, start, n, content`` of segments whose anchor passes the filter."""
+def candidates(docs: DataFrame, known: tuple[int, np.ndarray], size: int, contents: bool) -> DataFrame:
+    """``anchor, content_hash, doc_id, start, n, content`` of segments whose anchor passes the filter.
+
+    Without ``contents`` the last is null.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(known)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,7 +138,7 @@ def candidates(docs: DataFrame, known: tuple[int, np.ndarray], size: int) -> Dat
                 for anchor, start, count, at in zip(hashes[hit].view(np.int64).tolist(), first[hit].tolist(), n[hit].tolist(), place[hit].tolist()):
                     content = data[start : start + count + size - 1]
                     own = xxhash.xxh3_64_intdigest(content, seed=at - start)
-                    rows.append((anchor, own - (1 << 63), doc_id, start, count, content))
+                    rows.append((anchor, own - (1 << 63), doc_id, start, count, content if contents else None))
                     volume += len(content)
                 if volume > CHUNK:
                     yield packed(rows)
@@ -266,23 +269,26 @@ def repeated_spans(docs: DataFrame, size: int = SIZE) -> DataFrame:
     texts = docs.filter("doc_id is not null and text is not null").select(F.col("doc_id").cast("long"), "text").filter(
         F.octet_length("text") >= size)
     repeated = materialize(anchor_counts(texts, size).select("anchor"), "anchors")
-    found = materialize(candidates(texts, anchor_filter(repeated), size), "segments")
+    # texts are read once more for contents, so that only those that are compared travel
+    found = materialize(candidates(texts, anchor_filter(repeated), size, False).drop("content"), "segments")
     keys = ["anchor", "content_hash"]
     first = F.min(F.struct("doc_id", "start")).alias("first")
     # all but the earliest segment of a class
     earliest = found.groupBy(*keys).agg(first, F.count(F.lit(1)).alias("count"))
-    later = found.select(*keys, "doc_id", "start", "n").join(earliest.filter("count > 1"), keys).filter(
-        "struct(doc_id, start) <> first").select(
+    later = found.join(earliest.filter("count > 1"), keys).filter("struct(doc_id, start) <> first").select(
         "doc_id", F.col("start").cast("long").alias("start"), (F.col("start") + F.col("n") + size - 1).cast("long").alias("stop"))
     # the earliest ones, compared with those of other classes of the anchor
     per_anchor = found.select(*keys).distinct().groupBy("anchor").agg(F.count(F.lit(1)).alias("classes"))
     several = materialize(per_anchor.filter("classes > 1"), "several")
-    # a class's content comes from its earliest segment
-    classes = found.join(several, "anchor").groupBy(*keys).agg(
-        first, F.first("content").alias("content"), F.first("classes").alias("classes"))
-    spans = later.unionByName(factor_spans(classes.filter(F.col("classes") <= MANY), size))
-    if several.filter(F.col("classes") > MANY).take(1):
-        spans = spans.unionByName(string_spans(classes.filter(F.col("classes") > MANY), size))
+    compared = candidates(texts, anchor_filter(several), size, True)
+    classes = compared.groupBy(*keys).agg(first, F.first("content").alias("content"))
+    many = several.filter(F.col("classes") > MANY).select("anchor")
+    if many.take(1):
+        many = materialize(many, "many")
+        spans = later.unionByName(factor_spans(classes.join(many, "anchor", "left_anti"), size)).unionByName(
+            string_spans(classes.join(many, "anchor", "left_semi"), size))
+    else:
+        spans = later.unionByName(factor_spans(classes, size))
     return merged(spans)
 
 
