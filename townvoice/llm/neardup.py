@@ -7,7 +7,7 @@ confirmed on full sets, and links are joined into components by star contraction
 Groups are not expanded into pairs. First each representative is compared with one centre:
 of the centres of its bands (in each band the document with most company) the one whose
 signature is nearest. Then only pairs of the same band that still lie in different
-components are compared, in blocks of bounded size, signatures before texts.
+components are compared, in blocks of bounded size, sketches before texts.
 """
 
 from __future__ import annotations
@@ -27,7 +27,8 @@ SHINGLE = 5  # words; the registered query takes 4
 SIMILAR = 80  # percent of the union
 BANDS, ROWS = 40, 5
 SLOTS = BANDS * ROWS
-NEAR = 0.66  # share of equal slots below which a pair is not confirmed: 5 deviations under 0.8
+NEAR = 0.6  # share of equal slots below which a pair is not confirmed: 7 deviations under 0.8
+PARITY = 2048  # bits that hold whether their number of shingles is odd
 BLOCK = 2048  # documents of a band, or members of a centre, that are compared in one group
 SENT = 500_000  # requests for texts that are broadcast, at most: about 30 bytes each
 CACHED = 500_000  # words whose hashes a task keeps
@@ -92,12 +93,12 @@ def signature(elements: np.ndarray, slots: int = SLOTS) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, size: int) -> DataFrame:
-    """``doc_id, n, set, bands, slots``: the set's size and hash, band keys, a byte of each slot."""
+    """``doc_id, n, set, bands, slots, odd``: the set's size and hash, band keys, a byte of each slot, parities."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Words()
         for batch in batches:
-            sizes, hashes, bands, bytes_ = [], [], [], []
+            sizes, hashes, bands, bytes_, odd = [], [], [], [], []
             for text in batch.column(1):
                 found = shingle_set(text.as_py(), size, known)
                 sizes.append(len(found))
@@ -105,6 +106,7 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
                 if not len(found):
                     bands.append(np.zeros(0, np.int64))
                     bytes_.append(None)
+                    odd.append(None)
                     continue
                 values = mixed(signature(found).view(np.uint64))
                 keys = np.arange(1, BANDS + 1, dtype=np.uint64)
@@ -112,21 +114,44 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
                     keys = mixed(keys * GOLDEN + row)
                 bands.append(keys.view(np.int64))
                 bytes_.append((values & np.uint64(255)).astype(np.uint8).tobytes())
+                counts = np.bincount((found & np.uint64(PARITY - 1)).astype(np.int64), minlength=PARITY)
+                odd.append(np.packbits(counts & 1).tobytes())
             offsets = np.concatenate([[0], np.cumsum([len(b) for b in bands])]).astype(np.int32)
             flat = np.concatenate(bands) if bands else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(hashes, pa.string()),
-                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), pa.array(bytes_, pa.binary())],
-                names=["doc_id", "n", "set", "bands", "slots"])
+                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), pa.array(bytes_, pa.binary()), pa.array(odd, pa.binary())],
+                names=["doc_id", "n", "set", "bands", "slots", "odd"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(
-        sketch, f"doc_id {kind}, n bigint, set string, bands array<bigint>, slots binary")
+        sketch, f"doc_id {kind}, n bigint, set string, bands array<bigint>, slots binary, odd binary")
 
 
-def close(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Which rows of slots agree well enough to be confirmed on full sets."""
-    return (left == right).mean(axis=-1) >= NEAR
+class Sketches:
+    """Sizes, slots and parities of some documents, to tell which pairs to confirm on full sets."""
+
+    def __init__(self, n, slots, odd):
+        self.n = np.asarray(n, np.int64)
+        self.slots = np.frombuffer(b"".join(slots), np.uint8).reshape(len(self.n), -1)
+        self.odd = np.frombuffer(b"".join(odd), np.uint64).reshape(len(self.n), -1)
+
+    def may_link(self, at, other: "Sketches", to) -> np.ndarray:
+        """Which of the rows ``to`` of ``other`` may be similar to the rows ``at``.
+
+        Where parities differ, the sets differ in one shingle at least: that bounds the
+        similarity from above, and loses no pair.
+        """
+        sizes = self.n[at] + other.n[to]
+        apart = np.bitwise_count(self.odd[at] ^ other.odd[to]).sum(axis=-1, dtype=np.int64)
+        near = 100 * (sizes - apart) >= SIMILAR * (sizes + apart)
+        agree = np.zeros(len(near))
+        agree[near] = self.agree(at, other, to, near)
+        return np.where(agree >= NEAR, agree, 0.0)
+
+    def agree(self, at, other: "Sketches", to, chosen) -> np.ndarray:
+        mine = self.slots[at] if np.ndim(at) == 0 else self.slots[at[chosen]]
+        return (mine == other.slots[to[chosen]]).mean(axis=-1)
 
 
 def close_pairs(pairs: DataFrame, reps: DataFrame) -> DataFrame:
@@ -135,17 +160,15 @@ def close_pairs(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     def agree(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if len(batch):
-                a, b = (np.frombuffer(b"".join(batch[c]), np.uint8).reshape(len(batch), -1) for c in ("a", "b"))
-                found = pd.DataFrame({"left": batch["left"], "right": batch["right"], "agree": (a == b).mean(axis=1)})
-                yield found[found.agree >= NEAR]
+                a, b = (Sketches(batch[c + "n"], batch[c + "slots"], batch[c + "odd"]) for c in "ab")
+                every = np.arange(len(batch))
+                found = pd.DataFrame({"left": batch["left"], "right": batch["right"], "agree": a.may_link(every, b, every)})
+                yield found[found.agree > 0]
 
-    slots = reps.select("rep", "slots")
+    of = lambda side, letter: reps.select(F.col("rep").alias(side), *[F.col(c).alias(letter + c) for c in ("n", "slots", "odd")])
     kind = reps.schema["rep"].dataType.simpleString()
-    both = (
-        pairs.join(slots.withColumnsRenamed({"rep": "left", "slots": "a"}), "left")
-        .join(slots.withColumnsRenamed({"rep": "right", "slots": "b"}), "right")
-    )
-    return both.select("left", "right", "a", "b").mapInPandas(agree, f"left {kind}, right {kind}, agree double")
+    both = pairs.join(of("left", "a"), "left").join(of("right", "b"), "right")
+    return both.mapInPandas(agree, f"left {kind}, right {kind}, agree double")
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, size: int) -> DataFrame:
@@ -218,17 +241,17 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def across(members: DataFrame) -> DataFrame:
-    """``key, node, component, slots`` -> pairs of near slots, same key, different components.
+    """``key, node, component, n, slots, odd`` -> pairs that may link, of one key and different components.
 
     A key with more than ``BLOCK`` members is cut into blocks; each pair of blocks is a group.
     """
-    counts = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"))
-    open_ = counts.filter("n > 1 and lo <> hi").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    counts = members.groupBy("key").agg(F.count(F.lit(1)).alias("rows"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+    open_ = counts.filter("rows > 1 and lo <> hi").select("key", F.ceil(F.col("rows") / BLOCK).cast("int").alias("blocks"))
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     dealt = (
         members.join(open_, "key").withColumn("own", block).withColumn("other", others)
-        .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "component", "slots")
+        .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "component", "n", "slots", "odd")
     )
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -252,14 +275,14 @@ def across(members: DataFrame) -> DataFrame:
 
 def near_pairs(rows: pd.DataFrame, bounds: np.ndarray) -> pd.DataFrame:
     node, component = rows.node.to_numpy(), rows.component.to_numpy()
-    slots = np.frombuffer(b"".join(rows.slots), np.uint8).reshape(len(rows), -1)
+    known = Sketches(rows.n, rows.slots, rows.odd)
     lefts, rights = [], []
     for start, end in zip(bounds[:-1], bounds[1:]):
         for i in range(start, end - 1):
             other = np.arange(i + 1, end)
             other = other[component[other] != component[i]]
             if len(other):
-                other = other[close(slots[other], slots[i])]
+                other = other[known.may_link(i, known, other) > 0]
                 lefts.append(np.minimum(node[other], node[i]))
                 rights.append(np.maximum(node[other], node[i]))
     if not lefts:
@@ -279,7 +302,7 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     whole = rows.filter("set is not null and doc_id is not null")
     classes = whole.groupBy("set").agg(F.min("doc_id").alias("rep"))
     reps = materialize(
-        whole.join(classes, "set").filter("doc_id = rep").dropDuplicates(["set"]).select("rep", "set", "bands", "slots"), "reps")
+        whole.join(classes, "set").filter("doc_id = rep").dropDuplicates(["set"]).select("rep", "set", "n", "bands", "slots", "odd"), "reps")
     bands = reps.select("rep", F.explode("bands").alias("key"))
     company = bands.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     shared = materialize(bands.join(company, "key"), "bands")
@@ -295,8 +318,8 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     links = materialize(confirmed(nearest.select("owner", F.col("left").alias("member")), texts, size), "links")
     first = components(links)
     placed = shared.select("key", F.col("rep").alias("node")).join(first, "node", "left").join(
-        reps.select(F.col("rep").alias("node"), "slots"), "node")
-    members = placed.select("key", "node", F.coalesce("component", "node").alias("component"), "slots")
+        reps.select(F.col("rep").alias("node"), "n", "slots", "odd"), "node")
+    members = placed.select("key", "node", F.coalesce("component", "node").alias("component"), "n", "slots", "odd")
     more = across(members).join(nearest.select("left", F.col("owner").alias("right")), ["left", "right"], "left_anti").join(
         nearest.select(F.col("left").alias("right"), F.col("owner").alias("left")), ["left", "right"], "left_anti")
     found = confirmed(more.select(F.col("left").alias("owner"), F.col("right").alias("member")), texts, size)
