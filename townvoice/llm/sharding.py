@@ -47,8 +47,9 @@ def external_shuffle(docs: DataFrame, shards: int = SHARDS, seed: int = 7, bucke
     )
     # written once: a second run of a shuffle would give another order
     kept = materialize(shuffled, "shuffled")
-    offsets = running_total(kept.groupBy("__bucket").agg(F.count(F.lit(1)).alias("__n")).withColumn(
-        "__key", F.col("__bucket")), "__key", "__n", "__before").select("__bucket", "__before")
+    counts = kept.groupBy("__bucket").agg(F.count(F.lit(1)).alias("__n")).withColumn("__key", F.col("__bucket"))
+    # one row a bucket; a stored table has a known size, so Spark sends it only while it is small
+    offsets = materialize(running_total(counts, "__key", "__n", "__before").select("__bucket", "__before"), "offsets")
     place = F.col("__before") + F.col("__rank")
     return kept.join(offsets, "__bucket").select(
         "__record.*", (place % shards).cast("int").alias("shard"), F.floor(place / shards).cast("long").alias("slot"))
