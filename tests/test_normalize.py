@@ -160,7 +160,7 @@ def test_attach_sentiment_by_position(spark):
         [("1", reply("positive", "negative")), ("2", reply("positive")), ("3", reply("neutral", "neutral", "positive")), ("4", reply("positive"))],
         "post_id string, reply string",
     )
-    got = {r.post_id: r for r in E.attach_sentiment(posts, replies).collect()}
+    got = {r.post_id: r for r in E.attach_sentiment(posts, replies, ("post_id",)).collect()}
     labels = {k: [c.sentiment for c in r.comment] if r.comment is not None else None for k, r in got.items()}
     assert labels == {"1": ["positive", "negative"], "2": ["positive", None], "3": ["neutral", "neutral"], "4": None, "5": [None, None]}
     assert {k: r.sentiment for k, r in got.items()} == {"1": "negative", "2": "negative", "3": "negative", "4": "negative", "5": None}

@@ -40,7 +40,12 @@ def load_batch(spark: SparkSession, output: str, warehouse: str, checked_at: str
 def backfill(spark: SparkSession, landing: str, lexicon: Lexicon = DEFAULT_LEXICON) -> DataFrame:
     """The summaries of all landed batches, from one scan and one small shuffle."""
     rows = spark.read.schema(POSTS_SCHEMA).option("ignoreCorruptFiles", "true").parquet(f"{landing}/*/*/*/*.parquet")
-    return summary_history(rows.filter(F.col("checked_at").isNotNull()), lexicon)
+    # the folder is the batch: a row without a time belongs to the batch it lies in
+    folder = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+/[^/]+/[^/]+)/[^/]+/[^/]+$", 1)
+    placed = rows.select("*", folder.alias("_folder"))
+    times = placed.groupBy("_folder").agg(F.max("checked_at").alias("_time"))
+    stamped = placed.join(times, "_folder").withColumn("checked_at", F.coalesce("checked_at", "_time", F.to_timestamp_ntz("_folder", F.lit("yyyy-MM-dd/H/m"))))
+    return summary_history(stamped.drop("_folder", "_time"), lexicon)
 
 
 def main(arguments: list[str] | None = None) -> None:

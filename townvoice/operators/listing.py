@@ -8,17 +8,19 @@ from pyspark.sql import functions as F
 from ..schemas import NOT_KNOWN
 
 SEARCH = ("source", "keyword")
-SALTS = 64
 
 
-def join_per_listing(df: DataFrame, per_listing: DataFrame) -> DataFrame:
-    """Left join with one row per listing, a listing's rows spread over ``SALTS`` groups.
+def join_per_listing(df: DataFrame, per_listing: DataFrame, salts: int | None = None) -> DataFrame:
+    """Left join with one row per listing, a listing's rows spread over ``salts`` groups.
+
+    By default there are as many groups as shuffle partitions.
 
     The small side is repeated per group. It is shuffled for the join alone, so adaptive
     execution can still broadcast it, or split a group further.
     """
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int"))
-    repeated = per_listing.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salts = salts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int"))
+    repeated = per_listing.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(repeated, [*SEARCH, "_salt"], "left").drop("_salt")
 
 

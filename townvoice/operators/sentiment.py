@@ -14,14 +14,16 @@ def sentiment_requests(nested: DataFrame, subject: str, *keys: str) -> DataFrame
     return nested.select(*(keys or ("platform", "post_id")), prompt.alias("prompt"))
 
 
-def attach_sentiment(nested: DataFrame, replies: DataFrame, keys: tuple[str, ...] = ("post_id",), lenient: bool = False) -> DataFrame:
+def attach_sentiment(nested: DataFrame, replies: DataFrame, keys: tuple[str, ...] = ("platform", "post_id"), lenient: bool = False) -> DataFrame:
     """Put the post label and the i-th comment label back on the post.
 
-    A post has at most one reply. Labels beyond the comments are ignored and comments
+    A post id is unique on its platform only. Of several replies to a post the greatest
+    text counts, whatever their order. Labels beyond the comments are ignored and comments
     beyond the labels stay NULL; the position inside the post's own array is the key,
     so nothing depends on row order.
     """
-    labels = replies.select(*keys, parse_sentiment_json(F.col("reply"), lenient).alias("_labels"))
+    single = replies.groupBy(*keys).agg(F.max("reply").alias("reply"))
+    labels = single.select(*keys, parse_sentiment_json(F.col("reply"), lenient).alias("_labels"))
     label_at = lambda i: F.get("_labels.comments", i)
     return (
         nested.join(labels, list(keys), "left")

@@ -136,5 +136,15 @@ def sentiment_summary_v1(posts: DataFrame, comments: DataFrame, checked_at: str)
 
 
 def dedupe(df: DataFrame, *keys: str) -> DataFrame:
-    """One row per post and batch, for sources that collect a post repeatedly."""
-    return df.dropDuplicates(list(keys or ("platform", "post_id", "checked_at")))
+    """One row per post and batch, for sources that collect a post repeatedly.
+
+    Of a post's rows the one with the greatest figures stays: view, then comment count,
+    like, dislike and the other columns by name. Rows without a platform or post id are no
+    posts (comments, in merged rows) and stay as they are.
+    """
+    keys = keys or ("platform", "post_id", "checked_at")
+    is_post = F.col("platform").isNotNull() & F.col("post_id").isNotNull()
+    figures = [name for name in ("view", "comment_count", "like", "dislike") if name in df.columns]
+    order = F.struct(*figures, *sorted(set(df.columns) - set(figures)))
+    best = df.filter(is_post).groupBy(*keys).agg(F.max_by(F.struct(*df.columns), order).alias("row")).select("row.*")
+    return best.unionByName(df.filter(~is_post))

@@ -31,6 +31,9 @@ def same_key(left: str, right: str) -> Column:
 def tracking_upsert(tracking: DataFrame | None, hits: DataFrame, threshold: int = 100, rule: str = "literal") -> DataFrame:
     """The tracking table after applying ``hits`` in (checked_at, seq) order.
 
+    Equal times and numbers are ordered by the remaining fields, so the order of the input
+    never matters.
+
     A new URL needs a hit with all fields. A known one takes status and time of a FAILED
     or BANNED hit, and all figures of a hit that fires: views fell by more than
     ``threshold``, fewer comments, or a new keyword (``rule="documented"``: views or
@@ -77,7 +80,7 @@ def tracking_upsert(tracking: DataFrame | None, hits: DataFrame, threshold: int
         F.min_by(F.struct("insert", F.array("s.keyword").alias("keywords")), "insert").alias("first"),
         F.collect_list(F.struct("s.keyword", "any", "full", "late")).alias("sightings"),
     )
-    order = [F.col(name).asc_nulls_first() for name in (*KEY, "at", "seq", "kind")]
+    order = [F.col(name).asc_nulls_first() for name in (*KEY, "at", "seq", "kind", *STATE, "post_id", "blank")]
     hit_rows = known.withColumn("own", own).select(
         *KEY, F.lit(HIT).alias("kind"), "own.*", F.coalesce(F.col("keyword") == "", F.lit(False)).alias("blank"),
         F.lit(None).cast("string").alias("words"),

@@ -135,9 +135,9 @@ def clean_content(spark, sf):
     return documents(spark, sf).select("doc_id", X.clean_content(F.concat(F.lit("\n \xa0"), raw, F.lit(" \t\n"))).alias("cleaned"))
 
 
-@query("join_keywords", V.with_views(V.NESTED, "select doc_id, keywords from nested"))
+@query("join_keywords", V.with_views(V.NESTED_EDGES, "select doc_id, keywords from nested"))
 def join_keywords(spark, sf):
-    return A.nested_posts(spark, sf).select(F.col("post_id").cast("bigint").alias("doc_id"), X.join_keywords(F.col("keywords")).alias("keywords"))
+    return A.nested_posts(spark, sf, edges=True).select(F.col("post_id").cast("bigint").alias("doc_id"), X.join_keywords(F.col("keywords")).alias("keywords"))
 
 
 @query("unique_keywords", "select doc_id, array_to_string(list_sort(list_distinct(string_split(text, ' '))), ' ') as words, len(list_distinct(string_split(text, ' '))) as n from documents")
@@ -240,7 +240,7 @@ TASK_SQL = (
 )
 
 
-@query("sentiment_prompt", V.with_views(V.NESTED, f"""select post_id, '{TASK_SQL}' || E'\\n제목: ' || coalesce(title, '제목 없음') || E'\\n본문: ' ||
+@query("sentiment_prompt", V.with_views(V.NESTED_EDGES, f"""select post_id, '{TASK_SQL}' || E'\\n제목: ' || coalesce(title, '제목 없음') || E'\\n본문: ' ||
   coalesce(content, '본문 없음') || E'\\n댓글:\\n' || coalesce(array_to_string(list_transform(lines, lambda l: '- ' || l), chr(10)), '') as prompt from nested"""))
 def sentiment_prompt(spark, sf):
-    return sentiment_requests(A.nested_posts(spark, sf), SUBJECT, "post_id")
+    return sentiment_requests(A.nested_posts(spark, sf, edges=True), SUBJECT, "post_id")

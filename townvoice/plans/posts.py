@@ -124,14 +124,14 @@ def flatten_comments(spark, sf):
     return comments.select("platform", "post_id", F.col("pos").cast("bigint").alias("pos"), "content", "like")
 
 
-@query("count_comments", V.with_views(V.NESTED, "select post_id, coalesce(len(lines), 0)::int as comment_count from nested"))
+@query("count_comments", V.with_views(V.NESTED_EDGES, "select post_id, coalesce(len(lines), 0)::int as comment_count from nested"))
 def count_comments(spark, sf):
-    return N.count_comments(A.nested_posts(spark, sf)).select("post_id", "comment_count")
+    return N.count_comments(A.nested_posts(spark, sf, edges=True)).select("post_id", "comment_count")
 
 
-@query("keep_parsed", V.with_views(V.NESTED, "select post_id, status from nested where status = 'UNCHANGED'"))
+@query("keep_parsed", V.with_views(V.NESTED_EDGES, "select post_id, status from nested where status = 'UNCHANGED'"))
 def keep_parsed(spark, sf):
-    return N.keep_parsed(A.nested_posts(spark, sf)).select("post_id", "status")
+    return N.keep_parsed(A.nested_posts(spark, sf, edges=True)).select("post_id", "status")
 
 
 @query("attach_batch", V.with_views(V.NESTED, f"select 'clien' as platform, timestamp '{A.BATCH}' as checked_at, post_id, content, keywords, \"like\" from nested"))

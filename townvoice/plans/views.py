@@ -21,7 +21,7 @@ def checked_at(key: str, many: bool) -> str:
 
 def posts(many: bool = False) -> str:
     return f"""posts as (
-  select source as platform, substr(text, 1, 40) as title, cast(doc_id as varchar) as post_id,
+  select source as platform, split_part(text, chr(10), 1) as title, cast(doc_id as varchar) as post_id,
          'https://example.invalid/' || source || '/' || doc_id as url, text as content, n_chars as "view",
          {START} + doc_id * interval 1 minute as created_at, cast(quality as bigint) as "like",
          cast(toxic as bigint) as dislike, cast(0 as bigint) as comment_count, lang as keywords,
@@ -36,7 +36,7 @@ def comments(many: bool = False) -> str:
          cast(null as bigint) as dislike, cast(conv_id as varchar) as post_id,
          case role when 'assistant' then 'positive' when 'user' then 'negative' else 'neutral' end as sentiment,
          {checked_at('conv_id', many)} as checked_at
-  from conversations where turn > 0)"""
+  from conversations)"""
 
 
 MERGED = """merged as (
@@ -45,7 +45,20 @@ MERGED = """merged as (
   select null, null, post_id, null, content, null, created_at, "like", dislike, null, null, sentiment, checked_at from comments)"""
 
 NESTED = f"""nested as (
-  select doc_id, source as platform, case when doc_id % 4 <> 0 then substr(text, 1, 40) end as title,
+  select doc_id, source as platform, case when doc_id % 4 <> 0 then split_part(text, chr(10), 1) end as title,
+         cast(doc_id as varchar) as post_id, '/d/' || doc_id as url, text as content,
+         n_chars as "view", {START} + doc_id * interval 1 minute as created_at,
+         case when doc_id % 2 <> 0 then doc_id % 100 end as "like",
+         case when doc_id % 8 <> 0 then lang || '-' || source else 'no_keyword' end as keywords,
+         'UNCHANGED' as status,
+         string_split(text, chr(10)) as lines
+  from documents),
+lines as (
+  select doc_id, platform, post_id, created_at, status, unnest(lines) as line, generate_subscripts(lines, 1) - 1 as pos
+  from nested)"""
+
+NESTED_EDGES = f"""nested as (
+  select doc_id, source as platform, case when doc_id % 4 <> 0 then split_part(text, chr(10), 1) end as title,
          cast(doc_id as varchar) as post_id, '/d/' || doc_id as url, case when doc_id % 6 <> 0 then text end as content,
          n_chars as "view", {START} + doc_id * interval 1 minute as created_at,
          case when doc_id % 2 <> 0 then doc_id % 100 end as "like",

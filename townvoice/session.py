@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,6 +38,7 @@ def shared_root(spark: SparkSession) -> str:
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     if context.applicationId not in _local_root:
+        warnings.warn("spark.checkpoint.dir is unset: intermediate tables go to a local temporary folder", stacklevel=3)
         _local_root[context.applicationId] = tempfile.mkdtemp(prefix="townvoice-")
         context.setCheckpointDir(os.path.join(_local_root[context.applicationId], "rdd"))
     return _local_root[context.applicationId]

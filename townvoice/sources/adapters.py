@@ -26,20 +26,8 @@ LATIN_LEXICON = [
 ]
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, heavy: bool = False) -> DataFrame:
-    """A given table. ``heavy`` announces costly work per row, see :func:`spread`."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(df) if heavy else df
-
-
-def spread(df: DataFrame, pieces: int = 8) -> DataFrame:
-    """Cut a scan of few row groups into more tasks, when cores would stay idle.
-
-    One row group is one task, however many cores there are. A scan with as many tasks
-    as cores, so any large one, is left alone and not shuffled.
-    """
-    cores, tasks = df.sparkSession.sparkContext.defaultParallelism, df.rdd.getNumPartitions()
-    return df if tasks >= cores else df.repartition(min(cores, tasks * pieces))
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def minutes(c: Column) -> Column:
@@ -64,10 +52,10 @@ def posts(spark: SparkSession, sf_dir: str, many: bool = False, prepare: Callabl
     for work that can shrink the rows the join may have to shuffle. Without ``labelled``
     nothing is joined and the columns that come from labels are absent."""
     key = F.col("doc_id")
-    rows = table(spark, sf_dir, "documents", heavy=prepare is not None).select(
+    rows = table(spark, sf_dir, "documents").select(
         key,
         F.col("source").alias("platform"),
-        F.substring("text", 1, 40).alias("title"),
+        F.substring_index("text", "\n", 1).alias("title"),
         key.cast("string").alias("post_id"),
         F.concat(F.lit("https://example.invalid/"), "source", F.lit("/"), key.cast("string")).alias("url"),
         F.col("text").alias("content"),
@@ -93,7 +81,7 @@ def posts(spark: SparkSession, sf_dir: str, many: bool = False, prepare: Callabl
 
 
 def comments(spark: SparkSession, sf_dir: str, many: bool = False) -> DataFrame:
-    return table(spark, sf_dir, "conversations").filter("turn > 0").select(
+    return table(spark, sf_dir, "conversations").select(
         (F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + minutes(F.col("turn"))).alias("created_at"),
         F.col("text").alias("content"),
         F.lit(None).cast("bigint").alias("like"),
@@ -107,12 +95,13 @@ def comments(spark: SparkSession, sf_dir: str, many: bool = False) -> DataFrame:
     )
 
 
-def nested_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def nested_posts(spark: SparkSession, sf_dir: str, edges: bool = False) -> DataFrame:
     """Posts before landing: a document, with its lines as comments.
 
-    Every fifth document has no comment list; counts and reactions are text, some of
-    it not numeric.
+    Counts and reactions are text, some of it not numeric. ``edges``, for operators that
+    are about them: some posts failed, some have no content or no comment list.
     """
+    absent = lambda n: (key % n == 0) if edges else F.lit(False)
     key = F.col("doc_id")
     comment = F.transform(
         F.split("text", "\n"),
@@ -126,10 +115,10 @@ def nested_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return table(spark, sf_dir, "documents").select(
         F.col("source").alias("platform"),
-        F.when(key % 4 != 0, F.substring("text", 1, 40)).alias("title"),
+        F.when(key % 4 != 0, F.substring_index("text", "\n", 1)).alias("title"),
         key.cast("string").alias("post_id"),
         F.concat(F.lit("/d/"), key.cast("string")).alias("url"),
-        F.when(key % 6 != 0, F.col("text")).alias("content"),
+        F.when(~absent(6), F.col("text")).alias("content"),
         F.col("n_chars").cast("string").alias("view"),
         (F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + minutes(key)).alias("created_at"),
         F.when(key % 2 == 0, F.col("lang")).otherwise((key % 100).cast("string")).alias("like"),
@@ -137,8 +126,8 @@ def nested_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("0").alias("comment_count"),
         F.when(key % 8 != 0, F.array(F.concat(F.lit(" "), "lang"), F.concat("source", F.lit("\n")))).alias("keywords"),
         F.lit(None).cast("string").alias("sentiment"),
-        F.when(key % 7 == 0, "FAILED").otherwise("UNCHANGED").alias("status"),
-        F.when(key % 5 != 0, comment).alias("comment"),
+        F.when(absent(7), "FAILED").otherwise("UNCHANGED").alias("status"),
+        F.when(~absent(5), comment).alias("comment"),
     )
 
 
@@ -152,7 +141,8 @@ def replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = F.when(key % 9 == 4, F.slice(labelled, 1, 1)).when(key % 9 == 5, F.concat(labelled, labelled)).otherwise(labelled)
     full = F.to_json(F.struct(label(key).alias("게시글_감정"), items.alias("댓글_분석")))
     no_label = F.to_json(F.struct(items.alias("댓글_분석")))
-    return table(spark, sf_dir, "documents", heavy=True).select(
+    return table(spark, sf_dir, "documents").select(
+        F.col("source").alias("platform"),
         key.cast("string").alias("post_id"),
         F.when(key % 11 == 0, "sorry, no answer")
         .when(key % 13 == 0, "{}")
@@ -285,7 +275,7 @@ def stamp(c: Column, style: str) -> Column:
 def page_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the site pages below are written from: a document, its lines and its time."""
     key = F.col("doc_id")
-    return table(spark, sf_dir, "documents", heavy=True).select(
+    return table(spark, sf_dir, "documents").select(
         key.alias("page_id"),
         key,
         "text",

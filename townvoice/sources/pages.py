@@ -161,6 +161,9 @@ LISTINGS = {"dcinside": dcinside_listing, "clien": clien_listing, "bobaedream":
 DETAILS = {"dcinside": dcinside_detail, "clien": clien_detail, "bobaedream": bobaedream_detail}
 
 
+NEEDED = ["url", "post_id", "comment_count", "view", "created_at"]
+
+
 def extract(html: Column, pick: Callable[[Element], object], fields: tuple[str, ...], kind) -> Column:
     """Apply ``pick`` to every page; absent fields are NULL."""
 
@@ -190,8 +193,19 @@ def page_keys(pages: DataFrame) -> list[str]:
 def parse_listing(pages: DataFrame, site: str) -> DataFrame:
     """Result rows of listing pages: the page's columns, ``pos`` on the page, typed fields.
 
-    Rows whose counts or time cannot be read are dropped; so are posts of unknown boards.
+    Rows whose counts or time cannot be read, or are beyond the contract's integers, are
+    in :func:`rejected_listing`; posts of unknown boards are no results.
     """
+    return listing_rows(pages, site).dropna(subset=NEEDED)
+
+
+def rejected_listing(pages: DataFrame, site: str) -> DataFrame:
+    """The rows that :func:`parse_listing` cannot use; what could not be read is NULL."""
+    rows = listing_rows(pages, site)
+    return rows.filter(" or ".join(f"{name} is null" for name in NEEDED))
+
+
+def listing_rows(pages: DataFrame, site: str) -> DataFrame:
     keys = [name if name != "url" else "page_url" for name in page_keys(pages)]
     pages = pages.withColumnRenamed("url", "page_url")
     rows = pages.select(*keys, extract(F.col("html"), LISTINGS[site], LISTING_FIELDS, LISTING_ROWS).alias("_rows"))
@@ -208,19 +222,19 @@ def parse_listing(pages: DataFrame, site: str) -> DataFrame:
     else:
         views = parse_count(F.col("view")) if site == "dcinside" else parse_si_count(F.col("view"))
         typed = typed.withColumns({
-            "comment_count": parse_count(F.col("comment_count")).cast("int"),
-            "view": views.cast("int"),
+            "comment_count": parse_count(F.col("comment_count")).try_cast("int"),
+            "view": views.try_cast("int"),
             "created_at": parse_community_ts(F.col("created_at"), "seconds"),
             "status": F.lit("CHANGED"),
         })
-    return typed.dropna(subset=["url", "post_id", "comment_count", "view", "created_at"]).select(
+    return typed.select(
         *keys, "pos", "title", "url", "post_id", "category", "writer", "comment_count", "view", "created_at", "status"
     )
 
 
 def typed_comments(site: str) -> Column:
     def one(c: Column) -> Column:
-        deleted = F.coalesce(F.contains(c["content"], F.lit(DELETED_COMMENT)), F.lit(False))
+        deleted = F.coalesce(F.contains(c["content"], F.lit(DELETED_COMMENT)), F.lit(False)) if site == "bobaedream" else F.lit(False)
         layout = {"bobaedream": "minutes", "clien": "seconds", "dcinside": "seconds"}[site]
         values = {
             "created_at": parse_community_ts(c["created_at"], layout),
@@ -242,7 +256,7 @@ def parse_detail(pages: DataFrame, site: str) -> DataFrame:
     """Posts of detail pages: the page's columns, typed fields and the comment list.
 
     Fields a page lacks are NULL; :func:`~townvoice.operators.normalize.default_missing`
-    fills them from the crawl state. Blocked comments are removed, deleted ones blanked.
+    fills them from the crawl state. Blocked comments are removed, on one site deleted ones are blanked.
     """
     keys = page_keys(pages)
     raw = pages.select(*keys, extract(F.col("html"), DETAILS[site], (*DETAIL_FIELDS, "comment"), DETAIL).alias("_page"))
