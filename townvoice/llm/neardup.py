@@ -329,7 +329,7 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     final = components(links.unionByName(found).unionByName(twins))
     of_class = classes.join(final, classes.rep == final.node, "left").select("set", F.coalesce("component", "rep").alias("component_id"))
     return rows.select("doc_id", "n", "set").join(of_class, "set", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")).withColumn(
+        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
