@@ -50,22 +50,20 @@ def features(text: str | None) -> np.ndarray:
     return np.flatnonzero(seen).astype(np.int32)
 
 
-def fit(rows: list[np.ndarray], labels: np.ndarray) -> Model:
-    """Weights from the features of the sample and their labels (0 or 1)."""
-    base = float(np.clip(labels.mean() if len(labels) else 0.0, 1e-4, 1 - 1e-4))
-    bias = float(np.log(base / (1 - base)))
-    if not len(labels) or labels.min() == labels.max():
-        return Model(np.zeros(1 << BITS, np.float32), bias)
-    lengths = np.array([len(r) for r in rows])
-    flat, owner = np.concatenate(rows), np.repeat(np.arange(len(rows)), lengths)
-    positive = labels[owner] == 1
-    logs = []
-    for chosen, n in ((flat[positive], labels.sum()), (flat[~positive], len(labels) - labels.sum())):
-        logs.append(np.log((np.bincount(chosen, minlength=1 << BITS) + SMOOTHING) / (n + 2 * SMOOTHING)))
+def log_ratios(positive: np.ndarray, negative: np.ndarray, n_positive: int, n_negative: int) -> np.ndarray:
+    """Naive Bayes log-count ratio of each feature, from how many texts of a class hold it; near 0 is 0."""
+    logs = [np.log((held + SMOOTHING) / (n + 2 * SMOOTHING)) for held, n in ((positive, n_positive), (negative, n_negative))]
     ratio = logs[0] - logs[1]
     ratio[np.abs(ratio) < LEAST_RATIO] = 0
-    keep = ratio[flat] != 0
-    flat, owner = flat[keep], owner[keep]
+    return ratio
+
+
+def fit(rows: list[np.ndarray], labels: np.ndarray, ratio: np.ndarray) -> Model:
+    """Weights from the features with a ratio that each text of the sample holds, and labels (0 or 1)."""
+    base = float(np.clip(labels.mean() if len(labels) else 0.0, 1e-4, 1 - 1e-4))
+    if not len(labels) or labels.min() == labels.max():
+        return Model(np.zeros(1 << BITS, np.float32), float(np.log(base / (1 - base))))
+    flat, owner = np.concatenate(rows), np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
     used, flat = np.unique(flat, return_inverse=True)
     scale, weights = ratio[used], np.zeros(len(used))
     balance = np.where(labels == 1, 0.5 / base, 0.5 / (1 - base))
@@ -100,9 +98,33 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         for batch in batches:
             yield pd.DataFrame({"doc_id": batch.doc_id, "label": batch.label, "features": [features(t).tobytes() for t in batch.text]})
 
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = np.zeros((2, 1 << BITS), np.int64)
+        for batch in batches:
+            for label, own in zip(batch.label, batch.features):
+                held[label][np.frombuffer(own, np.int32)] += 1
+        some = np.flatnonzero(held.any(axis=0))
+        yield pd.DataFrame({"feature": some, "negative": held[0][some], "positive": held[1][some]})
+
     kind = docs.schema["doc_id"].dataType.simpleString()
-    found = texts.mapInPandas(hashed, f"doc_id {kind}, label int, features binary").orderBy("doc_id").toPandas()
-    return fit([np.frombuffer(f, np.int32) for f in found.features], found.label.to_numpy())
+    found = materialize(texts.mapInPandas(hashed, f"doc_id {kind}, label int, features binary"), "features")
+    sizes = {row.label: row.n for row in found.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    counts = found.mapInPandas(counted, "feature bigint, negative bigint, positive bigint").groupBy("feature").agg(
+        F.sum("negative").alias("negative"), F.sum("positive").alias("positive"))
+    held = np.zeros((2, 1 << BITS))
+    for row in counts.toLocalIterator():
+        held[:, row.feature] = row.negative, row.positive
+    ratio = log_ratios(held[1], held[0], sizes.get(1, 0), sizes.get(0, 0))
+    useful = docs.sparkSession.sparkContext.broadcast(ratio != 0)
+
+    # only features with a ratio come to the driver
+    def reduced(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            own = [np.frombuffer(f, np.int32) for f in batch.features]
+            yield pd.DataFrame({"doc_id": batch.doc_id, "label": batch.label, "features": [f[useful.value[f]].tobytes() for f in own]})
+
+    rows = found.mapInPandas(reduced, f"doc_id {kind}, label int, features binary").orderBy("doc_id").collect()
+    return fit([np.frombuffer(row.features, np.int32) for row in rows], np.array([row.label for row in rows]), ratio)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
