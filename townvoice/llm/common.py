@@ -11,6 +11,7 @@ from ..session import materialize, shared_path
 
 __all__ = ["materialize", "shared_path"]
 
+BATCH = 1000
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 
 
@@ -18,6 +19,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Python gets at most 1,000 rows at once from now on: whole texts may be long.
+
+    Operators with Python functions call this on their session; a smaller setting stays.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH:
+        spark.conf.set(key, str(BATCH))
+
+
 def words(text: Column) -> Column:
     """The words ``[^\\x20\\x09-\\x0D]+`` of a text, in order; none for null."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), WORD_BREAK), lambda w: w != "")

@@ -20,14 +20,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import small_batches, table
 
 WINDOW = 8  # tokens; an item with fewer is one window
 LITERAL = 0.5  # share of a window's tokens that are plain words, at least
 COVER = 0.5  # share of an item's tokens that matches cover, at least
 CONSISTENT = 0.8  # share of slot pairs that follow one substitution, at least
 BLOCK = 1_000_000  # windows of the benchmark that one pass over the texts looks up
-CACHED = 300_000  # words whose tokens a task keeps
+CACHED = 50_000  # words whose tokens a task keeps
 # units that count as such after a number; fixed values
 UNITS = frozenset("""% mm cm m km kg g mg l ml s ms min h hz kb mb gb tb usd eur gbp inch inches foot feet yard yards mile miles
 ounce ounces pound pounds gram grams kilogram kilograms meter meters metre metres kilometer kilometers liter liters litre litres
@@ -163,6 +163,7 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, block: int = BLOCK) ->
     are ignored; without rows on either side there are none. The benchmark is looked up in
     blocks of bounded size, each in one pass over the texts.
     """
+    small_batches(docs.sparkSession)
     kind, item = (df.schema[c].dataType.simpleString() for df, c in ((docs, "doc_id"), (benchmark, "item_id")))
     schema = f"doc_id {kind}, item_id {item}, covered double, consistent double"
     out = docs.sparkSession.createDataFrame([], schema)
@@ -189,6 +190,7 @@ def holds_item(text: Column, benchmark: DataFrame, block: int = BLOCK) -> Column
 
         return F.pandas_udf(search, "boolean")(text)
 
+    small_batches(benchmark.sparkSession)
     held, context = F.lit(False), benchmark.sparkSession.sparkContext
     for found in blocks(benchmark, block):
         held = held | lookup(context.broadcast(tuple(found)))

@@ -16,7 +16,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import id_crc, table
+from .common import id_crc, small_batches, table
 
 GRAM = 3
 SLOT_BITS = 18
@@ -54,6 +54,7 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Filters:
     At most ``sample`` texts of each language; an n-gram enters a language's filter if
     ``LEAST_SHARE`` of these texts, and two where there are several, hold it.
     """
+    small_batches(docs.sparkSession)
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (id_crc() % FOLDS != HELD)).select(
         "lang", "doc_id", F.xxhash64("doc_id", F.lit(8)).alias("order"))
     total = known.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
@@ -122,6 +123,7 @@ def identify(docs: DataFrame, filters: Filters) -> DataFrame:
 
     Repeated rows are judged alike; no rows give no rows.
     """
+    small_batches(docs.sparkSession)
     plain = docs.drop("lang_pred", "score", "__guess")
     shared = docs.sparkSession.sparkContext.broadcast(tuple(filters))
 

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, table
+from .common import materialize, small_batches, table
 
 SHINGLE = 5  # words; the registered query takes 4
 SIMILAR = 80  # percent of the union
@@ -31,7 +31,7 @@ NEAR = 0.6  # share of equal slots below which a pair is not confirmed: 7 deviat
 PARITY = 2048  # bits that hold whether their number of shingles is odd
 BLOCK = 2048  # documents of a band, or members of a centre, that are compared in one group
 SENT = 500_000  # requests for texts that are broadcast, at most: about 30 bytes each
-CACHED = 500_000  # words whose hashes a task keeps
+CACHED = 100_000  # words whose hashes a task keeps
 GOLDEN, MIX_A, MIX_B = (np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
 
@@ -297,6 +297,7 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     document with several texts. A null id is linked with nothing and kept; other columns
     are ignored; no rows give no rows.
     """
+    small_batches(docs.sparkSession)
     texts = docs.select("doc_id", "text")
     rows = materialize(sketches(texts, size), "sketches")
     whole = rows.filter("set is not null and doc_id is not null")

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, table
+from .common import materialize, small_batches, table
 
 SIZE = 100  # bytes
 GRAM = 32
@@ -266,6 +266,7 @@ def merged(spans: DataFrame) -> DataFrame:
 
 def repeated_spans(docs: DataFrame, size: int = SIZE) -> DataFrame:
     """``doc_id, spans``: the byte ranges of each document that also start earlier, where there are any."""
+    small_batches(docs.sparkSession)
     texts = docs.filter("doc_id is not null and text is not null").select(F.col("doc_id").cast("long"), "text").filter(
         F.octet_length("text") >= size)
     repeated = materialize(anchor_counts(texts, size).select("anchor"), "anchors")

@@ -20,14 +20,14 @@ import tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import small_batches, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 LIMIT = 512  # tokens
 # the pattern that cuts texts before the merges; fixed value
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-CACHED = 200_000  # pieces whose counts a task keeps
-CHUNK = 4 << 20  # characters whose counts are sent back at once, about
+CACHED = 100_000  # pieces whose counts a task keeps
+CHUNK = 2 << 20  # characters whose counts are sent back at once, about
 
 
 def byte_of() -> dict[str, int]:
@@ -87,14 +87,16 @@ class Prefixes:
         return parts
 
     def is_stable(self, token: bytes) -> bool:
+        if token not in self.tokens:
+            return False
         if token not in self.stable:
-            self.stable[token] = token in self.tokens and self.merged(token) == [token]
+            self.stable[token] = self.merged(token) == [token]
         return self.stable[token]
 
     def may_follow(self, left: bytes, right: bytes) -> bool:
         pair = (left, right)
         if pair not in self.fits:
-            if len(self.fits) > CACHED * 4:
+            if len(self.fits) >= CACHED:
                 self.fits.clear()
             self.fits[pair] = self.merged(left + right) == [left, right]
         return self.fits[pair]
@@ -172,6 +174,7 @@ def prefix_tokens(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     counted alike; other columns are ignored; no rows give no rows. The file is read on the
     driver and travels with the tasks.
     """
+    small_batches(docs.sparkSession)
     with open(vocabulary, encoding="utf-8") as file:
         spec = docs.sparkSession.sparkContext.broadcast(file.read())
 

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import id_crc, materialize, table
+from .common import id_crc, materialize, small_batches, table
 
 BITS = 18
 GRAMS = (3, 4, 5)
@@ -87,6 +87,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     Rows without a label or id are not used; a repeated id counts once, as toxic if any of
     its rows is. Ids are chosen before texts are read.
     """
+    small_batches(docs.sparkSession)
     known = labels.filter((F.col("toxic").isin(0, 1)) & F.col("doc_id").isNotNull() & (id_crc() % FOLDS != HELD))
     chosen = (
         known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label"))
@@ -132,6 +133,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     Other columns stay, a column of this name is replaced; repeated rows score alike.
     """
+    small_batches(docs.sparkSession)
     plain = docs.drop("toxicity")
     shared = docs.sparkSession.sparkContext.broadcast(tuple(model))
 
