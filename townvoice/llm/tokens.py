@@ -10,7 +10,9 @@ exact count of every prefix, and questions on truncation or budgets need no enco
 from __future__ import annotations
 
 import json
+from array import array
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import public_tokenizers
@@ -26,7 +28,7 @@ VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 LIMIT = 512  # tokens
 # the pattern that cuts texts before the merges; fixed value
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-CACHED = 100_000  # pieces whose counts a task keeps
+CACHED = 400_000  # pieces whose counts a task keeps, and pairs of tokens
 CHUNK = 2 << 20  # characters whose counts are sent back at once, about
 
 
@@ -54,8 +56,9 @@ class Prefixes:
         self.cutter = tokenizers.pre_tokenizers.ByteLevel(add_prefix_space=False)
         self.kinds: dict[str, str] = {}
         self.runs = regex.compile(r"\s{2,}(?=\S)")
-        self.stable: dict[bytes, bool] = {}
-        self.fits: dict[tuple[bytes, bytes], bool] = {}
+        self.stable: dict[bytes, bool | None] = dict.fromkeys(self.tokens)  # None: not looked at yet
+        self.fits: dict[bytes, dict[bytes, bool]] = {}
+        self.pairs = 0
         self.cache: dict[str, tuple[bytes, int]] = {}
 
     def plain(self, text: str) -> str:
@@ -87,30 +90,36 @@ class Prefixes:
         return parts
 
     def is_stable(self, token: bytes) -> bool:
-        if token not in self.tokens:
-            return False
-        if token not in self.stable:
-            self.stable[token] = self.merged(token) == [token]
-        return self.stable[token]
+        found = self.stable[token] = self.merged(token) == [token]
+        return found
 
     def may_follow(self, left: bytes, right: bytes) -> bool:
-        pair = (left, right)
-        if pair not in self.fits:
-            if len(self.fits) >= CACHED:
-                self.fits.clear()
-            self.fits[pair] = self.merged(left + right) == [left, right]
-        return self.fits[pair]
+        if self.pairs >= CACHED:
+            self.fits.clear()
+            self.pairs = 0
+        self.pairs += 1
+        found = self.fits.setdefault(left, {})[right] = self.merged(left + right) == [left, right]
+        return found
 
     def of_bytes(self, piece: bytes) -> list[int]:
         """Tokens of each prefix of an uncut piece, the empty one first."""
         counts, last = [0], [b""]
+        stable, fits, longest, none = self.stable.get, self.fits.get, self.longest, {}
         for end in range(1, len(piece) + 1):
-            for start in range(max(0, end - self.longest), end):
+            for start in range(end - longest if end > longest else 0, end):
                 token = piece[start:end]
-                if self.is_stable(token) and (start == 0 or self.may_follow(last[start], token)):
-                    counts.append(counts[start] + 1)
-                    last.append(token)
-                    break
+                known = stable(token, False)
+                if known is None:
+                    known = self.is_stable(token)
+                if not known:
+                    continue
+                if start:
+                    follows = fits(last[start], none).get(token)
+                    if not (self.may_follow(last[start], token) if follows is None else follows):
+                        continue
+                counts.append(counts[start] + 1)
+                last.append(token)
+                break
         return counts
 
     def of_piece(self, piece: str) -> tuple[bytes, int]:
@@ -129,12 +138,12 @@ class Prefixes:
         if piece.isascii():
             counts = by_byte[1:]
         else:
-            counts = [by_byte[i] for i in np.cumsum([len(c.encode()) for c in piece])]
+            counts = [by_byte[i] for i in accumulate(len(c.encode()) for c in piece)]
         if piece[0] == "'":  # a cut inside 're leaves the apostrophe and a letter, two pieces
             for i in range(1, len(piece)):
                 cut = self.pattern.findall(piece[:i])
                 counts[i - 1] = sum(self.of_bytes(part.encode())[-1] for part in cut)
-        return np.asarray(counts, np.int32).tobytes(), counts[-1]
+        return array("i", counts).tobytes(), counts[-1]
 
     def ordinary(self, text: str) -> np.ndarray:
         """Tokens of each prefix of a text in which special strings are ordinary."""
