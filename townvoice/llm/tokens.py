@@ -65,11 +65,13 @@ class Prefixes:
         """``text`` with a sign for each letter that is newer than the library's tables."""
         if text.isascii():
             return text
-        for c in set(self.unusual.findall(text)) - self.kinds.keys():
+        unusual = set(self.unusual.findall(text))
+        for c in unusual - self.kinds.keys():
             known = len(self.cutter.pre_tokenize_str("a" + c)) == 1 or len(self.cutter.pre_tokenize_str("1" + c)) == 1
             letter = bool(regex.match(r"[\p{L}\p{N}]", c))
             self.kinds[c] = "\u00a7" if letter and not known else c
-        return text.translate({ord(c): k for c, k in self.kinds.items() if k != c})
+        newer = {ord(c): self.kinds[c] for c in unusual if self.kinds[c] != c}
+        return text.translate(newer) if newer else text
 
     def merged(self, word: bytes) -> list[bytes]:
         """The tokens of a short word by its merges, lowest rank first."""
@@ -181,14 +183,17 @@ def prefix_tokens(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     The last element is the count of the whole text, as the library gives it without added
     tokens. Null counts as the empty text, whose only prefix has 0 tokens; repeated rows are
     counted alike; other columns are ignored; no rows give no rows. The file is read on the
-    driver and travels with the tasks.
+    driver and travels with the tasks; a Python worker keeps its tables for its next tasks.
     """
     small_batches(docs.sparkSession)
     with open(vocabulary, encoding="utf-8") as file:
-        spec = docs.sparkSession.sparkContext.broadcast(file.read())
+        shared = docs.sparkSession.sparkContext.broadcast({"spec": file.read()})
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        prefixes = Prefixes(spec.value)
+        own = shared.value  # one object for all tasks of a worker
+        if "prefixes" not in own:
+            own["prefixes"] = Prefixes(own["spec"])
+        prefixes = own["prefixes"]
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
             arrays, start, held = [], 0, 0
