@@ -181,6 +181,12 @@ def calls(df):
     return {k: sorted(v) for k, v in out.items()}
 
 
+def test_detail_plan_in_blocks(spark, monkeypatch):
+    whole = calls(P.detail_plan(backlog(spark, 200, 1, 500), FUNCTIONS, 40, "2025-02-24 00:00:00"))
+    monkeypatch.setattr(P, "BLOCK", 2)
+    assert calls(P.detail_plan(backlog(spark, 200, 1, 500), FUNCTIONS, 40, "2025-02-24 00:00:00")) == whole
+
+
 def test_detail_plan(spark):
     plan = calls(P.detail_plan(backlog(spark, 0, 41, 40), FUNCTIONS, 40, "2025-02-24 00:00:00"))
     assert plan == {"clien_fn": [(i, False) for i in range(4)], "c_fn": [(0, False)]}

@@ -179,6 +179,17 @@ def test_claim(spark):
     assert {r.url for r in failed.collect()} == {"/changed", "/banned61", "/failed"}
 
 
+@pytest.mark.parametrize("limit", [0, 1, 37, 250, 400])
+def test_first_rows_with_ties(spark, limit):
+    """Most rows have one time; the number taken may span ranges, end in one, or exceed all."""
+    rows = spark.range(300).selectExpr(
+        "if(id % 5 = 0, null, timestamp_ntz '2025-02-24 00:00:00') as checked_at", "'clien' as platform", "concat('/', id) as url")
+    order = ["checked_at", "platform", "url"]
+    want = [r.url for r in rows.orderBy(*order).limit(limit).collect()]
+    got = [r.url for r in T.first_rows(rows.repartition(7), order, limit).collect()]
+    assert sorted(got) == sorted(want) and len(got) == min(limit, 300)
+
+
 def test_status_transition_keeps_time_without_one(spark):
     tracking = frame(spark, [state("/a"), state("/b")], TRACKING_SCHEMA)
     later = T0 + timedelta(hours=1)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.times import batch_path
 
 FLAGGED = "clien"  # Fixed value: the source that gets extra calls.
+BLOCK = 10_000  # calls of a source that one row is spread into
 
 
 def keyword_lookup(keyword_set: DataFrame, name: str) -> DataFrame:
@@ -90,9 +91,15 @@ def detail_plan(backlog: DataFrame, functions: list[tuple[str, str]], size: int,
     )
     width = F.when(F.col("flagged") & (F.col("calls") > 0), F.col("longest")).otherwise(F.col("calls"))
     filler = F.col("func_id") >= F.col("calls")
+    # Blocks of calls are dealt out first, so that no task makes all calls of a source.
+    first = F.explode(F.sequence(F.lit(0), F.col("_width") - 1, F.lit(BLOCK)))
+    last = F.least(F.col("_width"), F.col("_first") + BLOCK) - 1
     return (
         plan.filter(F.col("calls") > 0)
-        .select("*", F.explode(F.sequence(F.lit(0), width - 1)).alias("func_id"))
+        .withColumn("_width", width)
+        .withColumn("_first", first)
+        .repartition("source_pos", "_first")
+        .select("*", F.explode(F.sequence(F.col("_first"), last)).alias("func_id"))
         .select(
             "func_id",
             "source_pos",

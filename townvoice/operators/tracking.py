@@ -289,6 +289,25 @@ def claim_pending(tracking: DataFrame, now: Column, limit: int | None = None, re
     if limit is None:
         after = tracking.withColumn("status", F.when(ready, "UNCHANGED").otherwise(status))
     else:
-        taken = taken.orderBy("checked_at", *KEY).limit(limit)
+        taken = first_rows(taken, ["checked_at", *KEY], limit)
         after = failed_write_rollback(tracking, taken, "UNCHANGED")
     return taken.withColumn("status", F.lit("CHANGED")), after
+
+
+def first_rows(df: DataFrame, order: list[str], limit: int) -> DataFrame:
+    """The ``limit`` first rows by ``order``, which tells rows apart; no task holds them all.
+
+    Rows are written in ordered ranges. Counts say which ranges are taken whole; only the
+    rows of ranges that begin before the limit are numbered.
+    """
+    dealt = materialize(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "ranges")
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = dealt.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
+    before = counts.select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    return (
+        dealt.join(before.filter(F.col("_before") < limit), "_part")
+        .withColumn("_inside", inside)
+        .filter(F.col("_before") + F.col("_inside") <= limit)
+        .select(*df.columns)
+    )
