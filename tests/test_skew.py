@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from contextlib import contextmanager
 from datetime import datetime
 
@@ -12,7 +13,7 @@ from townvoice.functions.times import ntz
 from townvoice.operators import listing as L
 from townvoice.operators import normalize as N
 from townvoice.operators import tracking as T
-from townvoice.operators.fold import OUTCOME_SCHEMA, fold_ranges
+from townvoice.operators.fold import HIT, OUTCOME_SCHEMA, PACKED, Run, fold_ranges
 from townvoice.schemas import HITS_SCHEMA
 from townvoice.session import materialize
 
@@ -123,3 +124,56 @@ def test_a_hot_url_is_folded_in_many_ranges(spark):
             state = (r.view, r.comment_count, r.checked_at)
     assert [(r.view, r.comment_count, r.checked_at) for r in got] == [state]
     assert got[0].checked_at > datetime(2025, 1, 1)
+
+
+@pytest.mark.parametrize("rule, drift", [("literal", -1), ("documented", 1), ("documented", -1)])
+def test_slowly_drifting_views_are_folded_in_many_ranges(spark, rule, drift):
+    """Almost every hit is a new extreme; some are reports of a failure, some have an empty keyword."""
+    n = 24_000
+    id_ = F.col("id")
+    rows = spark.range(n).select(
+        F.lit("clien").alias("platform"), F.lit("/hot").alias("url"), F.lit("1").alias("post_id"),
+        F.when(id_ % 997 == 996, "FAILED").otherwise("CHANGED").alias("status"), F.lit(7).alias("comment_count"),
+        (100_000 + drift * id_ + F.when(id_ % 2 == 0, 0).otherwise(F.pmod(F.xxhash64("id"), F.lit(5)))).cast("int").alias("view"),
+        ntz("2025-01-01 00:00:00").alias("created_at"),
+        (ntz("2025-01-01 00:00:00") + F.make_dt_interval(secs=id_.cast("decimal(18,6)"))).alias("checked_at"),
+        F.when(id_ % 5000 == 4567, "").otherwise("k").alias("keyword"), id_.alias("seq"),
+    )
+    with settings(spark, {**SMALL, "spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        got = T.tracking_upsert(None, rows.select(*HITS_SCHEMA.names), rule=rule).collect()
+    state, blank = None, False
+    for r in rows.orderBy("seq").collect():
+        if state and r.status == "FAILED":
+            state = (*state[:2], "FAILED", r.checked_at)
+        elif state is None or (abs(state[0] - r.view) > 100 if rule == "documented" else state[0] - r.view > 100):
+            state = (r.view, r.comment_count, r.status, r.checked_at)
+            blank = blank or r.keyword == ""
+    assert [(r.view, r.comment_count, r.status, r.checked_at) for r in got] == [state]
+    assert set(got[0].keywords) == ({"k", ""} if blank else {"k"})
+
+
+def test_hits_of_one_time_and_number_are_ordered_across_ranges(spark):
+    """No number tells the hits of one run apart, and there are ranges enough to cut them."""
+    n = 24_000
+    rows = spark.range(n).select(
+        F.lit("clien").alias("platform"), F.lit("/hot").alias("url"), F.lit("1").alias("post_id"), F.lit("CHANGED").alias("status"),
+        F.lit(7).alias("comment_count"), F.col("id").cast("int").alias("view"), ntz("2025-01-01 00:00:00").alias("created_at"),
+        ntz("2025-01-01 00:00:00").alias("checked_at"), F.lit("k").alias("keyword"), F.lit(None).cast("bigint").alias("seq"),
+    )
+    with settings(spark, {**SMALL, "spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        got = T.tracking_upsert(None, rows.select(*HITS_SCHEMA.names), rule="documented").collect()
+    # views ascend from 0, and each state is left at the first view more than 100 above it
+    assert [r.view for r in got] == [(n - 1) // 101 * 101]
+
+
+@pytest.mark.parametrize("documented, drift", [(False, -1), (True, 1)])
+def test_time_per_hit_does_not_grow_with_a_range(documented, drift):
+    def took(n):
+        run, started = Run(("clien", "/hot"), 0, 100, documented), time.process_time()
+        for i in range(n):
+            run.add(HIT, "CHANGED", 500_000 + drift * i, 7, 0, i, False, (i, i))
+        rows = list(run.outcomes())
+        assert len(rows) == -(-n // PACKED) and max(len(row[10]) for row in rows) <= 101 * 2 + 1
+        return time.process_time() - started
+
+    assert took(200_000) < 10 * 5 * took(20_000)

@@ -2,55 +2,96 @@
 
 A state takes over a hit when the hit *fires*. Which hits fire depends on every hit
 before, yet a range of hits can be folded without knowing the state it starts from:
-all states that fire at a hit become that hit, so the possible outcomes of a range
-quickly fall together. What is left is a short list of intervals, each saying "an
-entry state that fires here ends up there".
+all states that fire at a hit become that hit. What is left is a list of intervals, each
+saying "an entry state that fires here ends up there".
+
+Slowly drifting views leave as many intervals as hits, but few ends. So a state that fires
+only gets a pointer to the hit it became (followed, and shortened, when the range ends),
+heaps tell which states fire, and many intervals share one row: time per hit does not grow
+with the range.
 """
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
+from datetime import datetime, timedelta
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 
 BASE, FORCED, HIT = 0, 1, 2  # row kinds, in the order they apply at one position
+PACKED = 4096  # intervals in one outcome row, at most
 
 ORDER = ["at", "seq", "kind"]
 COLUMNS = [
     "platform", "url", *ORDER, "status", "view", "comment_count", "created_at", "checked_at", "blank", "post_id", "words",
 ]
 OUTCOME_SCHEMA = (
-    "platform string, url string, at timestamp_ntz, seq bigint, kind int, n int, role string, "
-    "view_low bigint, view_high bigint, count_low bigint, count_high bigint, "
-    "view int, comment_count int, status string, created_at timestamp_ntz, checked_at timestamp_ntz, "
-    "blank_at timestamp_ntz, blank_seq bigint, post_id string, words string"
+    "platform string, url string, part int, n int, role string, "
+    "view_low array<bigint>, view_high array<bigint>, count_low array<bigint>, count_high array<bigint>, path array<int>, "
+    "states array<struct<view:int,comment_count:int,status:string,created_at:timestamp_ntz,checked_at:timestamp_ntz,"
+    "blank_at:timestamp_ntz,blank_seq:bigint>>, "
+    "at timestamp_ntz, seq bigint, post_id string, words string"
 )
-OUTCOME_COLUMNS = [part.strip().split(" ")[0] for part in OUTCOME_SCHEMA.split(",")]
-TIMES = ["at", "created_at", "checked_at", "blank_at"]
+OUTCOME_COLUMNS = [
+    "platform", "url", "part", "n", "role", "view_low", "view_high", "count_low", "count_high", "path", "states",
+    "at", "seq", "post_id", "words",
+]
+INTERVALS = ["view_low", "view_high", "count_low", "count_high", "path"]
 UNSTABLE = ("FAILED", "BANNED")
 NO_TIME = np.iinfo("int64").min  # as a time: not a time
+EPOCH = datetime(1970, 1, 1)
+
+
+class State:
+    """Figures of one hit, and the state it became where a later hit fired."""
+
+    __slots__ = ("status", "view", "count", "created", "checked", "blank", "marks", "next")
+
+    def __init__(self, status, view, count, created, checked, blank, marks=0):
+        self.status, self.view, self.count, self.created, self.checked = status, view, count, created, checked
+        self.blank = blank  # the first empty keyword met, from this hit up to where ``next`` points
+        self.marks = marks  # unstable reports of the range before this hit
+        self.next = None
+
+    def last(self) -> State:
+        """The state this one is by now. Pointers on the way are shortened."""
+        way, state = [], self
+        while state.next is not None:
+            way.append(state)
+            state = state.next
+        blank = state.blank
+        for passed in reversed(way):
+            blank = passed.blank = passed.blank or blank
+            passed.next = state
+        return state
 
 
 class Run:
     """The rows of one URL inside one sorted range."""
 
-    def __init__(self, key: tuple, start: tuple, threshold: int, documented: bool):
-        self.key, self.start = key, start
+    def __init__(self, key: tuple, part: int, threshold: int, documented: bool):
+        self.key, self.part = key, part
         self.threshold, self.documented = threshold, documented
-        self.entries = []  # intervals of entry states: [view_low, view_high, count_low, count_high, path]
-        self.open = []  # current states reachable from unknown entry states
+        self.entries = []  # intervals of entry states: [view_low, view_high, count_low, count_high, state]
+        self.room = 1024  # intervals before neighbours are merged again
+        # open states in order of falling view and count, and of rising ones where those fire too
+        self.heaps = [[] for _ in range(4 if documented else 2)]
+        self.open = self.pushed = 0
         self.bounds = None
         self.unstable = None  # last (status, checked_at) met by an entry state that never fired
+        self.marks = 0
         self.known = None  # the state once it no longer depends on the entry state
         self.from_base = False
         self.words = []  # rows that only carry post_id and keywords along
 
-    def fires(self, state: dict, view: int, count: int) -> bool:
-        fallen = state["view"] - view
+    def fires(self, state: State, view: int, count: int) -> bool:
+        fallen = state.view - view
         if self.documented:
-            return abs(fallen) > self.threshold or state["comment_count"] != count
-        return fallen > self.threshold or state["comment_count"] > count
+            return abs(fallen) > self.threshold or state.count != count
+        return fallen > self.threshold or state.count > count
 
     def new_extreme(self, view: int, count: int) -> bool:
         """Only a new extreme can be the first hit at which some entry state fires."""
@@ -66,74 +107,108 @@ class Run:
         if kind != HIT:
             if kind == BASE:
                 self.from_base = True
-            previous = self.known["blank"] if self.known else None
-            self.known = self.state(status, view, count, created, checked, previous)
+            previous = self.known.blank if self.known else None
+            self.known = State(status, view, count, created, checked, previous)
         elif status in UNSTABLE:
             if self.known:
-                self.known.update(status=status, checked_at=checked)
+                self.known.status, self.known.checked = status, checked
             else:
                 self.unstable = (status, checked)
-                for state in self.open:
-                    state.update(status=status, checked_at=checked)
+                self.marks += 1
         elif self.known:
             if self.fires(self.known, view, count):
-                self.known = self.state(status, view, count, created, checked, self.known["blank"] or (at if blank else None))
+                self.known = State(status, view, count, created, checked, self.known.blank or (at if blank else None))
         else:
-            self.branch(status, view, count, created, checked, at if blank else None)
+            self.branch(State(status, view, count, created, checked, at if blank else None, self.marks))
 
-    def state(self, status, view, count, created, checked, blank) -> dict:
-        return {"status": status, "view": view, "comment_count": count, "created_at": created, "checked_at": checked, "blank": blank}
-
-    def branch(self, status, view, count, created, checked, blank) -> None:
-        fired = [s for s in self.open if self.fires(s, view, count)]
-        extreme = self.new_extreme(view, count)
+    def branch(self, hit: State) -> None:
+        """All open states that fire at ``hit`` become it, and entry states that fire first here do."""
+        fired = self.fire(hit)
+        extreme = self.new_extreme(hit.view, hit.count)
         if not fired and not extreme:
             return
-        # States that differ only in where they first met an empty keyword stay apart.
-        by_blank = {}
-        for blank_at in [s["blank"] or blank for s in fired] + ([blank] if extreme else []):
-            if blank_at not in by_blank:
-                by_blank[blank_at] = self.state(status, view, count, created, checked, blank_at)
-        moved = {id(s): by_blank[s["blank"] or blank] for s in fired}
-        for entry in self.entries:
-            entry[4] = moved.get(id(entry[4]), entry[4])
-        self.open = [s for s in self.open if id(s) not in moved] + list(by_blank.values())
+        self.open += 1
+        self.pushed += 1
+        for heap, key in zip(self.heaps, (-hit.view, -hit.count, hit.view, hit.count)):
+            heapq.heappush(heap, (key, self.pushed, hit))
         if extreme:
-            self.entries.append([view, view, count, count, by_blank[blank]])
-        self.merge_neighbours()
+            self.entries.append([hit.view, hit.view, hit.count, hit.count, hit])
+            if len(self.entries) > self.room:
+                self.merge_neighbours()
+
+    def fire(self, hit: State) -> bool:
+        limits = (-hit.view - self.threshold, -hit.count, hit.view - self.threshold, hit.count)
+        fired = False
+        for n, (heap, limit) in enumerate(zip(self.heaps, limits)):
+            while heap and heap[0][0] < limit:
+                state = heapq.heappop(heap)[2]
+                if state.next is None:
+                    state.next, fired = hit, True
+                    self.open -= 1
+            if len(heap) > 2 * self.open + 64:  # states that fired by another order
+                self.heaps[n] = [item for item in heap if item[2].next is None]
+                heapq.heapify(self.heaps[n])
+        return fired
 
     def merge_neighbours(self) -> None:
-        merged = []
+        """Neighbours that end in one state, and met their first empty keyword at one hit, are one interval."""
+        merged, end = [], None
         for entry in self.entries:
-            if merged and merged[-1][4] is entry[4]:
+            to = entry[4].last()
+            if merged and (to, entry[4].blank) == end:
                 last = merged[-1]
                 last[0], last[1] = min(last[0], entry[0]), max(last[1], entry[1])
                 last[2], last[3] = min(last[2], entry[2]), max(last[3], entry[3])
             else:
                 merged.append(entry)
+                end = (to, entry[4].blank)
         self.entries = merged
+        self.room = max(1024, 2 * len(merged))
 
-    def note(self, at: int, seq: int, kind: int, post_id: str, words: str) -> None:
-        self.words.append((*self.key, at, seq, kind, 0, "words", *[None] * 11, post_id, words))
+    def note(self, at: int, seq: int, post_id: str, words: str) -> None:
+        self.words.append((*self.key, self.part, 0, "words", *[None] * 6, at, seq, post_id, words))
 
     def outcomes(self) -> Iterator[tuple]:
         """Rows telling how any entry state leaves this range."""
         yield from self.words
+        n = 0
         if not self.from_base:
-            for n, (*interval, state) in enumerate(self.entries):
-                yield self.row(n, "entry", interval, state)
+            self.merge_neighbours()
+            for start in range(0, len(self.entries), PACKED):
+                yield self.packed(n, self.entries[start : start + PACKED])
+                n += 1
             if self.unstable and not self.known:
                 status, checked = self.unstable
-                yield self.row(len(self.entries), "unstable", [None] * 4, self.state(status, None, None, None, checked, None))
+                yield self.row(n, "unstable", [None] * 5, [self.figures(State(status, None, None, None, checked, None, self.marks))])
+                n += 1
         if self.known:
-            yield self.row(len(self.entries) + 1 if not self.from_base else 0, "known", [None] * 4, self.known)
+            yield self.row(n, "known", [None] * 5, [self.figures(self.known, self.known.blank, False)])
+
+    def packed(self, n: int, entries: list) -> tuple:
+        """Intervals in order, each with the place of its end among ``states``."""
+        places, states, path = {}, [], []
+        for *_, first in entries:
+            end = (first.last(), first.blank)
+            if end not in places:
+                places[end] = len(states)
+                states.append(self.figures(*end))
+            path.append(places[end])
+        return self.row(n, "entry", [*([entry[i] for entry in entries] for i in range(4)), path], states)
+
+    def figures(self, s: State, blank: tuple | None = None, marked: bool = True) -> dict:
+        status, checked = self.unstable if marked and s.marks < self.marks else (s.status, s.checked)
+        blank_at, blank_seq = blank or (None, None)
+        return {
+            "view": s.view, "comment_count": s.count, "status": status, "created_at": moment(s.created),
+            "checked_at": moment(checked), "blank_at": moment(blank_at), "blank_seq": blank_seq,
+        }
+
+    def row(self, n: int, role: str, intervals: list, states: list) -> tuple:
+        return (*self.key, self.part, n, role, *intervals, states, None, None, None, None)
+
 
-    def row(self, n: int, role: str, interval: list, s: dict) -> tuple:
-        blank_at, blank_seq = s["blank"] or (None, None)
-        return (
-            *self.key, *self.start, n, role, *interval, s["view"], s["comment_count"], s["status"],
-            s["created_at"], s["checked_at"], blank_at, blank_seq, None, None,
-        )
+def moment(micros: int | None) -> datetime | None:
+    return None if micros is None else EPOCH + timedelta(microseconds=micros)
 
 
 def micros(times: pd.Series) -> list:
@@ -151,9 +226,8 @@ def integers(numbers: pd.Series) -> list:
 
 def to_frame(rows: list[tuple]) -> pd.DataFrame:
     frame = pd.DataFrame(rows, columns=OUTCOME_COLUMNS, dtype=object)
-    for name in TIMES:
-        whole = np.array([NO_TIME if t is None else t for t in frame[name]], dtype="int64")
-        frame[name] = whole.view("datetime64[us]")
+    whole = np.array([NO_TIME if t is None else t for t in frame["at"]], dtype="int64")
+    frame["at"] = whole.view("datetime64[us]")
     return frame
 
 
@@ -173,10 +247,10 @@ def fold_ranges(threshold: int, documented: bool):
                 if run is None or run.key != (platform, url):
                     if run is not None:
                         done.extend(run.outcomes())
-                    run = Run((platform, url), (at, seq, kind), threshold, documented)
+                    run = Run((platform, url), TaskContext.get().partitionId(), threshold, documented)
                 run.add(kind, status, view, count, created, checked, blank, (at, seq))
                 if kind != HIT:
-                    run.note(at, seq, kind, post_id, words)
+                    run.note(at, seq, post_id, words)
             if done:
                 yield to_frame(done)
                 done = []

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import TRACKING_SCHEMA
 from ..session import materialize
-from .fold import BASE, COLUMNS, FORCED, HIT, OUTCOME_COLUMNS, OUTCOME_SCHEMA, fold_ranges
+from .fold import BASE, COLUMNS, FORCED, HIT, INTERVALS, OUTCOME_SCHEMA, fold_ranges
 
 KEY = ["platform", "url"]
 UNSTABLE = ["FAILED", "BANNED"]
@@ -179,23 +179,26 @@ def combine(outcomes: Column, threshold: int, rule: str) -> Column:
             return lower
         return lower | (o["view_high"] > view + threshold) | (o["count_high"] > count)
 
-    def state(s: Column, o: Column, taken: Column, fired: Column) -> Column:
+    def state(s: Column, t: Column, fired: Column) -> Column:
+        taken = t.isNotNull()
         blank = s["blank_at"].isNull() & taken
         return F.struct(
-            *[F.when(taken, o[name]).otherwise(s[name]).alias(name) for name in ("view", "comment_count", "status", "created_at", "checked_at")],
-            F.when(blank, o["blank_at"]).otherwise(s["blank_at"]).alias("blank_at"),
-            F.when(blank, o["blank_seq"]).otherwise(s["blank_seq"]).alias("blank_seq"),
+            *[F.when(taken, t[name]).otherwise(s[name]).alias(name) for name in ("view", "comment_count", "status", "created_at", "checked_at")],
+            *[F.when(blank, t[name]).otherwise(s[name]).alias(name) for name in ("blank_at", "blank_seq")],
             fired.alias("fired"),
         )
 
     def step(s: Column, o: Column) -> Column:
         fired = F.coalesce(s["fired"] & (o["n"] > 0), F.lit(False))
-        exists = s["status"].isNotNull()
-        enters = exists & ~fired & (o["role"] == "entry") & F.coalesce(fires(s, o), F.lit(False))
-        marked = exists & ~fired & (o["role"] == "unstable")
-        moved = state(s, o, enters | (o["role"] == "known"), fired | enters)
-        failed = s.withField("status", o["status"]).withField("checked_at", o["checked_at"]).withField("fired", fired)
-        return F.when(marked, failed).otherwise(moved).cast(STATE_TYPE)
+        free = s["status"].isNotNull() & ~fired
+        reached = F.get(F.filter(o["entries"], lambda e: F.coalesce(fires(s, e), F.lit(False))), F.lit(0))
+        sure = F.get(o["states"], F.lit(0))
+        target = F.when(o["role"] == "known", sure).when(free & (o["role"] == "entry"), F.get(o["states"], reached["path"]))
+        # one pass through ``transform``, so that the target is looked up once
+        moved = F.get(
+            F.transform(F.array(target), lambda t: state(s, t, fired | (t.isNotNull() & (o["role"] == "entry")))), F.lit(0))
+        failed = s.withField("status", sure["status"]).withField("checked_at", sure["checked_at"]).withField("fired", fired)
+        return F.when(free & (o["role"] == "unstable"), failed).otherwise(moved).cast(STATE_TYPE)
 
     return F.aggregate(outcomes, F.lit(None).cast(STATE_TYPE), step)
 
@@ -204,10 +207,11 @@ def final_state(outcomes: DataFrame, threshold: int, rule: str) -> DataFrame:
     """One row per URL from the outcomes of its ranges and the keywords it met.
 
     What is collected per URL is its keywords and the outcomes of the ranges it was cut
-    into, never its hits.
+    into, never its hits. Ranges are in the order of their partitions.
     """
-    names = [name for name in OUTCOME_COLUMNS if name not in KEY]
-    rows = outcomes.groupBy(*KEY).agg(F.array_sort(F.collect_list(F.struct(*names))).alias("rows"))
+    names = ["part", "n", "role", "entries", "states", "at", "seq", "post_id", "words"]
+    packed = outcomes.withColumn("entries", F.arrays_zip(*INTERVALS))
+    rows = packed.groupBy(*KEY).agg(F.array_sort(F.collect_list(F.struct(*names))).alias("rows"))
     steps = F.filter("rows", lambda o: o["role"] != "words")
     notes = F.transform(
         F.filter("rows", lambda o: o["role"] == "words"),
