@@ -224,7 +224,8 @@ def components(links: DataFrame) -> DataFrame:
     """
     edges = materialize(
         links.select(F.greatest("owner", "member").alias("u"), F.least("owner", "member").alias("v")).filter("u <> v").distinct(), "edges")
-    before = None
+    state = lambda: tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+    before = state()
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -232,7 +233,7 @@ def components(links: DataFrame) -> DataFrame:
         lower = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(lower, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
         edges = materialize(small.select("e.*").filter("u <> v").distinct(), "edges")
-        now = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+        now = state()
         if now == before:
             break
         before = now
@@ -317,7 +318,7 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     )
     nearest = close_pairs(stars, reps).groupBy("left").agg(F.max_by("right", F.struct("agree", "right")).alias("owner"))
     links = materialize(confirmed(nearest.select("owner", F.col("left").alias("member")), texts, size), "links")
-    first = components(links)
+    first = materialize(components(links), "first")
     placed = shared.select("key", F.col("rep").alias("node")).join(first, "node", "left").join(
         reps.select(F.col("rep").alias("node"), "n", "slots", "odd"), "node")
     members = placed.select("key", "node", F.coalesce("component", "node").alias("component"), "n", "slots", "odd")
@@ -327,7 +328,9 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     # a document with several texts joins their classes
     own = whole.join(classes, "set").filter("doc_id <> rep").groupBy("doc_id").agg(F.min("rep").alias("owner"), F.max("rep").alias("member"))
     twins = own.filter("owner <> member").select("owner", "member")
-    final = components(links.unionByName(found).unionByName(twins))
+    # stars of the first links stand for them, so that only what is new takes further steps
+    stars = first.select(F.col("component").alias("owner"), F.col("node").alias("member"))
+    final = components(stars.unionByName(found).unionByName(twins))
     of_class = classes.join(final, classes.rep == final.node, "left").select("set", F.coalesce("component", "rep").alias("component_id"))
     return rows.select("doc_id", "n", "set").join(of_class, "set", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id")).withColumn(
