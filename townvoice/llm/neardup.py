@@ -31,6 +31,7 @@ NEAR = 0.6  # share of equal slots below which a pair is not confirmed: 7 deviat
 PARITY = 2048  # bits that hold whether their number of shingles is odd
 BLOCK = 2048  # documents of a band, or members of a centre, that are compared in one group
 SENT = 500_000  # requests for texts that are broadcast, at most: about 30 bytes each
+TOGETHER = 4096  # elements of small sets that take their rounds together
 CACHED = 100_000  # words whose hashes a task keeps
 GOLDEN, MIX_A, MIX_B = (np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
@@ -61,19 +62,36 @@ def shingle_set(text: str | None, size: int, known: Words) -> np.ndarray:
     folded = np.full(len(words) - size + 1, size, np.uint64)
     for i in range(size):
         folded = mixed(folded * GOLDEN + hashes[i : i + len(folded)])
-    return np.unique(folded)
+    folded.sort()
+    return folded[np.concatenate([[True], folded[1:] != folded[:-1]])]
 
 
 def signature(elements: np.ndarray, slots: int = SLOTS) -> np.ndarray:
-    """SuperMinHash of a set: the least value at each slot.
+    return signatures([elements], slots)[0]
+
+
+def signatures(sets: list[np.ndarray], slots: int = SLOTS) -> np.ndarray:
+    """SuperMinHash of sets, a row each; sets of like size take their rounds together."""
+    least = np.full((len(sets), slots), np.inf)
+    sizes = np.array([len(s) for s in sets])
+    by_size = np.argsort(sizes, kind="stable")
+    group = np.cumsum(sizes[by_size]) // TOGETHER
+    for some in np.split(by_size, np.flatnonzero(np.diff(group)) + 1):
+        least[some] = in_rounds([sets[i] for i in some], slots)
+    return least
+
+
+def in_rounds(sets: list[np.ndarray], slots: int) -> np.ndarray:
+    """The least value of each set at each slot.
 
     In round j each element puts j plus a random share of 1 at one slot, the j-th of its own
-    random permutation. Once all slots are below the next round's number, no later round
-    can change one. All elements take a round together.
+    random permutation. Once all slots of a set are below the next round's number, no later
+    round can change one, and its elements stop.
     """
-    least = np.full(slots, np.inf)
-    order = None
-    own = np.arange(len(elements))
+    least = np.full(len(sets) * slots, np.inf)
+    elements = np.concatenate(sets)
+    base = np.repeat(np.arange(len(sets)) * slots, [len(s) for s in sets])
+    order = own = None
     for j in range(slots):
         random = mixed(elements + np.uint64((2 * j + 1) * int(GOLDEN) % (1 << 64)))
         share = (random >> np.uint64(11)).astype(np.float64) * 2.0**-53
@@ -83,13 +101,23 @@ def signature(elements: np.ndarray, slots: int = SLOTS) -> np.ndarray:
         else:
             slot = order[own, pick]
             order[own, pick] = order[:, j]
-        np.minimum.at(least, slot, share + j)
-        if least.max() < j + 1:
+        np.minimum.at(least, base + slot, share + j)
+        going = (least.reshape(-1, slots).max(axis=1) >= j + 1)[base // slots]
+        left = np.count_nonzero(going)
+        if not left:
             break
         if order is None:  # most sets of many elements are done by now
-            order = np.tile(np.arange(slots, dtype=np.uint16), (len(elements), 1))
+            elements, base, pick = elements[going], base[going], pick[going]
+            order, own = np.tile(np.arange(slots, dtype=np.uint16), (left, 1)), np.arange(left)
             order[own, pick] = 0
-    return least
+        elif 2 * left < len(elements):
+            elements, base, order, own = elements[going], base[going], order[going], own[:left]
+    return least.reshape(-1, slots)
+
+
+def parities(found: np.ndarray) -> bytes:
+    counts = np.bincount((found & np.uint64(PARITY - 1)).astype(np.int64), minlength=PARITY)
+    return np.packbits(counts & 1).tobytes()
 
 
 def sketches(docs: DataFrame, size: int) -> DataFrame:
@@ -98,26 +126,21 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Words()
         for batch in batches:
-            sizes, hashes, bands, bytes_, odd = [], [], [], [], []
-            for text in batch.column(1):
-                found = shingle_set(text.as_py(), size, known)
-                sizes.append(len(found))
-                hashes.append(xxhash.xxh3_128_hexdigest(found.tobytes()) if len(found) else None)
-                if not len(found):
-                    bands.append(np.zeros(0, np.int64))
-                    bytes_.append(None)
-                    odd.append(None)
-                    continue
-                values = mixed(signature(found).view(np.uint64))
-                keys = np.arange(1, BANDS + 1, dtype=np.uint64)
-                for row in values.reshape(BANDS, ROWS).T:
-                    keys = mixed(keys * GOLDEN + row)
-                bands.append(keys.view(np.int64))
-                bytes_.append((values & np.uint64(255)).astype(np.uint8).tobytes())
-                counts = np.bincount((found & np.uint64(PARITY - 1)).astype(np.int64), minlength=PARITY)
-                odd.append(np.packbits(counts & 1).tobytes())
-            offsets = np.concatenate([[0], np.cumsum([len(b) for b in bands])]).astype(np.int32)
-            flat = np.concatenate(bands) if bands else np.zeros(0, np.int64)
+            sets = [shingle_set(text.as_py(), size, known) for text in batch.column(1)]
+            sizes = np.array([len(found) for found in sets], np.int64)
+            some = sizes > 0
+            # a row for each set that is not empty: values of the slots, keys of the bands
+            values = mixed(signatures([found for found in sets if len(found)]).view(np.uint64)) if some.any() else np.zeros((0, SLOTS), np.uint64)
+            keys = np.tile(np.arange(1, BANDS + 1, dtype=np.uint64), (len(values), 1))
+            for i in range(ROWS):
+                keys = mixed(keys * GOLDEN + values[:, i::ROWS])
+            low = (values & np.uint64(255)).astype(np.uint8)
+            place = np.cumsum(some) - 1
+            bytes_ = [low[i].tobytes() if any_ else None for i, any_ in zip(place, some)]
+            hashes = [xxhash.xxh3_128_hexdigest(found.tobytes()) if len(found) else None for found in sets]
+            odd = [parities(found) if len(found) else None for found in sets]
+            offsets = np.concatenate([[0], np.cumsum(some * BANDS)]).astype(np.int32)
+            flat = keys.reshape(-1).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(hashes, pa.string()),
                  pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), pa.array(bytes_, pa.binary()), pa.array(odd, pa.binary())],
