@@ -103,6 +103,35 @@ def test_reparameterised_questions(spark, edge_docs, no_docs):
     assert decontamination.decontaminated(edge_docs, bench.limit(0)).count() == 11
 
 
+def inserted(words, gap):
+    return [x for k, w in enumerate(words) for x in ([f"extra{k}", w] if k and k % gap == 0 else [w])]
+
+
+def test_copies_with_inserted_and_left_out_words(spark):
+    item = [f"word{k}" for k in range(38)]
+    asked = "our old train with 12 heavy cars leaves Paris at 9 and it slowly travels 300 km to Lyon before all those 12 heavy cars return to Paris again".split()
+    swap = {"12": "15", "Paris": "Rome", "9": "7", "300": "420", "Lyon": "Milan"}
+    other = [swap.get(w, w) for w in asked]
+    cases = {
+        1: inserted(item, 10), 2: inserted(item, 13), 3: [w for k, w in enumerate(item) if k % 10 != 9],
+        4: item[:10] + item[28:], 5: inserted(other, 9), 6: other[:9] + other[11:],
+        # half of an item far from the other half, in the wrong order, or with other substitutions, is no copy
+        7: item[:10] + ["x"] * 500 + item[28:], 8: item[24:] + item[:14], 9: ["y"] * 9 + item[:18],
+    }
+    docs = spark.createDataFrame([(i, " ".join(["start", "of", *w, "end"])) for i, w in cases.items()], "doc_id int, text string")
+    bench = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(asked))], "item_id int, text string")
+    got = {(r.doc_id, r.item_id): r for r in decontamination.contaminations(docs, bench).collect()}
+    assert set(got) == {(i, 1) for i in (1, 2, 3, 4)} | {(5, 2), (6, 2)}
+    assert got[1, 1].covered == got[2, 1].covered == 1.0 and got[4, 1].covered == 20 / 38 and got[5, 2].consistent == 1.0
+    assert {r.doc_id for r in decontamination.decontaminated(docs, bench).collect()} == {7, 8, 9}
+
+
+def test_items_of_repeated_words(spark):
+    docs = spark.createDataFrame([(1, "a b " * 3000)], "doc_id int, text string")
+    bench = spark.createDataFrame([(1, "a b " * 20 + "c d e"), (2, "a b " * 8 + "c d e f " * 8)], "item_id int, text string")
+    assert [tuple(r) for r in decontamination.contaminations(docs, bench).collect()] == [(1, 1, 40 / 43, 1.0)]
+
+
 def test_toxicity_learns(spark, docs, edge_docs, no_docs):
     bad, good = ["idiot", "moron", "scum", "clown"], ["tree", "river", "stone", "cloud", "house"]
     r = random.Random(3)

@@ -2,14 +2,17 @@
 
 Numbers, units and names become typed placeholders, other words are lower-cased and lose
 their punctuation. Windows of such tokens are hashed and looked up among the windows of the
-benchmark. Matches of one item that lie on one diagonal (same distance of places) are
-collected, and its slots checked: each value of the item must stand for one value of the
-document. An item is found if consistent matches cover enough of its tokens, so also when
-a question comes back with other numbers or names.
+benchmark. Matches of one item on one diagonal (same distance of places) form runs, and runs
+on nearby diagonals are chained in order of place, since inserted or left out words move what
+follows. The slots of the chain are checked: each value of the item must stand for one value
+of the document. An item is found if consistent matches cover enough of its tokens, so also
+when a question comes back with other numbers or names. A copy changed in every window of
+eight tokens shares no window and is not found.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -127,6 +130,98 @@ def index(entries: dict, items: dict) -> Index:
     return Index(lengths, items)
 
 
+class Run(NamedTuple):
+    """Consecutive places of an item that match a text at one distance."""
+
+    shift: int  # place in the text less place in the item
+    start: int  # first place in the item
+    end: int
+
+
+def runs_of(places: np.ndarray, shifts: np.ndarray, sizes: np.ndarray) -> list[Run]:
+    """The runs that the matching windows of one item form, by shift and place."""
+    order = np.lexsort((places, shifts))
+    found: list[Run] = []
+    for shift, start, size in zip(shifts[order].tolist(), places[order].tolist(), sizes[order].tolist()):
+        if found and found[-1].shift == shift and start <= found[-1].end:
+            found[-1] = Run(shift, found[-1].start, max(found[-1].end, start + size))
+        else:
+            found.append(Run(shift, start, start + size))
+    return found
+
+
+def beside(run: Run, other: Run) -> Run:
+    """What of ``run`` lies wholly before or wholly after ``other``, in the item and in the text; the longer part."""
+    apart = other.shift - run.shift
+    after = Run(run.shift, max(run.start, other.end + max(0, apart)), run.end)
+    before = Run(run.shift, run.start, min(run.end, other.start + min(0, apart)))
+    return max(before, after, key=lambda r: r.end - r.start)
+
+
+def agreement(chain: list[Run], slot: np.ndarray, values: list[str], words: list[str]) -> float:
+    """Share of the slot pairs of a chain that follow one substitution."""
+    pairs = {(values[i], words[i + r.shift]) for r in chain for i in range(r.start, r.end) if slot[i]}
+    both = len({a for a, _ in pairs}) + len({b for _, b in pairs})
+    return both / (2 * len(pairs)) if pairs else 1.0
+
+
+def chained(seed: Run, others: list[Run], band: int, fits) -> list[Run]:
+    """``seed`` and those of ``others``, the longest first, that keep the order of places and the band of shifts."""
+    chain, low, high = [seed], seed.shift, seed.shift
+    for run in others:
+        if max(high, run.shift) - min(low, run.shift) > band:
+            continue
+        for own in chain:
+            run = beside(run, own)
+            if run.start >= run.end:
+                break
+        else:
+            if fits([*chain, run]):
+                chain.append(run)
+                low, high = min(low, run.shift), max(high, run.shift)
+    return chain
+
+
+def best_copy(runs: list[Run], slot: np.ndarray, values: list[str], words: list[str]) -> tuple[float, float] | None:
+    """Covered and consistent share of the best copy of an item that its runs form, if one is enough.
+
+    A copy is one run, runs of one shift, or runs of nearby shifts in order of place: inserted
+    and left out words move what follows. Its shifts differ by the item's length at most.
+    """
+    total = len(values)
+
+    def union(some: list[Run]) -> float:
+        held = np.zeros(total, bool)
+        for r in some:
+            held[r.start : r.end] = True
+        return float(held.mean())
+
+    def agree(chain: list[Run]) -> float:
+        return agreement(chain, slot, values, words)
+
+    bound, best = union(runs), (0.0, 0.0)
+    if bound < COVER:
+        return None
+    shifts = [r.shift for r in runs]
+    for seed in sorted(runs, key=lambda r: r.start - r.end):
+        near = runs[bisect_left(shifts, seed.shift - total) : bisect_right(shifts, seed.shift + total)]
+        if union(near) < COVER:
+            continue
+        others = sorted((r for r in near if r is not seed), key=lambda r: r.start - r.end)
+        same = [seed, *(r for r in others if r.shift == seed.shift)]
+        tried = [same]
+        if len(others) >= len(same):
+            # with all that fits by place, or only what keeps the slots consistent
+            tried += [chained(seed, others, total, lambda c: True), chained(seed, others, total, lambda c: agree(c) >= CONSISTENT)]
+        for chain in tried:
+            covered = sum(r.end - r.start for r in chain) / total
+            if covered >= COVER and (covered, 1.0) > best and (share := agree(chain)) >= CONSISTENT:
+                best = max(best, (covered, share))
+        if best >= (bound, 1.0):
+            break
+    return best if best[0] else None
+
+
 def matches(text: str | None, found: Index, known: Canonical) -> list[tuple]:
     """``item_id, covered share, consistent share`` of the items that a text holds."""
     tokens = known.tokens(text)
@@ -140,20 +235,15 @@ def matches(text: str | None, found: Index, known: Canonical) -> list[tuple]:
         for at in np.flatnonzero(hit):
             entry = first[at]
             while entry < len(hashes) and hashes[entry] == own[at]:
-                near.setdefault((owners[entry], int(at) - int(places[entry])), []).append((int(at), int(places[entry]), size))
+                near.setdefault(owners[entry], []).append((int(places[entry]), int(at) - int(places[entry]), size))
                 entry += 1
-    best: dict = {}
-    for (key, shift), runs in near.items():
-        slot, values, total = found.items[key]
-        covered = np.zeros(total, bool)
-        for _, place, size in runs:
-            covered[place : place + size] = True
-        pairs = {(values[i], tokens.values[i + shift]) for i in np.flatnonzero(covered & slot)}
-        both = len({a for a, _ in pairs}) + len({b for _, b in pairs})
-        agree = both / (2 * len(pairs)) if pairs else 1.0
-        if covered.mean() >= COVER and agree >= CONSISTENT:
-            best[key] = max(best.get(key, (0.0, 0.0)), (float(covered.mean()), float(agree)))
-    return [(key[1], *value) for key, value in best.items()]
+    out = []
+    for key, hits in near.items():
+        slot, values, _ = found.items[key]
+        best = best_copy(runs_of(*np.array(hits).T), slot, values, tokens.values)
+        if best:
+            out.append((key[1], *best))
+    return out
 
 
 def contaminations(docs: DataFrame, benchmark: DataFrame, block: int = BLOCK) -> DataFrame:
