@@ -126,6 +126,27 @@ def test_copies_with_inserted_and_left_out_words(spark):
     assert {r.doc_id for r in decontamination.decontaminated(docs, bench).collect()} == {7, 8, 9}
 
 
+def test_items_dense_in_slots_and_copies_in_other_case(spark):
+    items = {
+        1: "12 30 7 45 9 10 11 88 3 64", 2: "Anna Berta Carl Dora Emil Frieda Gustav Hanna Ida", 3: "What is 12 plus 30",
+        4: "The old train with many cars leaves the small station at dawn and comes back late in the evening.",
+        5: "Totals 4 5 6 7 8 of 9 10 11 12 13", 6: "The Long History Of Modern Towns And Rivers",
+    }
+    copies = {
+        1: [items[1]], 2: [items[2], items[2].upper()], 3: [items[3], "WHAT IS 12 PLUS 30", "What is 15 plus 41"],
+        4: [items[4].upper(), items[4].title(), items[4].lower()], 5: [items[5], "Totals 1 2 3 8 9 of 77 78 79 80 81"], 6: [items[6], items[6].lower()],
+    }
+    # as many numbers or names of other values, or a heading of the same shape, are no copy
+    rows = [(i, "Heading " + text + " and more") for i, texts in copies.items() for text in texts] + [
+        (0, "Heading 13 31 8 46 19 20 21 89 4 65 and more"), (0, "Heading Karl Lena Maria Nora Otto Paul Quirin Rosa Sven and more"),
+        (0, "The New Guide To Ancient Cities With Maps"), (0, "THE NEW GUIDE TO ANCIENT CITIES WITH MAPS")]
+    docs = spark.createDataFrame([(k, want, text) for k, (want, text) in enumerate(rows)], "doc_id int, want int, text string")
+    bench = spark.createDataFrame(list(items.items()), "item_id int, text string")
+    got = {(r.doc_id, r.item_id) for r in decontamination.contaminations(docs, bench).collect()}
+    assert got == {(k, want) for k, (want, _) in enumerate(rows) if want}
+    assert {r.want for r in decontamination.decontaminated(docs, bench).collect()} == {0}
+
+
 def test_items_of_repeated_words(spark):
     docs = spark.createDataFrame([(1, "a b " * 3000)], "doc_id int, text string")
     bench = spark.createDataFrame([(1, "a b " * 20 + "c d e"), (2, "a b " * 8 + "c d e f " * 8)], "item_id int, text string")

@@ -1,17 +1,23 @@
 """Benchmark decontamination by template canonicalisation (operator 2).
 
-Numbers, units and names become typed placeholders, other words are lower-cased and lose
-their punctuation. Windows of such tokens are hashed and looked up among the windows of the
-benchmark. Matches of one item on one diagonal (same distance of places) form runs, and runs
-on nearby diagonals are chained in order of place, since inserted or left out words move what
-follows. The slots of the chain are checked: each value of the item must stand for one value
-of the document. An item is found if consistent matches cover enough of its tokens, so also
-when a question comes back with other numbers or names. A copy changed in every window of
-eight tokens shares no window and is not found.
+Words are lower-cased and lose their punctuation. Windows of them are hashed and looked up
+among the windows of the benchmark under three keys: as they are, with numbers and units as
+typed placeholders, and with names as placeholders too. So every item with a word is found
+where it stands literally, in any case, and most also with other numbers or names. Matches
+of one item on one diagonal (same distance of places) form runs, and runs on nearby diagonals
+are chained in order of place, since inserted or left out words move what follows. The slots
+of the chain are checked: each value of the item must stand for one value of the document.
+An item is found if consistent matches cover enough of its tokens. A copy changed in every
+window of eight tokens shares no window and is not found.
+
+Windows of slots only are no evidence of another set of values. Names are told by capitals
+alone, so windows that are mostly names, as in any heading, add to a copy that has another
+match, but make none.
 """
 
 from __future__ import annotations
 
+from array import array
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -26,7 +32,7 @@ from pyspark.sql import functions as F
 from .common import small_batches, table
 
 WINDOW = 8  # tokens; an item with fewer is one window
-LITERAL = 0.5  # share of a window's tokens that are plain words, at least
+LITERAL = 0.5  # share of plain words in a window with names, at least, for it to be evidence by itself
 COVER = 0.5  # share of an item's tokens that matches cover, at least
 CONSISTENT = 0.8  # share of slot pairs that follow one substitution, at least
 BLOCK = 1_000_000  # windows of the benchmark that one pass over the texts looks up
@@ -37,63 +43,126 @@ ounce ounces pound pounds gram grams kilogram kilograms meter meters metre metre
 second seconds minute minutes hour hours day days week weeks month months year years cent cents dollar dollars euro euros
 percent degree degrees watt watts volt volts""".split())
 NUMBER, UNIT, NAME = (xxhash.xxh3_64_intdigest(kind) for kind in (b"<number>", b"<unit>", b"<name>"))
+NAMED = 2  # the key with names as slots
+SEEDS = np.array([1, 2, 3], np.uint64)  # tell the windows of the three keys apart
+POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 GOLDEN, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 EDGES = regex.compile(r"^[^\p{L}\p{M}\p{N}%]+|[^\p{L}\p{M}\p{N}%]+$")
 STOP = regex.compile(r"[.!?:]\W*$")
 
 
 class Tokens(NamedTuple):
-    ids: np.ndarray  # hash of each template token
-    slot: np.ndarray  # whether it is a placeholder
-    values: list[str]  # the word it stands for
+    keys: tuple[np.ndarray, ...]  # hash of each token: as it is, with numbers and units as slots, with names too
+    slots: tuple[np.ndarray, ...]  # whether it is a placeholder there
+    codes: np.ndarray
+    words: list[str]  # the word of each code
 
+    def values(self) -> list[str]:
+        """The word each token stands for."""
+        return [self.words[code] for code in self.codes]
 
-class Canonical(dict):
-    """What a word can be: its core, literal hash, number?, unit?, capital?, ends a sentence?"""
 
-    def __missing__(self, word: str):
-        if len(self) >= CACHED:
-            self.clear()
-        core = EDGES.sub("", word)
+class Canonical(dict):
+    """Codes of words, and what each can be: core, hash, number?, unit?, capital?, ends a sentence?"""
+
+    def __init__(self):
+        super().__init__()
+        self.forget()
+
+    def forget(self) -> None:
+        self.clear()
+        self.cores: list[str] = []
+        self.hashes, self.kinds = array("Q"), array("B")  # kinds: bits of the five answers
+
+    def __missing__(self, word: str) -> int:
+        code = self[word] = len(self.cores)
+        if word.isalpha():  # the usual words need no pattern
+            core, stop = word, False
+        elif word[-1] in ".,;!?:" and word[:-1].isalpha():
+            core, stop = word[:-1], word[-1] in ".!?:"
+        else:
+            core, stop = EDGES.sub("", word), STOP.search(word) is not None
         low = core.lower()
-        value = self[word] = (
-            low, xxhash.xxh3_64_intdigest(low.encode("utf-8", "surrogatepass")), core[:1].isdigit(),
-            low in UNITS, core[:1].isupper(), STOP.search(word) is not None)
-        return value
+        self.cores.append(low)
+        self.hashes.append(xxhash.xxh3_64_intdigest(low.encode("utf-8", "surrogatepass")))
+        first = core[:1]
+        self.kinds.append(first.isdigit() | (low in UNITS) << 1 | first.isupper() << 2 | stop << 3 | (low != "") << 4)
+        return code
 
     def tokens(self, text: str | None) -> Tokens:
-        """Template tokens of a text; words without a letter or digit are left out."""
+        """Tokens of a text; words without a letter or digit are left out."""
+        if len(self.cores) >= CACHED:
+            self.forget()
+        words = (text or "").split()
+        codes = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        kinds = np.frombuffer(self.kinds, np.uint8)[codes] if words else np.zeros(0, np.uint8)
+        number, unit, capital, stop, held = ((kinds & bit).astype(bool) for bit in (1, 2, 4, 8, 16))
+        literal = np.frombuffer(self.hashes, np.uint64)[codes] if words else np.zeros(0, np.uint64)
         # the first word, and one after a sentence's end, is no name for its capital
-        found = [self[word] for word in (text or "").split()]
-        starts = np.array([True, *(f[5] for f in found[:-1])], bool)[: len(found)]
-        held = np.array([bool(f[0]) for f in found], bool)
-        number, unit, capital = (np.array([f[i] for f in found], bool) for i in (2, 3, 4))
-        after = np.concatenate([[False], number[:-1]])[: len(found)]
-        ids = np.array([f[1] for f in found], np.uint64)
-        name = capital & ~starts & ~number
-        slot = number | (unit & after) | name
-        ids[name], ids[unit & after], ids[number] = NAME, UNIT, NUMBER
-        return Tokens(ids[held], slot[held], [f[0] for f, h in zip(found, held) if h])
-
-
-def windows(tokens: Tokens, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """The hash of the window at each place, and whether it has enough plain words."""
-    n = len(tokens.ids) - size + 1
+        starts = np.concatenate([[True], stop[:-1]])[: len(words)]
+        measure = unit & np.concatenate([[False], number[:-1]])[: len(words)] & ~number
+        name = capital & ~starts & ~number & ~measure
+        counted = np.where(number, np.uint64(NUMBER), np.where(measure, np.uint64(UNIT), literal))
+        named = np.where(name, np.uint64(NAME), counted)
+        counts = number | measure
+        keys, slots = (literal, counted, named), (np.zeros(len(words), bool), counts, counts | name)
+        if not held.all():
+            keys, slots, codes = tuple(k[held] for k in keys), tuple(x[held] for x in slots), codes[held]
+        return Tokens(keys, slots, codes, self.cores)
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of GOLDEN and of its inverse, modulo 2**64."""
+    if n > len(POWERS[0]):
+        for i, base in enumerate((int(GOLDEN), pow(int(GOLDEN), -1, 1 << 64))):
+            own = np.full(2 * n, base, np.uint64)
+            own[0] = 1
+            POWERS[i] = np.multiply.accumulate(own)
+    return POWERS[0][:n], POWERS[1][:n]
+
+
+def windowed(marks: np.ndarray, size: int) -> np.ndarray:
+    """How many marks the window at each place has."""
+    sums = np.concatenate([[0], np.cumsum(marks)])
+    return sums[size:] - sums[:-size]
+
+
+def windows(tokens: Tokens, size: int, key: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of the windows that count under a key, their hashes, and which are evidence by themselves.
+
+    Under the first key all count. Under the others, those with a word and with a slot that
+    the key before does not have: without one they are the windows of that key.
+    """
+    ids, slot = tokens.keys[key], tokens.slots[key]
+    n = len(ids) - size + 1
     if size < 1 or n < 1:
-        return np.zeros(0, np.uint64), np.zeros(0, bool)
-    folded = np.full(n, size, np.uint64)
-    for i in range(size):
-        folded = (folded * GOLDEN + tokens.ids[i : i + n]) * MIX
-        folded ^= folded >> np.uint64(29)
-    slots = np.concatenate([[0], np.cumsum(tokens.slot)])
-    return folded, (size - (slots[size:] - slots[:-size])) >= LITERAL * size
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, bool)
+    own = slot & ~tokens.slots[key - 1]
+    if key and not own.any():
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, bool)
+    up, down = powers(len(ids))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(ids * up, dtype=np.uint64)])
+    folded = ((sums[size:] - sums[:-size]) * down[:n] + SEEDS[key]) * MIX
+    folded ^= folded >> np.uint64(29)
+    if not key:
+        return np.arange(n), folded, np.ones(n, bool)
+    words = size - windowed(slot, size)
+    places = np.flatnonzero((words > 0) & (windowed(own, size) > 0))
+    return places, folded[places], words[places] >= (LITERAL * size if key == NAMED else 1)
 
 
 class Index(NamedTuple):
     """A block of the benchmark: windows by length, and the tokens of the items they are from."""
 
-    lengths: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]  # sorted hashes, item, place
-    items: dict  # item -> (slot, values, tokens)
+    lengths: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]  # sorted hashes, item, place, filter
+    items: dict  # item -> (slot, values)
+
+
+def entries_of(tokens: Tokens) -> tuple[int, np.ndarray, np.ndarray]:
+    """The window length of an item, and the hashes and places of its windows under all keys."""
+    size = min(WINDOW, len(tokens.codes))
+    found = [windows(tokens, size, key) for key in range(len(tokens.keys))]
+    return size, np.concatenate([f[1] for f in found]), np.concatenate([f[0] for f in found])
 
 
 def blocks(benchmark: DataFrame, block: int = BLOCK) -> Iterator[Index]:
@@ -101,20 +170,19 @@ def blocks(benchmark: DataFrame, block: int = BLOCK) -> Iterator[Index]:
 
     Null and wordless items are left out; items with one id count as one item each.
     """
-    known, entries, items = Canonical(), {}, {}
+    known, entries, items, held = Canonical(), {}, {}, 0
     for at, row in enumerate(benchmark.select("item_id", "text").toLocalIterator()):
         tokens = known.tokens(row.text)
-        size = min(WINDOW, len(tokens.ids))
-        hashes, usable = windows(tokens, size)
-        if not usable.any():
+        if not len(tokens.codes):
             continue
+        size, hashes, places = entries_of(tokens)
         key = (at, row.item_id)
-        items[key] = (tokens.slot, tokens.values, len(tokens.ids))
-        places = np.flatnonzero(usable)
-        entries.setdefault(size, []).append((hashes[places], [key] * len(places), places))
-        if sum(len(e[0]) for own in entries.values() for e in own) >= block:
+        items[key] = (tokens.slots[-1], tokens.values())
+        entries.setdefault(size, []).append((hashes, [key] * len(places), places))
+        held += len(places)
+        if held >= block:
             yield index(entries, items)
-            entries, items = {}, {}
+            entries, items, held = {}, {}, 0
     if items:
         yield index(entries, items)
 
@@ -126,7 +194,10 @@ def index(entries: dict, items: dict) -> Index:
         order = np.argsort(hashes, kind="stable")
         owners = np.empty(len(hashes), object)
         owners[:] = [key for p in parts for key in p[1]]
-        lengths[size] = (hashes[order], owners[order], np.concatenate([p[2] for p in parts])[order])
+        bits = min(24, max(10, (16 * len(hashes)).bit_length()))
+        held = np.zeros(1 << bits, bool)
+        held[hashes >> np.uint64(64 - bits)] = True
+        lengths[size] = (hashes[order], owners[order], np.concatenate([p[2] for p in parts])[order], held)
     return Index(lengths, items)
 
 
@@ -136,25 +207,27 @@ class Run(NamedTuple):
     shift: int  # place in the text less place in the item
     start: int  # first place in the item
     end: int
+    strong: bool  # whether one of its windows is evidence by itself
 
 
-def runs_of(places: np.ndarray, shifts: np.ndarray, sizes: np.ndarray) -> list[Run]:
+def runs_of(places: np.ndarray, shifts: np.ndarray, sizes: np.ndarray, strong: np.ndarray) -> list[Run]:
     """The runs that the matching windows of one item form, by shift and place."""
     order = np.lexsort((places, shifts))
     found: list[Run] = []
-    for shift, start, size in zip(shifts[order].tolist(), places[order].tolist(), sizes[order].tolist()):
+    for shift, start, size, own in zip(*(x[order].tolist() for x in (shifts, places, sizes, strong))):
         if found and found[-1].shift == shift and start <= found[-1].end:
-            found[-1] = Run(shift, found[-1].start, max(found[-1].end, start + size))
+            last = found[-1]
+            found[-1] = Run(shift, last.start, max(last.end, start + size), last.strong or bool(own))
         else:
-            found.append(Run(shift, start, start + size))
+            found.append(Run(shift, start, start + size, bool(own)))
     return found
 
 
 def beside(run: Run, other: Run) -> Run:
     """What of ``run`` lies wholly before or wholly after ``other``, in the item and in the text; the longer part."""
     apart = other.shift - run.shift
-    after = Run(run.shift, max(run.start, other.end + max(0, apart)), run.end)
-    before = Run(run.shift, run.start, min(run.end, other.start + min(0, apart)))
+    after = run._replace(start=max(run.start, other.end + max(0, apart)))
+    before = run._replace(end=min(run.end, other.start + min(0, apart)))
     return max(before, after, key=lambda r: r.end - r.start)
 
 
@@ -200,7 +273,7 @@ def best_copy(runs: list[Run], slot: np.ndarray, values: list[str], words: list[
         return agreement(chain, slot, values, words)
 
     bound, best = union(runs), (0.0, 0.0)
-    if bound < COVER:
+    if bound < COVER or not any(r.strong for r in runs):
         return None
     shifts = [r.shift for r in runs]
     for seed in sorted(runs, key=lambda r: r.start - r.end):
@@ -215,7 +288,7 @@ def best_copy(runs: list[Run], slot: np.ndarray, values: list[str], words: list[
             tried += [chained(seed, others, total, lambda c: True), chained(seed, others, total, lambda c: agree(c) >= CONSISTENT)]
         for chain in tried:
             covered = sum(r.end - r.start for r in chain) / total
-            if covered >= COVER and (covered, 1.0) > best and (share := agree(chain)) >= CONSISTENT:
+            if covered >= COVER and (covered, 1.0) > best and any(r.strong for r in chain) and (share := agree(chain)) >= CONSISTENT:
                 best = max(best, (covered, share))
         if best >= (bound, 1.0):
             break
@@ -225,24 +298,23 @@ def best_copy(runs: list[Run], slot: np.ndarray, values: list[str], words: list[
 def matches(text: str | None, found: Index, known: Canonical) -> list[tuple]:
     """``item_id, covered share, consistent share`` of the items that a text holds."""
     tokens = known.tokens(text)
-    near: dict[tuple, list[tuple[int, int, int]]] = {}
-    for size, (hashes, owners, places) in found.lengths.items():
-        own, usable = windows(tokens, size)
-        if not len(own):
-            continue
-        first = np.searchsorted(hashes, own)
-        hit = usable & (hashes[np.minimum(first, len(hashes) - 1)] == own)
-        for at in np.flatnonzero(hit):
-            entry = first[at]
-            while entry < len(hashes) and hashes[entry] == own[at]:
-                near.setdefault(owners[entry], []).append((int(places[entry]), int(at) - int(places[entry]), size))
-                entry += 1
-    out = []
-    for key, hits in near.items():
-        slot, values, _ = found.items[key]
-        best = best_copy(runs_of(*np.array(hits).T), slot, values, tokens.values)
+    near: dict[tuple, list[tuple[int, int, int, bool]]] = {}
+    for size, (hashes, owners, places, held) in found.lengths.items():
+        for key in range(len(tokens.keys)):
+            own, looked, strong = windows(tokens, size, key)
+            some = np.flatnonzero(held[looked >> np.uint64(65 - len(held).bit_length())])
+            if not len(some):
+                continue
+            first, last = (np.searchsorted(hashes, looked[some], side) for side in ("left", "right"))
+            for i, start, end in zip(some.tolist(), first.tolist(), last.tolist()):
+                for entry in range(start, end):
+                    place = int(places[entry])
+                    near.setdefault(owners[entry], []).append((place, int(own[i]) - place, size, bool(strong[i])))
+    out, words = [], tokens.values() if near else []
+    for item, hits in near.items():
+        best = best_copy(runs_of(*np.array(hits).T), *found.items[item], words)
         if best:
-            out.append((key[1], *best))
+            out.append((item[1], *best))
     return out
 
 
