@@ -191,6 +191,16 @@ def test_prefix_counts_are_those_of_the_library(library):
     assert prefixes.counts("a" * 5000)[-1] == len(tokenizer.encode("a" * 5000).ids)
 
 
+def test_texts_with_many_special_strings(library):
+    tokenizer, prefixes = library
+    text = "a doc.\n<|endoftext|>" * 5000 + "end"
+    counts = prefixes.counts(text)
+    r = random.Random(7)
+    for i in [0, 20, len(text) - 4, len(text), *(r.randrange(len(text)) for _ in range(10))]:
+        assert counts[i] == len(tokenizer.encode(text[:i], add_special_tokens=False).ids), i
+    assert len(counts) == len(text) + 1 and prefixes.counts("<|endoftext|>" * 2)[[0, 13, 26]].tolist() == [0, 1, 2]
+
+
 def test_tokens_of_whole_texts(spark, sf_dir, texts, library, edge_docs, no_docs):
     got = {r.doc_id: (r.n_bytes, r.n_tokens, r.over_limit) for r in queries.op4_prefix_tokens(spark, sf_dir).collect()}
     count = {i: len(library[0].encode(t, add_special_tokens=False).ids) for i, t in texts.items()}

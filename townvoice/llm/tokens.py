@@ -50,7 +50,9 @@ class Prefixes:
         self.ranks = {(raw(a), raw(b)): i for i, (a, b) in enumerate(pairs)}
         self.tokens = {raw(token) for token in file["model"]["vocab"] if all(c in to_byte for c in token)}
         self.longest = max(map(len, self.tokens))
-        self.special = [token["content"] for token in file["added_tokens"]]
+        # the first in the text; of two at one place the lesser string, so the shorter of two that begin alike
+        special = sorted(token["content"] for token in file["added_tokens"])
+        self.specials = regex.compile("|".join(map(regex.escape, special))) if special else None
         self.pattern = regex.compile(PATTERN)
         self.unusual = regex.compile(r"[\u0500-\U0010ffff]")
         self.cutter = tokenizers.pre_tokenizers.ByteLevel(add_prefix_space=False)
@@ -168,13 +170,15 @@ class Prefixes:
 
     def counts(self, text: str) -> np.ndarray:
         """Tokens of ``text[:i]`` for i = 0 ... len(text)."""
-        special = next(((at, s) for at, s in sorted((text.find(s), s) for s in self.special) if at >= 0), None)
-        if special is None:
-            return self.ordinary(text)
-        at, string = special
-        head = self.ordinary(text[: at + len(string) - 1])  # a cut inside the string is ordinary
-        rest = self.counts(text[at + len(string) :])
-        return np.concatenate([head, head[at] + 1 + rest])
+        found, start, before = [], 0, 0
+        for special in self.specials.finditer(text) if self.specials else ():
+            at, end = special.span()
+            head = self.ordinary(text[start : end - 1])  # a cut inside the string is ordinary
+            found.append(head + np.int32(before))
+            before += int(head[at - start]) + 1
+            start = end
+        rest = self.ordinary(text[start:])
+        return np.concatenate([*found, rest + np.int32(before)]) if found else rest
 
 
 def prefix_tokens(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
