@@ -76,8 +76,6 @@ def test_a_new_checkpoint_goes_on_from_the_latest_version(spark, tmp_path):
     run("c2", "second", [("b", 990, 5, 2)])
     row = stream.read_tracking(spark, f"{tmp_path}/table").collect()
     assert len(row) == 1 and sorted(row[0].keywords) == ["a", "b"]
-    with pytest.raises(ValueError):
-        stream.stream_tracking(None, "x", "y", keep=1)
 
 
 def test_rows_with_unreadable_counts_are_kept_apart(spark):

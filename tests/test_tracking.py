@@ -232,22 +232,3 @@ def test_urls_without_hits_keep_their_row(spark):
     assert out["/quiet"]["keywords"] == ("x",) and out["/quiet"]["view"] == 10
     assert out["/hit"]["keywords"] == ("k", "new") and out["/hit"]["view"] == 5
     assert (out["/banned"]["status"], out["/banned"]["checked_at"], out["/banned"]["view"]) == ("BANNED", T0 + timedelta(minutes=2), 10)
-
-
-def test_stream_applies_every_batch_once(spark, tmp_path):
-    """A replayed micro-batch starts from the version before it; old versions go."""
-    from townvoice.streaming.tracking import _versions, read_tracking, stream_tracking
-
-    root = str(tmp_path)
-    expected = []
-    for n in range(4):
-        rows = [hit(url="/a", view=1000 - 200 * n, minute=n, keyword=f"k{n}", seq=n)]
-        expected += rows
-        frame(spark, rows).write.mode("append").parquet(f"{root}/in")
-        stream = spark.readStream.schema(HITS_SCHEMA).parquet(f"{root}/in")
-        stream_tracking(stream, f"{root}/out", f"{root}/check", keep=2).awaitTermination()
-    assert [(number, batch) for number, _, batch in _versions(spark, f"{root}/out")] == [(3, 2), (4, 3)]
-    assert result(read_tracking(spark, f"{root}/out")) == plain_upsert([], expected, 100, False)
-    before = read_tracking(spark, f"{root}/out", before=4)
-    again = T.tracking_upsert(before, frame(spark, expected[3:]))
-    assert result(again) == plain_upsert([], expected, 100, False)

@@ -28,9 +28,11 @@ def same_key(left: str, right: str) -> Column:
     return F.col(f"{left}.platform").eqNullSafe(F.col(f"{right}.platform")) & (F.col(f"{left}.url") == F.col(f"{right}.url"))
 
 
-def tracking_upsert(tracking: DataFrame | None, hits: DataFrame, threshold: int = 100, rule: str = "literal") -> DataFrame:
+def tracking_upsert(tracking: DataFrame | None, hits: DataFrame, threshold: int = 100, rule: str = "literal", touched_only: bool = False) -> DataFrame:
     """The tracking table after applying ``hits`` in (checked_at, seq) order.
 
+    ``touched_only`` returns the rows of URLs with a hit and leaves the others out.
+
     Equal times and numbers are ordered by the remaining fields, so the order of the input
     never matters.
 
@@ -92,7 +94,7 @@ def tracking_upsert(tracking: DataFrame | None, hits: DataFrame, threshold: int
         .mapInPandas(fold_ranges(threshold, rule == "documented"), OUTCOME_SCHEMA)
     )
     folded = final_state(outcomes, threshold, rule)
-    if untouched is None:
+    if untouched is None or touched_only:
         return folded
     kept = untouched.withColumn("keywords", F.array_distinct("keywords")).select(*TRACKING_SCHEMA.names)
     return folded.unionByName(kept)

@@ -9,10 +9,11 @@ from ..operators import planning as P
 from ..operators import tracking as T
 from ..session import materialize, shared_path
 from ..sources import adapters as A
+from ..sources import tracking_table as store
 from ..streaming.tracking import read_tracking, stream_tracking
 from ..schemas import HITS_SCHEMA
 from . import views as V
-from .registry import query
+from .registry import ORACLES, query
 
 FUNCTIONS = ["bobae search", "clien_search", "dc_search"]
 DETAILS = [("bobae detail", "bobaedream"), ("clien_detail", "clien"), ("dc_detail", "dcinside")]
@@ -82,7 +83,7 @@ def run_stream_tracking(spark, sf):
             part = part.filter(F.col("checked_at") < ntz(end))
         part.write.mode("append").parquet(f"{root}/in")
         incoming = spark.readStream.schema(HITS_SCHEMA).parquet(f"{root}/in")
-        stream_tracking(incoming, f"{root}/tracking", f"{root}/checkpoint").awaitTermination()
+        stream_tracking(incoming, f"{root}/tracking", f"{root}/checkpoint", buckets=16).awaitTermination()
     return as_text(read_tracking(spark, f"{root}/tracking"))
 
 
@@ -155,6 +156,15 @@ def claim_pending_limit(spark, sf):
     return as_text(T.claim_pending(A.tracking(spark, sf), now(), limit=1000)[1])
 
 
+@query("claim_table", ORACLES["claim_pending_limit"])
+def claim_table(spark, sf):
+    """The same claim from the stored table: it reads waiting rows and writes the claimed ones."""
+    path = shared_path(spark, "tracking")
+    store.seed_table(A.tracking(spark, sf), path, buckets=16)
+    store.claim_table(spark, path, now(), limit=1000)
+    return as_text(store.read_table(spark, path))
+
+
 PLATFORMS = [*A.SITES, "nowhere"]
 
 

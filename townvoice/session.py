@@ -6,6 +6,10 @@ import os
 import tempfile
 import uuid
 import warnings
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+from itertools import count
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,6 +23,7 @@ SETTINGS = {
 }
 
 _local_root: dict[str, str] = {}
+_scratch: ContextVar[tuple[str, Iterator[int]] | None] = ContextVar("scratch", default=None)
 
 
 def session(app: str = "townvoice", cores: int | str = "*", **extra: str) -> SparkSession:
@@ -49,11 +54,27 @@ def shared_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def scratch(root: str) -> Iterator[None]:
+    """Inside, :func:`materialize` writes below ``root`` and overwrites what an earlier block left.
+
+    For jobs that come again and again: their intermediate tables do not pile up. Tables made
+    inside must not be read after the block. An inner block goes on in the folder of the outer.
+    """
+    token = None if _scratch.get() else _scratch.set((root, count()))
+    try:
+        yield
+    finally:
+        if token:
+            _scratch.reset(token)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back, which cuts its lineage.
 
     Later stages then see one fixed copy, also when executors are lost.
     """
-    path = shared_path(df.sparkSession, label)
-    df.write.parquet(path)
+    inside = _scratch.get()
+    path = f"{inside[0]}/{next(inside[1])}-{label}" if inside else shared_path(df.sparkSession, label)
+    df.write.mode("overwrite" if inside else "errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

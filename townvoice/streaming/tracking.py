@@ -1,80 +1,34 @@
 """The tracking table kept up to date by a stream of listing hits.
 
-Every micro-batch writes a new version of the table below ``path``; the last few are
-kept. Versions have numbers of their own, which only rise, and name the checkpoint and the
-batch they are from: a batch replayed after a failure starts from the version before its
-own, so it is applied exactly once, and a new checkpoint goes on from the latest version.
+Every micro-batch is a version of the stored table (:mod:`~townvoice.sources.tracking_table`):
+it writes the rows its hits change. A version names the checkpoint and the batch it is from: a
+batch replayed after a failure starts from the version before its own, so it is applied
+exactly once, and a new checkpoint goes on from the latest version.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.tracking import tracking_upsert
-from ..schemas import TRACKING_SCHEMA
+from ..sources.tracking_table import read_table, seed_table, upsert_table
 
+__all__ = ["read_tracking", "seed_tracking", "stream_tracking"]
 
-def _versions(spark: SparkSession, path: str) -> dict[int, object]:
-    """The completely written versions: (number, checkpoint, batch) to folder, oldest first."""
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    done = [status.getPath().getParent() for status in fs.globStatus(jvm.org.apache.hadoop.fs.Path(folder, "v*/_SUCCESS")) or []]
-    named = {(int(n), origin, int(batch)): p for p in done for n, origin, batch in [p.getName()[1:].split("_")]}
-    return dict(sorted(named.items(), key=lambda item: item[0][0]))
+read_tracking, seed_tracking = read_table, seed_table
 
 
-def drop_versions(spark: SparkSession, path: str, before: int) -> None:
-    """Delete the versions older than ``before``."""
-    for (number, _, _), folder in _versions(spark, path).items():
-        if number < before:
-            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
-
-
-def read_tracking(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
-    """The latest version, or the latest one before a number; None if there is none."""
-    folders = [folder for (number, _, _), folder in _versions(spark, path).items() if before is None or number < before]
-    return spark.read.schema(TRACKING_SCHEMA).parquet(folders[-1].toString()) if folders else None
-
-
-def seed_tracking(tracking: DataFrame, path: str) -> None:
-    """Store an existing tracking table as the version a stream starts from."""
-    versions = _versions(tracking.sparkSession, path)
-    number = 1 + max([0, *(number for number, _, _ in versions)])
-    tracking.select(*TRACKING_SCHEMA.names).write.parquet(f"{path}/v{number}_seed_0")
-
-
-def _number(spark: SparkSession, path: str, origin: str, batch_id: int) -> int:
-    """The version a batch writes: its own again if it is replayed, else the next.
-
-    A replay can only be of the checkpoint's latest batch; anything older cannot be undone.
-    """
-    versions = list(_versions(spark, path))
-    own = [(number, batch) for number, of, batch in versions if of == origin]
-    if own and own[-1][1] >= batch_id:
-        if own[-1][1] > batch_id or own[-1][0] != versions[-1][0]:
-            raise ValueError(f"batch {batch_id} was applied before later versions of {path}; seed a new table")
-        return own[-1][0]
-    return 1 + max([0, *(number for number, _, _ in versions)])
-
-
-def stream_tracking(hits: DataFrame, path: str, checkpoint: str, threshold: int = 100, rule: str = "literal", keep: int = 3, **trigger) -> StreamingQuery:
+def stream_tracking(hits: DataFrame, path: str, checkpoint: str, threshold: int = 100, rule: str = "literal", buckets: int | None = None, **trigger) -> StreamingQuery:
     """Start folding a stream of hits into the tracking table at ``path``.
 
-    ``keep`` versions are kept, at least two: a replayed batch needs the one before it.
+    ``buckets`` counts for a table that does not exist yet.
     """
-    if keep < 2:
-        raise ValueError("keep must be 2 at least")
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         # Spark gives every checkpoint an identity of its own
         origin = spark.read.json(f"{checkpoint}/metadata").first()["id"]
-        number = _number(spark, path, origin, batch_id)
-        state = read_tracking(spark, path, before=number)
-        tracking_upsert(state, batch, threshold, rule).write.mode("overwrite").parquet(f"{path}/v{number}_{origin}_{batch_id}")
-        drop_versions(spark, path, before=number - keep + 1)
+        upsert_table(spark, path, batch, threshold, rule, origin, batch_id, buckets)
 
     return (
         hits.writeStream.foreachBatch(apply)
