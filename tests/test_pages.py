@@ -104,10 +104,30 @@ def test_bobaedream_detail(spark):
     assert (row.title, row.content, row.view, row.like, row.dislike, row.comment_count) == ("제목", "a b\nc", 1234, 7, None, 3)
     assert row.created_at == datetime(2025, 2, 14, 5, 9)
     assert [(c.content, c.created_at, c.like, c.dislike) for c in row.comment] == [("좋아요", datetime(2025, 2, 14, 5, 9), 3, 1), (None, None, None, None)]
-    bare = G.parse_detail(page(spark, "<div class='bodyCont'>x</div>"), "bobaedream").first()
+    bare = G.rejected_detail(page(spark, "<div class='bodyCont'>x</div>"), "bobaedream").first()
     assert (bare.content, bare.title, bare.comment_count, bare.comment) == ("x", None, 0, [])
 
 
+@pytest.mark.parametrize("counts, view, like", [
+    ("조회 <em>많음</em> | <em>x</em>추천 <em>7</em>", -999, 7), ("조회", -999, -999), ("조회 <em>12</em> | <em>x</em>", 12, -999),
+    ("조회 <em>12</em> | <em>x</em>추천 <em>없음</em>", 12, None),
+])
+def test_counts_that_a_bobaedream_page_does_not_show_are_not_known(spark, counts, view, like):
+    html = f"""<div class="writerProfile"><dl><dt title="제목">x</dt><span class="countGroup">{counts} | 어제</span></dl></div><div class="bodyCont">x</div>"""
+    row = G.parse_detail(page(spark, html), "bobaedream").first()
+    assert (row.view, row.like, row.created_at, row.comment_count) == (view, like, None, 0)
+
+
+@pytest.mark.parametrize("site, html, kept", [
+    ("bobaedream", '<div class="writerProfile"><dl><dt title="t"></dt></dl></div>', False), ("bobaedream", None, False),
+    ("clien", '<h3 class="post_subject"><span>t</span></h3>', False), ("clien", '<div class="post_article">x</div>', False),
+    ("clien", '<h3 class="post_subject"><span>t</span></h3><div class="post_article">x</div>', True),
+    ("dcinside", "", True), ("dcinside", None, False),
+])
+def test_pages_without_heading_or_body_are_rejected(spark, site, html, kept):
+    assert (G.parse_detail(page(spark, html), site).count(), G.rejected_detail(page(spark, html), site).count()) == (int(kept), int(not kept))
+
+
 def test_generic(spark):
     html = "<title>T &amp; t</title><a href='/x'>x</a><article><h1>T</h1><p>one<br>two<p>three</article><a>no link</a>"
     row = G.parse_generic(page(spark, html)).first()

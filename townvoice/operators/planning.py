@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.times import batch_path
+from ..session import materialize
 
 FLAGGED = "clien"  # Fixed value: the source that gets extra calls.
 BLOCK = 10_000  # calls of a source that one row is spread into
@@ -16,8 +18,11 @@ def keyword_lookup(keyword_set: DataFrame, name: str) -> DataFrame:
     return keyword_set.filter(F.col("name") == name).select(F.explode("keywords").alias("keyword"))
 
 
+TASK_PREFIX = "invoke_lambda_"  # Fixed value: how the tasks of a call are named.
+
+
 def task_id(function: Column, suffix: Column) -> Column:
-    return F.replace(F.concat(F.lit("invoke_lambda_"), function, suffix), F.lit(" "), F.lit("_"))
+    return F.replace(F.concat(F.lit(TASK_PREFIX), function, suffix), F.lit(" "), F.lit("_"))
 
 
 def search_plan(keywords: DataFrame, functions: list[str], window: list[Column], dated: str = "extra", flagged: str = FLAGGED) -> DataFrame:
@@ -157,3 +162,22 @@ def run_log(runs: DataFrame, bucket: str, created_at: Column, style: str = "logg
         F.concat(base, F.lit("_comments.parquet")).alias("comments_s3_path"),
         created_at.alias("created_at"),
     )
+
+
+def append_run_log(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:
+    """Append log rows to the stored log, one per (checked_at, platform): rows it has are left out.
+
+    Returns what was appended. The log is read by its two key columns only.
+    """
+    keys = ["checked_at", "platform"]
+    fresh = rows.dropDuplicates(keys)
+    try:
+        known = spark.read.parquet(path).select(*keys)
+    except AnalysisException as problem:
+        if problem.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        known = rows.select(*keys).limit(0)
+    same = (F.col("f.checked_at") == F.col("k.checked_at")) & F.col("f.platform").eqNullSafe(F.col("k.platform"))
+    added = materialize(fresh.alias("f").join(known.alias("k"), same, "left_anti"), "log-rows")
+    added.write.mode("append").parquet(path)
+    return added

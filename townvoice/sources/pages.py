@@ -25,6 +25,7 @@ from ..functions.text import (
 from ..functions.times import parse_community_ts
 from ..operators.listing import force_refresh_sentinel
 from ..operators.normalize import COMMENT_FIELDS, DELETED_COMMENT, salt_post_id
+from ..schemas import NOT_KNOWN
 from .markup import Element, attr_of, parse, text_of
 
 # Where the sites live; their pages link by path.
@@ -183,7 +184,8 @@ def extract(html: Column, pick: Callable[[Element], object], fields: tuple[str,
             return pd.DataFrame(out, columns=list(fields))
         return pd.Series(out)
 
-    return run(html)
+    # pages are costly: a filter on what was found must not bring the function in a second time
+    return run.asNondeterministic()(html)
 
 
 def page_keys(pages: DataFrame) -> list[str]:
@@ -252,26 +254,48 @@ def typed_comments(site: str) -> Column:
     return F.transform(shown, one)
 
 
+# What a detail page must show: the crawlers of these sites skip pages without heading or body.
+NEEDED_DETAIL = {"bobaedream": ("title", "content"), "clien": ("title", "content"), "dcinside": ()}
+
+
 def parse_detail(pages: DataFrame, site: str) -> DataFrame:
     """Posts of detail pages: the page's columns, typed fields and the comment list.
 
-    Fields a page lacks are NULL; :func:`~townvoice.operators.normalize.default_missing`
-    fills them from the crawl state. Blocked comments are removed, on one site deleted ones are blanked.
+    Fields a page lacks are NULL, on one site views and likes that it does not show the
+    not-known mark; :func:`~townvoice.operators.normalize.default_missing` fills NULLs from the
+    crawl state. Blocked comments are removed, on one site deleted ones are blanked. Pages
+    without heading or body, and missing ones, are in :func:`rejected_detail`.
     """
+    return detail_rows(pages, site).filter("_readable").drop("_readable")
+
+
+def rejected_detail(pages: DataFrame, site: str) -> DataFrame:
+    """The pages that :func:`parse_detail` cannot use, with what could be read."""
+    return detail_rows(pages, site).filter("not _readable").drop("_readable")
+
+
+def detail_rows(pages: DataFrame, site: str) -> DataFrame:
     keys = page_keys(pages)
     raw = pages.select(*keys, extract(F.col("html"), DETAILS[site], (*DETAIL_FIELDS, "comment"), DETAIL).alias("_page"))
-    typed = raw.select(*keys, "_page.*").withColumns({
+    readable = F.col("comment").isNotNull()
+    for name in NEEDED_DETAIL[site]:
+        readable = readable & F.col(name).isNotNull()
+    shown = lambda name, value: F.when(F.col(name).isNotNull(), value)
+    view, like = parse_count(F.col("view")), parse_count(F.col("like"))
+    if site == "bobaedream":
+        view = F.coalesce(shown("view", view), F.lit(NOT_KNOWN).cast("bigint"))
+        like = shown("like", lenient_int(F.col("like"))).when(F.col("like").isNull(), NOT_KNOWN)
+    return raw.select(*keys, "_page.*").withColumn("_readable", readable).withColumns({
         "title": strip(F.col("title")),
         "content": clean_content(F.col("content")) if site == "bobaedream" else strip(F.col("content")),
-        "view": F.when(F.col("view").isNotNull(), parse_count(F.col("view"))),
-        "like": lenient_int(F.col("like")) if site == "bobaedream" else parse_count(F.col("like")),
+        "view": view if site == "bobaedream" else shown("view", view),
+        "like": like,
         "dislike": parse_count(F.col("dislike")) if site == "dcinside" else F.lit(None).cast("bigint"),
         "comment_count": parse_count(F.col("comment_count")) if site != "dcinside"
-        else F.when(F.col("comment_count").isNotNull(), parse_count(F.col("comment_count"))),
+        else shown("comment_count", parse_count(F.col("comment_count"))),
         "created_at": parse_community_ts(F.col("created_at"), "weekday"),
         "comment": typed_comments(site),
     })
-    return typed
 
 
 def parse_generic(pages: DataFrame) -> DataFrame:
