@@ -12,7 +12,7 @@ from __future__ import annotations
 import json
 from array import array
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import numpy as np
 import public_tokenizers
@@ -48,6 +48,9 @@ class Prefixes:
         raw = lambda token: bytes(to_byte[c] for c in token)
         pairs = [pair.split(" ") if isinstance(pair, str) else pair for pair in file["model"]["merges"]]
         self.ranks = {(raw(a), raw(b)): i for i, (a, b) in enumerate(pairs)}
+        # the merge that makes a token, and its rank
+        self.made = {a + b: (rank, a, b) for (a, b), rank in reversed(self.ranks.items())}
+        self.edges: tuple[dict[bytes, list], dict[bytes, list]] = ({}, {})
         self.tokens = {raw(token) for token in file["model"]["vocab"] if all(c in to_byte for c in token)}
         self.longest = max(map(len, self.tokens))
         # the first in the text; of two at one place the lesser string, so the shorter of two that begin alike
@@ -61,7 +64,7 @@ class Prefixes:
         self.stable: dict[bytes, bool | None] = dict.fromkeys(self.tokens)  # None: not looked at yet
         self.fits: dict[bytes, dict[bytes, bool]] = {}
         self.pairs = 0
-        self.cache: dict[str, tuple[bytes, int]] = {}
+        self.cache: dict[str, tuple[bytes, int, int]] = {}
 
     def plain(self, text: str) -> str:
         """``text`` with a sign for each letter that is newer than the library's tables."""
@@ -97,20 +100,62 @@ class Prefixes:
         found = self.stable[token] = self.merged(token) == [token]
         return found
 
+    def edge(self, token: bytes, side: int) -> list[tuple[int, bytes]]:
+        """What stood at one end of a token (0: its left end) before each merge, last merge first, with its rank."""
+        found = self.edges[side].get(token)
+        if found is None:
+            found, at = [], token
+            while at in self.made:
+                rank, *halves = self.made[at]
+                found.append((rank, at))
+                at = halves[side]
+            found.append((-1, at))
+            self.edges[side][token] = found
+        return found
+
+    def apart(self, left: bytes, right: bytes) -> bool:
+        """Whether no merge joins two tokens across their border.
+
+        Undoes the merges at the border, the last first. Two neighbours that were there
+        until rank ``limit`` took them apart would have been joined by a lower one; at an
+        equal rank the leftmost pair goes first.
+        """
+        before, after, ranks = self.edge(left, 1), self.edge(right, 0), self.ranks.get
+        i = j = 0
+        limit = 1 << 30
+        while True:
+            rank_a, a = before[i]
+            rank_b, b = after[j]
+            if ranks((a, b), 1 << 31) < limit:
+                return False
+            if rank_a > rank_b:
+                limit = rank_a
+                i += 1
+            elif rank_b < 0:
+                return True
+            else:
+                limit = rank_b + 1  # a pair of this rank at the border is further left
+                j += 1
+
     def may_follow(self, left: bytes, right: bytes) -> bool:
         if self.pairs >= CACHED:
             self.fits.clear()
             self.pairs = 0
         self.pairs += 1
-        found = self.fits.setdefault(left, {})[right] = self.merged(left + right) == [left, right]
+        found = self.fits.setdefault(left, {})[right] = self.apart(left, right)
         return found
 
     def of_bytes(self, piece: bytes) -> list[int]:
-        """Tokens of each prefix of an uncut piece, the empty one first."""
+        """Tokens of each prefix of an uncut piece, the empty one first.
+
+        One token alone fits at each end, so the likely ones are tried first: the last token
+        made longer, or a new one.
+        """
         counts, last = [0], [b""]
         stable, fits, longest, none = self.stable.get, self.fits.get, self.longest, {}
+        begin = 0
         for end in range(1, len(piece) + 1):
-            for start in range(end - longest if end > longest else 0, end):
+            for start in chain((begin, end - 1), range(end - longest if end > longest else 0, end)):
                 token = piece[start:end]
                 known = stable(token, False)
                 if known is None:
@@ -123,11 +168,12 @@ class Prefixes:
                         continue
                 counts.append(counts[start] + 1)
                 last.append(token)
+                begin = start
                 break
         return counts
 
-    def of_piece(self, piece: str) -> tuple[bytes, int]:
-        """Tokens after each character of a piece, as packed int32, and after the whole."""
+    def of_piece(self, piece: str) -> tuple[bytes, int, int]:
+        """Tokens after each character of a piece, as packed int32, after the whole, and its length."""
         found = self.cache.get(piece)
         if found is None:
             found = self._of_piece(piece)
@@ -137,7 +183,7 @@ class Prefixes:
                 self.cache[piece] = found
         return found
 
-    def _of_piece(self, piece: str) -> tuple[bytes, int]:
+    def _of_piece(self, piece: str) -> tuple[bytes, int, int]:
         by_byte = self.of_bytes(piece.encode())
         if piece.isascii():
             counts = by_byte[1:]
@@ -147,7 +193,7 @@ class Prefixes:
             for i in range(1, len(piece)):
                 cut = self.pattern.findall(piece[:i])
                 counts[i - 1] = sum(self.of_bytes(part.encode())[-1] for part in cut)
-        return array("i", counts).tobytes(), counts[-1]
+        return array("i", counts).tobytes(), counts[-1], len(piece)
 
     def ordinary(self, text: str) -> np.ndarray:
         """Tokens of each prefix of a text in which special strings are ordinary."""
@@ -158,11 +204,11 @@ class Prefixes:
         if cut != text:
             ends = np.cumsum([len(piece) for piece in pieces])
             pieces = [text[end - len(piece) : end] for piece, end in zip(pieces, ends)]
-        found = [self.of_piece(piece) for piece in pieces]
-        totals = np.fromiter((total for _, total in found), np.int32, len(found))
-        lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        known = self.cache.get
+        inside, totals, lengths = zip(*[known(piece) or self.of_piece(piece) for piece in pieces])
+        totals = np.array(totals, np.int32)
         before = np.cumsum(totals, dtype=np.int32) - totals
-        counts = np.frombuffer(b"".join([inside for inside, _ in found]), np.int32) + np.repeat(before, lengths)
+        counts = np.frombuffer(b"".join(inside), np.int32) + np.repeat(before, lengths)
         counts = np.concatenate([np.zeros(1, np.int32), counts])
         for run in self.runs.finditer(text):  # white space at the end of a prefix is one piece
             counts[run.end()] = counts[run.start()] + self.of_piece(run.group())[1]
