@@ -12,7 +12,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import id_crc, materialize, small_batches, table
@@ -20,6 +20,7 @@ from .common import id_crc, materialize, small_batches, table
 BITS = 18
 GRAMS = (3, 4, 5)
 SAMPLE = 8000  # labelled texts that the classifier is fitted on, at most: those of least hash
+ROOM = 1 << 23  # features that these texts hold, at most; texts beyond are left out, those of greatest hash first
 FOLDS, HELD = 5, 0
 SMOOTHING = 1.0
 LEAST_RATIO = 0.5  # log-count ratios nearer to 0 count as 0
@@ -81,19 +82,23 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, ratio: np.ndarray) -> Model:
     return Model(every, float(bias))
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    """Fits on at most ``sample`` labelled documents outside the held-out fold.
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, room: int = ROOM) -> Model:
+    """Fits on at most ``sample`` labelled documents outside the held-out fold, of ``room`` features together.
 
-    Rows without a label or id are not used; a repeated id counts once, as toxic if any of
-    its rows is. Ids are chosen before texts are read.
+    Rows without a label or id are not used. An id is toxic if any of its labels is, and counts
+    once: by the text of least hash if its texts differ. Ids are chosen before texts are read.
+    One task fits the bounded sample; the driver gets the weights.
     """
-    small_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    small_batches(spark)
     known = labels.filter((F.col("toxic").isin(0, 1)) & F.col("doc_id").isNotNull() & (id_crc() % FOLDS != HELD))
+    order = F.xxhash64("doc_id", F.lit(3))
     chosen = (
         known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label"))
-        .orderBy(F.xxhash64("doc_id", F.lit(3)), "doc_id").limit(sample)
+        .orderBy(order, "doc_id").limit(sample)
     )
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(
+        F.min_by("text", F.xxhash64("text")).alias("text"))
 
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -111,21 +116,35 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     found = materialize(texts.mapInPandas(hashed, f"doc_id {kind}, label int, features binary"), "features")
     sizes = {row.label: row.n for row in found.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     counts = found.mapInPandas(counted, "feature bigint, negative bigint, positive bigint").groupBy("feature").agg(
-        F.sum("negative").alias("negative"), F.sum("positive").alias("positive"))
+        F.sum("negative").alias("negative"), F.sum("positive").alias("positive")).toArrow()
     held = np.zeros((2, 1 << BITS))
-    for row in counts.toLocalIterator():
-        held[:, row.feature] = row.negative, row.positive
+    for row, name in enumerate(("negative", "positive")):
+        held[row, counts.column("feature").to_numpy()] = counts.column(name).to_numpy()
     ratio = log_ratios(held[1], held[0], sizes.get(1, 0), sizes.get(0, 0))
-    useful = docs.sparkSession.sparkContext.broadcast(ratio != 0)
+    shared = spark.sparkContext.broadcast(ratio.astype(np.float32))
 
-    # only features with a ratio come to the driver
+    # only features with a ratio go on
     def reduced(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        useful = shared.value != 0
         for batch in batches:
             own = [np.frombuffer(f, np.int32) for f in batch.features]
-            yield pd.DataFrame({"doc_id": batch.doc_id, "label": batch.label, "features": [f[useful.value[f]].tobytes() for f in own]})
+            own = [f[useful[f]] for f in own]
+            yield pd.DataFrame({"doc_id": batch.doc_id, "label": batch.label, "n": [len(f) for f in own], "features": [f.tobytes() for f in own]})
 
-    rows = found.mapInPandas(reduced, f"doc_id {kind}, label int, features binary").orderBy("doc_id").collect()
-    return fit([np.frombuffer(row.features, np.int32) for row in rows], np.array([row.label for row in rows]), ratio)
+    def fitted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows, labels = [], []
+        for batch in batches:
+            rows += [np.frombuffer(f, np.int32) for f in batch.features]
+            labels += batch.label.tolist()
+        model = fit(rows, np.array(labels), shared.value.astype(float))
+        yield pd.DataFrame({"weights": [model.weights.tobytes()], "bias": [model.bias]})
+
+    rows = materialize(found.mapInPandas(reduced, f"doc_id {kind}, label int, n bigint, features binary"), "useful")
+    before = F.sum("n").over(Window.orderBy(order, "doc_id"))  # of the sample's numbers, not of its texts
+    kept = rows.select("doc_id", "n").withColumn("sum", before).filter(F.col("sum") <= room).select("doc_id")
+    one = rows.join(F.broadcast(kept), "doc_id").select("doc_id", "label", "features").repartition(1).sortWithinPartitions("doc_id")
+    found = one.mapInPandas(fitted, "weights binary, bias double").collect()
+    return Model(np.frombuffer(found[0].weights, np.float32), found[0].bias) if found else fit([], np.zeros(0), ratio)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
