@@ -361,14 +361,22 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
 
 
 def without_copies(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """One document of each group: the one of least id; of rows that share its id, one."""
-    kept = materialize(near_duplicates(docs, size).groupBy("doc_id").agg(
-        F.max("kept").alias("kept"), F.count(F.lit(1)).alias("rows")), "kept")
-    chosen = kept.filter("kept and doc_id is not null").select("doc_id", "rows")
-    joined = docs.join(chosen.withColumnsRenamed({"rows": "__rows"}), "doc_id").select(*docs.columns, "__rows")
-    once = joined.filter("__rows = 1").drop("__rows")
-    repeated = joined.filter("__rows > 1").drop("__rows").dropDuplicates(["doc_id"])
-    return once.unionByName(repeated).unionByName(docs.filter("doc_id is null"))
+    """One row of each group of near copies: that of least id, a null id last.
+
+    Rows are told apart by themselves: rows that share an id, or have none, are documents of
+    their own, so different texts stay and copies without an id go. Texts without a word stay,
+    each row of them. Where ids repeat or are missing, the rows are written once with a key.
+    """
+    ids = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 or doc_id is null")
+    if ids.isEmpty():
+        chosen = materialize(near_duplicates(docs, size), "kept").filter("kept").select("doc_id")
+        return docs.join(chosen, "doc_id").select(docs.columns)
+    keyed = materialize(docs.withColumn("__key", F.monotonically_increasing_id()), "keyed")  # fixed by being written
+    found = materialize(near_duplicates(keyed.select(F.col("__key").alias("doc_id"), "text"), size).select(
+        F.col("doc_id").alias("__key"), F.col("component_id").alias("__group")), "groups")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "__key")
+    least = found.join(keyed.select("__key", "doc_id"), "__key").groupBy("__group").agg(F.min(order).alias("first"))
+    return keyed.join(least.select(F.col("first.__key").alias("__key")), "__key").select(docs.columns)
 
 
 def op10_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
