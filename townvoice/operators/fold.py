@@ -260,3 +260,69 @@ def fold_ranges(threshold: int, documented: bool):
             yield to_frame(done)
 
     return fold
+
+
+CHAIN = ["view", "comment_count", "status", "created_at", "checked_at", "blank_at", "blank_seq"]
+FINAL_SCHEMA = (
+    "platform string, url string, view int, comment_count int, status string, created_at timestamp_ntz, checked_at timestamp_ntz, "
+    "blank_at timestamp_ntz, blank_seq bigint, post_id string"
+)
+
+
+def first_reached(entries: dict, view: int, count: int, threshold: int, documented: bool) -> int | None:
+    """The place of the first interval that a state of these figures fires in."""
+    hit = (entries["view_low"] < view - threshold) | (entries["count_low"] < count)
+    if documented:
+        hit |= (entries["view_high"] > view + threshold) | (entries["count_high"] > count)
+    at = int(hit.argmax()) if len(hit) else 0
+    return at if len(hit) and hit[at] else None
+
+
+def chain_outcomes(threshold: int, documented: bool):
+    """A function for mapInPandas over outcome rows sorted by (platform, url, part, n): each URL's final state.
+
+    One row is looked at at a time and one state is kept, however many ranges a URL was cut into.
+    """
+
+    def chain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, state, fired, post_id, done = None, None, False, None, []
+        for batch in batches:
+            for row in batch.itertuples(index=False):
+                if (row.platform, row.url) != key:
+                    if key is not None:
+                        done.append((*key, *((state or {}).get(name) for name in CHAIN), post_id))
+                    key, state, fired, post_id = (row.platform, row.url), None, False, None
+                if row.post_id is not None:
+                    post_id = row.post_id if post_id is None else max(post_id, row.post_id)
+                if row.role == "words":
+                    continue
+                fired = fired and row.n > 0
+                target = None
+                if row.role == "known":
+                    target = row.states[0]
+                elif state is not None and not fired:
+                    if row.role == "unstable":
+                        sure = row.states[0]
+                        state = {**state, "status": sure["status"], "checked_at": sure["checked_at"]}
+                    else:
+                        entries = {name: np.asarray(getattr(row, name)) for name in INTERVALS[:4]}
+                        at = first_reached(entries, state["view"], state["comment_count"], threshold, documented)
+                        target = None if at is None else row.states[row.path[at]]
+                if target is not None:
+                    blank = target if state is None or state["blank_at"] is None else state
+                    state = {**{name: target[name] for name in CHAIN[:5]}, "blank_at": blank["blank_at"], "blank_seq": blank["blank_seq"]}
+                    fired = fired or row.role == "entry"
+            if done:
+                yield final_frame(done)
+                done = []
+        if key is not None:
+            yield final_frame([(*key, *((state or {}).get(name) for name in CHAIN), post_id)])
+
+    return chain
+
+
+def final_frame(rows: list[tuple]) -> pd.DataFrame:
+    frame = pd.DataFrame(rows, columns=["platform", "url", *CHAIN, "post_id"], dtype=object)
+    for name in ("created_at", "checked_at", "blank_at"):
+        frame[name] = pd.to_datetime(frame[name]).astype("datetime64[us]")
+    return frame

@@ -12,6 +12,11 @@ to the rows before summing: then the texts are not shuffled.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+
+import ahocorasick
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,6 +56,29 @@ def keyword_flags(df: DataFrame, lexicon: Lexicon = DEFAULT_LEXICON, content: st
     return df.select("*", *[mentions(term, content).alias(f"{name}_count") for _, term, name in lexicon])
 
 
+BITS = 63  # flags in one bigint
+
+
+def packed_flags(df: DataFrame, lexicon: Lexicon = DEFAULT_LEXICON, content: str = "content") -> DataFrame:
+    """All flags of a row as the bits of ``_bits0``, ``_bits1``, ...: what a join has to move of a text."""
+    words = []
+    for start in range(0, len(lexicon), BITS):
+        bits = [F.when(F.col(content).contains(term), F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint")
+                for i, (_, term, _) in enumerate(lexicon[start : start + BITS])]
+        words.append(reduce(lambda a, b: a.bitwiseOR(b), bits).alias(f"_bits{start // BITS}"))
+    return df.select("*", *words)
+
+
+def unpacked_flags(df: DataFrame, lexicon: Lexicon = DEFAULT_LEXICON) -> DataFrame:
+    """The columns of :func:`keyword_flags` from packed ones, for the same lexicon."""
+    packed = [name for name in df.columns if name.startswith("_bits")]
+    flags = [
+        F.shiftright(f"_bits{i // BITS}", i % BITS).bitwiseAND(F.lit(1)).cast("int").alias(f"{name}_count")
+        for i, (_, _, name) in enumerate(lexicon)
+    ]
+    return df.select(*[name for name in df.columns if name not in packed], *flags)
+
+
 def flag(df: DataFrame, term: str, name: str) -> Column:
     """The term's flag: its column where the rows have it, else worked out here."""
     column = f"{name}_count"
@@ -109,8 +137,16 @@ def summary_history(df: DataFrame, lexicon: Lexicon = DEFAULT_LEXICON) -> DataFr
     return df.groupBy("checked_at").agg(*sentiment_metrics(), *mention_totals(df, lexicon))
 
 
+MANY_TERMS = 200  # beyond, terms are found by an automaton instead of a column expression each
+
+
 def keyword_long(df: DataFrame, lexicon: Lexicon = DEFAULT_LEXICON) -> DataFrame:
-    """Totals as rows (category, name, total); terms never mentioned have total 0."""
+    """Totals as rows (category, name, total); terms never mentioned have total 0.
+
+    The way terms are found depends on their number, the totals do not.
+    """
+    if len(lexicon) > MANY_TERMS:
+        return keyword_long_by_automaton(df, lexicon)
     totals = df.agg(*[F.coalesce(F.sum(flag(df, term, name)), F.lit(0).cast("bigint")).alias(name) for _, term, name in lexicon])
     entries = F.array(*[
         F.struct(F.lit(category).alias("category"), F.lit(name).alias("name"), F.col(name).alias("total"))
@@ -119,6 +155,46 @@ def keyword_long(df: DataFrame, lexicon: Lexicon = DEFAULT_LEXICON) -> DataFrame
     return totals.select(F.inline(entries))
 
 
+def term_counts(df: DataFrame, terms: list[str], content: str = "content") -> DataFrame:
+    """``term_id, total``: rows whose content holds each term, terms of no row left out.
+
+    One walk over a text finds all terms, overlapping ones too, so time does not grow with
+    their number. A task sends a row for each term it met.
+    """
+    shared = df.sparkSession.sparkContext.broadcast(terms)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tree = ahocorasick.Automaton()
+        for number, term in enumerate(shared.value):
+            if term:
+                tree.add_word(term, number)
+        found = [0] * len(shared.value)
+        every = [number for number, term in enumerate(shared.value) if not term]  # the empty term is in every text
+        if len(tree):
+            tree.make_automaton()
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                if text is not None:
+                    for number in {number for _, number in tree.iter(text)} if len(tree) else ():
+                        found[number] += 1
+                    for number in every:
+                        found[number] += 1
+        met = [number for number, n in enumerate(found) if n]
+        yield pa.RecordBatch.from_arrays([pa.array(met, pa.int32()), pa.array([found[n] for n in met], pa.int64())], ["term_id", "total"])
+
+    parts = df.select(F.col(content).cast("string")).mapInArrow(count, "term_id int, total bigint")
+    return parts.groupBy("term_id").agg(F.sum("total").alias("total"))
+
+
+def keyword_long_by_automaton(df: DataFrame, lexicon: Lexicon) -> DataFrame:
+    """:func:`keyword_long` for lexicons of many thousands of terms, from rows with their content."""
+    number = {term: i for i, term in enumerate(dict.fromkeys(term for _, term, _ in lexicon))}
+    rows = [(category, name, number[term]) for category, term, name in lexicon]
+    named = df.sparkSession.createDataFrame(rows, "category string, name string, term_id int")
+    found = named.join(term_counts(df, list(number)), "term_id", "left")
+    return found.select("category", "name", F.coalesce("total", F.lit(0).cast("bigint")).alias("total"))
+
+
 def sentiment_summary_v1(posts: DataFrame, comments: DataFrame, checked_at: str) -> DataFrame:
     """The five base figures as INT from separate inputs; views come from posts alone.
 

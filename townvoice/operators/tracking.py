@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import TRACKING_SCHEMA
 from ..session import materialize
-from .fold import BASE, COLUMNS, FORCED, HIT, INTERVALS, OUTCOME_SCHEMA, fold_ranges
+from .fold import BASE, CHAIN, COLUMNS, FINAL_SCHEMA, FORCED, HIT, INTERVALS, OUTCOME_SCHEMA, chain_outcomes, fold_ranges
 
 KEY = ["platform", "url"]
 UNSTABLE = ["FAILED", "BANNED"]
@@ -205,13 +205,31 @@ def combine(outcomes: Column, threshold: int, rule: str) -> Column:
     return F.aggregate(outcomes, F.lit(None).cast(STATE_TYPE), step)
 
 
-def final_state(outcomes: DataFrame, threshold: int, rule: str) -> DataFrame:
+LONG = 64  # outcome rows of a URL that are combined in one row, at most
+
+
+def final_state(outcomes: DataFrame, threshold: int, rule: str, long: int = LONG) -> DataFrame:
     """One row per URL from the outcomes of its ranges and the keywords it met.
 
-    What is collected per URL is its keywords and the outcomes of the ranges it was cut
-    into, never its hits. Ranges are in the order of their partitions.
+    The outcomes of a URL follow each other in the order of their partitions. A URL with up to
+    ``long`` outcome rows is combined in one row; the rows of others are sorted and walked
+    through with one state kept, so that no row grows with a URL's hits. What is collected
+    per URL in any case is its keywords.
     """
     names = ["part", "n", "role", "entries", "states", "at", "seq", "post_id", "words"]
+    outcomes = materialize(outcomes, "outcomes")
+    many = outcomes.filter("role <> 'words'").groupBy(*KEY).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > long).select(*KEY)
+    walked = None
+    if not many.isEmpty():
+        many = materialize(many, "long-urls")
+        chained = outcomes.alias("o").join(many.alias("m"), same_key("o", "m"), "left_semi")
+        walked = chained.filter("role <> 'words'").repartition(*KEY).sortWithinPartitions(*KEY, "part", "n").mapInPandas(
+            chain_outcomes(threshold, rule == "documented"), FINAL_SCHEMA)
+        noted = with_notes(chained.filter("role = 'words'"))
+        state = F.struct(*[F.col(f"w.{name}").alias(name) for name in CHAIN])
+        walked = walked.alias("w").join(noted.alias("n"), same_key("w", "n"), "left").select(
+            "w.platform", "w.url", state.alias("final"), F.coalesce("n.notes", F.array().cast(NOTES)).alias("notes"), F.col("n.post_id").alias("post_id"))
+        outcomes = outcomes.alias("o").join(many.alias("m"), same_key("o", "m"), "left_anti")
     packed = outcomes.withColumn("entries", F.arrays_zip(*INTERVALS))
     rows = packed.groupBy(*KEY).agg(F.array_sort(F.collect_list(F.struct(*names))).alias("rows"))
     steps = F.filter("rows", lambda o: o["role"] != "words")
@@ -219,6 +237,12 @@ def final_state(outcomes: DataFrame, threshold: int, rule: str) -> DataFrame:
         F.filter("rows", lambda o: o["role"] == "words"),
         lambda o: F.struct(o["at"].alias("at"), o["seq"].alias("seq"), o["words"].alias("words")),
     )
+    states = rows.select(
+        *KEY, combine(steps, threshold, rule).alias("final"), notes.alias("notes"),
+        F.array_max(F.transform("rows", lambda o: o["post_id"])).alias("post_id"))
+    if walked is not None:
+        plain = F.struct(*[F.col(f"final.{name}").alias(name) for name in CHAIN])
+        states = states.withColumn("final", plain).unionByName(walked)
     final = F.col("final")
     blank = F.when(
         final["blank_at"].isNotNull(),
@@ -226,19 +250,20 @@ def final_state(outcomes: DataFrame, threshold: int, rule: str) -> DataFrame:
     ).otherwise(F.filter("notes", lambda _: F.lit(False)))
     met = F.transform(F.array_sort(F.concat("notes", blank)), lambda n: F.from_json(n["words"], "array<string>"))
     return (
-        rows.select(
-            *KEY,
-            combine(steps, threshold, rule).alias("final"),
-            notes.alias("notes"),
-            F.array_max(F.transform("rows", lambda o: o["post_id"])).alias("post_id"),
-        )
-        .select(*KEY, F.array_distinct(F.flatten(met)).alias("keywords"), "post_id", *[final[name].alias(name) for name in STATE])
+        states.select(*KEY, F.array_distinct(F.flatten(met)).alias("keywords"), "post_id", *[final[name].alias(name) for name in STATE])
         # Hits of URLs that never became known leave outcomes, but no state.
         .filter(F.col("status").isNotNull())
         .select(*TRACKING_SCHEMA.names)
     )
 
 
+NOTES = "array<struct<at:timestamp_ntz,seq:bigint,words:string>>"
+
+
+def with_notes(words: DataFrame) -> DataFrame:
+    return words.groupBy(*KEY).agg(F.collect_list(F.struct("at", "seq", "words")).alias("notes"), F.max("post_id").alias("post_id"))
+
+
 def status_transition(tracking: DataFrame, changes: DataFrame) -> DataFrame:
     """Apply status ``changes`` (platform, url, status, checked_at, seq) in seq order.
 

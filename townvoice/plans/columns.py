@@ -10,9 +10,11 @@ from ..functions import times as D
 from ..operators.normalize import salt_post_id as salt
 from ..operators.sentiment import attach_sentiment as attach
 from ..operators.sentiment import sentiment_requests
+from ..session import shared_path
 from ..sources import adapters as A
+from ..sources.sinks import store_bucketed
 from . import views as V
-from .registry import query
+from .registry import ORACLES, query
 
 INTEGER = r"[+-]?\d+"
 SUBJECT = "신차"
@@ -227,7 +229,20 @@ select post_id, null::bigint as pos, label as sentiment from nested join replied
 union all
 select post_id, pos, labels[pos + 1] from lines join replied using (doc_id)"""))
 def attach_sentiment(spark, sf):
-    labelled = attach(A.nested_posts(spark, sf), A.replies(spark, sf))
+    return labels_of(attach(A.nested_posts(spark, sf), A.replies(spark, sf)))
+
+
+@query("attach_sentiment_bucketed", ORACLES["attach_sentiment"])
+def attach_sentiment_bucketed(spark, sf):
+    """Posts and replies stored by the same buckets: the join moves neither."""
+    place, keys = shared_path(spark, "labelled"), ["platform", "post_id"]
+    name = f"p{place.rsplit('-', 1)[1]}"
+    nested = store_bucketed(A.nested_posts(spark, sf), f"{name}_posts", f"{place}/posts", keys, 8)
+    replies = store_bucketed(A.replies(spark, sf), f"{name}_replies", f"{place}/replies", keys, 8)
+    return labels_of(attach(nested, replies))
+
+
+def labels_of(labelled):
     none = F.lit(None).cast("bigint")
     post = F.array(F.struct(none.alias("pos"), "sentiment"))
     comment = F.transform("comment", lambda c, i: F.struct(i.cast("bigint").alias("pos"), c["sentiment"].alias("sentiment")))

@@ -21,12 +21,13 @@ def merged(spark, sf, many=False):
 
 
 def flagged(spark, sf, lexicon, many=False, labelled=True):
-    """Posts and comments with term flags for their content, so no join moves texts."""
+    """Posts and comments with term flags for their content; a join moves the flags' bits, no texts."""
 
-    def flag(rows):
-        return S.keyword_flags(rows, lexicon).drop("content")
+    def pack(rows):
+        return S.packed_flags(rows, lexicon).drop("content")
 
-    return S.union_posts_comments(A.posts(spark, sf, many, flag, labelled), flag(A.comments(spark, sf, many)))
+    posts = S.unpacked_flags(A.posts(spark, sf, many, pack, labelled), lexicon)
+    return S.union_posts_comments(posts, S.keyword_flags(A.comments(spark, sf, many), lexicon).drop("content"))
 
 
 def flags_alone(spark, sf, lexicon):
@@ -176,3 +177,15 @@ def union_posts_comments(spark, sf):
 def dedupe_posts(spark, sf):
     posts = A.posts(spark, sf)
     return S.dedupe(S.union_posts_comments(posts, posts)).select("platform", "post_id", "checked_at")
+
+
+LARGE = [("word", term, f"t{i}") for i, term in enumerate(
+    a + b for a in "abcdefghijklmnopqrstuvwxyz" for b in ("a", "e", "i", "o", "u", "n", "r", "s", "t", "th", "st", "on"))]
+PAIRS = ", ".join(f"('{term}', '{name}')" for _, term, name in LARGE)
+
+
+@query("keyword_long_large", V.with_views(V.merged(), f"""select 'word' as category, name, (select count(*) from merged where contains(content, term)) as total
+from (values {PAIRS}) l(term, name)"""))
+def keyword_long_large(spark, sf):
+    """Hundreds of terms, found in one walk over each text."""
+    return S.keyword_long(merged(spark, sf), LARGE)
