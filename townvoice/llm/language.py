@@ -16,7 +16,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import id_crc, small_batches, table
+from .common import id_crc, materialize, small_batches, table
 
 GRAM = 3
 SLOT_BITS = 18
@@ -51,19 +51,26 @@ def slots_of(hashed: np.ndarray, i: int) -> np.ndarray:
 def train(docs: DataFrame, sample: int = SAMPLE) -> Filters:
     """Fills the filters from documents with a language, outside the held-out fold.
 
-    At most ``sample`` texts of each language; an n-gram enters a language's filter if
+    At most ``sample`` different texts of each language, those of least hash, whatever the order of rows; an n-gram enters a language's filter if
     ``LEAST_SHARE`` of these texts, and two where there are several, hold it.
     """
     small_batches(docs.sparkSession)
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (id_crc() % FOLDS != HELD)).select(
-        "lang", "doc_id", F.xxhash64("doc_id", F.lit(8)).alias("order"))
-    total = known.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
+        "lang", "text", F.xxhash64("doc_id", "text", F.lit(8)).alias("order"))
+    # a row a text of a language, however often it comes
+    orders = materialize(known.groupBy("lang", "order").agg(F.count(F.lit(1)).alias("rows")), "orders")
+    total = orders.groupBy("lang").agg(F.count(F.lit(1)).alias("texts"))
     # hashes are spread evenly: a threshold leaves about twice the sample to rank
-    near = known.join(total, "lang").filter(
-        F.shiftrightunsigned("order", 11) / F.lit(float(1 << 53)) * F.col("rows") <= 2 * sample + 100)
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("order", "doc_id"))
-    chosen = near.withColumn("place", place).filter(F.col("place") <= sample).select("lang", "doc_id").distinct()
-    texts = docs.select("lang", "doc_id", "text").join(chosen, ["lang", "doc_id"], "left_semi")
+    near = orders.join(total, "lang").filter(
+        F.shiftrightunsigned("order", 11) / F.lit(float(1 << 53)) * F.col("texts") <= 2 * sample + 100)
+    key = F.shiftrightunsigned("order", 11)
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(key, "order"))
+    chosen = materialize(near.withColumn("place", place).filter(F.col("place") <= sample).select("lang", "order"), "chosen")
+    # the last key of each language lets pass little more than the sample: only that is shuffled.
+    # A stored row a language, so Spark sends the table while it is small
+    last = materialize(chosen.groupBy("lang").agg(F.max(key).alias("last")), "last")
+    texts = known.join(last, "lang").filter(key <= F.col("last")).groupBy("lang", "order").agg(F.first("text").alias("text")).join(
+        chosen, ["lang", "order"], "left_semi")
 
     def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts: dict[str, dict[int, int]] = {}
@@ -78,7 +85,8 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Filters:
             yield pd.DataFrame({"lang": lang, "gram": np.fromiter(own, np.int64, len(own)), "n": np.fromiter(own.values(), np.int64, len(own))})
             yield pd.DataFrame({"lang": [lang], "gram": [None], "n": [texts[lang]]})
 
-    parts = texts.mapInPandas(found, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    parts = materialize(texts.select("lang", "text").mapInPandas(found, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(
+        F.sum("n").alias("n")), "grams")
     seen = parts.filter("gram is null").select("lang", F.col("n").alias("texts"))
     least = F.greatest(F.least(F.lit(2), F.col("texts")), F.col("texts") * LEAST_SHARE)
     kept = parts.filter("gram is not null").join(seen, "lang").filter(F.col("n") >= least).select("lang", "gram").toPandas()
