@@ -1,11 +1,14 @@
 """Mixing sources to target weights by entropy balancing (operator 6), DataFrame functions only.
 
-Document rates ``r`` minimise the relative entropy, weighted by tokens, of the mix to the
-corpus under one token constraint a source: the sum of ``size * r`` is the source's target.
-The convex dual has one multiplier a source, its rates are ``exp(multiplier)``; Newton
-steps solve it, all sources at once, each from its own token count. Rates become whole
-copies size by size, the longest documents first; what rounding leaves over or short is
-carried to the next size, so that a source ends within about one short document of its target.
+Document rates ``r`` minimise the relative entropy of the mix to the corpus, a document each,
+under one token constraint a source: the sum of ``size * r`` is the source's target; no rate
+passes the limit. The convex dual has one multiplier ``x`` a source and tilts its documents
+exponentially: ``r = min(limit, exp(x * size))``. Newton steps, kept between bounds, solve it
+for all sources at once: each takes value and slope of the dual from one aggregation over
+counts by source and size. A multiplier above 0 favours long documents, one below short ones.
+
+Rates become whole copies size by size, the longest first; what rounding leaves over or short
+is carried to the next size, so that a source ends near its target.
 """
 
 from __future__ import annotations
@@ -17,8 +20,10 @@ from .common import id_hash, materialize, table, words
 
 WEIGHTS = (5, 2, 1)  # of the sources in code point order, repeating
 LIMIT = 3  # times a source's size, and copies of a document, at most
-STEPS = 60
+STEPS = 80  # at most; a dozen are usual
+CLOSE = 1e-9  # of a target: how near the sum of the rates comes to it
 PIECE = 4096  # documents of one source and size that are ranked together, about
+SIZES = 512  # sizes of a source that are rounded in one row, about
 
 
 def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, limit: int = LIMIT) -> DataFrame:
@@ -44,72 +49,118 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, limit: int =
     return found.select("source", "source_size", F.coalesce(target, F.lit(0.0)).alias("target"))
 
 
-def multiplier(size: Column, target: Column, steps: int = STEPS) -> Column:
-    """Newton's steps on ``size * exp(x) - target * x``, from 0; each at most 1 wide."""
-    def step(x, _):
-        return x - F.greatest(F.lit(-1.0), F.least(F.lit(1.0), (size * F.exp(x) - target) / (size * F.exp(x))))
-    return F.when((size > 0) & (target > 0), F.aggregate(F.sequence(F.lit(1), F.lit(steps)), F.lit(0.0), step))
+def rate_of(multiplier: Column, size: Column, limit: int = LIMIT) -> Column:
+    """The rate of documents of ``size``; a null multiplier is one without bound below, and all rates are 0."""
+    return F.when(multiplier.isNull(), F.lit(0.0)).otherwise(F.least(F.lit(float(limit)), F.exp(F.least(F.lit(700.0), multiplier * size))))
 
 
-def copies_by_size(groups: DataFrame, rates: DataFrame) -> DataFrame:
-    """``source, size, n`` and the sources' rates -> ``copies`` that all n documents get together.
+def multipliers(groups: DataFrame, goals: DataFrame, limit: int = LIMIT, steps: int = STEPS) -> DataFrame:
+    """``goals`` (``source, source_size, target``) with ``multiplier`` and ``residual``, of the target.
 
-    Each document's share is its rate rounded down or up. One row a source holds its distinct
-    sizes and their counts, never its documents.
+    ``groups`` are ``source, size, n`` with sizes above 0. From 0 on: Newton's step where it
+    stays between the bounds that earlier values set, else their middle. Every step is one
+    aggregation whose partial rows are one a task and source; the state is a row a source.
     """
-    rate, empty = F.col("rate"), F.array().cast("array<bigint>")
+    least = groups.groupBy("source").agg(F.min("size").alias("least"), F.max("size").alias("most"))
+    same = F.col("g.source").eqNullSafe(F.col("s.source"))
+    # at ``high`` every rate is at the limit; ``low`` cannot be passed, as each rate is below target / source_size
+    high = F.log(F.lit(float(limit))) / F.col("least") + 1e-9
+    low = F.log(F.col("target") / (F.col("source_size") * F.lit(1e6))) / F.col("least")
+    full = F.col("target") >= F.col("source_size") * limit * (1 - 1e-12)
+    first = F.when(full & (F.col("target") > 0), high).when(F.col("target") > 0, F.lit(0.0))
+    state = materialize(
+        goals.alias("s").join(least.alias("g"), same, "left")
+        .select("s.source", "source_size", "target", first.alias("multiplier"),
+                F.when(F.col("target") < F.col("source_size"), low).otherwise(0.0).alias("low"),
+                F.when(F.col("target") > F.col("source_size"), high).otherwise(0.0).alias("high"), F.lit(1.0).alias("residual")), "dual")
+    for _ in range(steps):
+        rate = rate_of(F.col("multiplier"), F.col("size"), limit)
+        slope = F.when(rate < limit, F.col("n") * F.col("size") * F.col("size") * rate).otherwise(0.0)
+        sums = groups.alias("g").join(state.alias("s"), same).groupBy("g.source").agg(
+            F.sum(F.col("n") * F.col("size") * rate).alias("value"), F.sum(slope).alias("slope"))
+        over = F.col("value") - F.col("target")
+        at = F.col("multiplier")
+        lower, upper = F.when(over < 0, at).otherwise(F.col("low")), F.when(over > 0, at).otherwise(F.col("high"))
+        newton = at - over / F.col("slope")
+        step = F.when((F.col("slope") > 0) & (newton > lower) & (newton < upper), newton).otherwise((lower + upper) / 2)
+        residual = F.when(F.col("target") > 0, F.abs(over) / F.col("target")).otherwise(0.0)
+        done = residual <= CLOSE
+        state = materialize(
+            state.alias("s").join(sums.alias("g"), same, "left").select(
+                "s.source", "source_size", "target", F.when(at.isNull() | done, at).otherwise(step).alias("multiplier"),
+                lower.alias("low"), upper.alias("high"), F.coalesce(residual, F.lit(0.0)).alias("residual")), "dual")
+        if (state.agg(F.max("residual")).first()[0] or 0.0) <= CLOSE:
+            break
+    return state.drop("low", "high")
+
+
+def copies_by_size(groups: DataFrame, dual: DataFrame, limit: int = LIMIT) -> DataFrame:
+    """``source, size, n`` with ``copies`` that all n documents get together; each one's rate is rounded down or up.
+
+    A source's sizes are dealt over rows of about ``SIZES``, long and short ones in each, so
+    that neither a row nor the work in one grows with them; each row carries its rounding down
+    to its shortest documents.
+    """
+    empty = F.array().cast("array<bigint>")
 
     def merge(state, group):
-        want = rate * group["n"] * group["size"] + state["carry"]
-        most, least = F.ceil(rate) * group["n"], F.floor(rate) * group["n"]
+        want = group["rate"] * group["n"] * group["size"] + state["carry"]
+        most, least = F.ceil(group["rate"]) * group["n"], F.floor(group["rate"]) * group["n"]
         take = F.least(most, F.greatest(least, F.round(want / group["size"]).cast("long")))
         return F.struct((want - take * group["size"]).alias("carry"), F.concat(state["taken"], F.array(take)).alias("taken"))
 
-    sizes = groups.filter("size > 0").groupBy("source").agg(
-        F.sort_array(F.collect_list(F.struct("size", "n")), asc=False).alias("sizes"))
+    same = F.col("g.source").eqNullSafe(F.col("s.source"))
+    numbered = groups.withColumns({
+        "place": F.row_number().over(Window.partitionBy("source").orderBy(F.col("size").desc())),
+        "rows": F.ceil(F.count(F.lit(1)).over(Window.partitionBy("source")) / SIZES)})
+    rated = numbered.alias("g").join(dual.alias("s"), same).select(
+        "g.source", "size", "n", (F.col("place") % F.col("rows")).alias("row"), rate_of(F.col("multiplier"), F.col("size"), limit).alias("rate"))
+    sizes = rated.groupBy("source", "row").agg(F.sort_array(F.collect_list(F.struct("size", "n", "rate")), asc=False).alias("sizes"))
     start = F.struct(F.lit(0.0).alias("carry"), empty.alias("taken"))
     return (
-        sizes.alias("s").join(rates.alias("r"), F.col("s.source").eqNullSafe(F.col("r.source")))
-        .select("r.source", "source_size", "target", "rate", "sizes")
-        .withColumn("taken", F.aggregate("sizes", start, merge)["taken"])
-        .select("source", "source_size", "target", "rate", F.inline(F.arrays_zip("sizes", "taken")))
-        .select("source", "source_size", "target", "rate", "sizes.size", "sizes.n", F.col("taken").alias("copies"))
+        sizes.withColumn("taken", F.aggregate("sizes", start, merge)["taken"])
+        .select("source", F.inline(F.arrays_zip("sizes", "taken")))
+        .select("source", "sizes.size", "sizes.n", F.col("taken").alias("copies"))
     )
 
 
 def balance(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, limit: int = LIMIT) -> DataFrame:
     """``docs`` with ``size, source_size, target, rate`` and ``copies`` added.
 
-    Null texts and texts without a word have size 0 and no copies; a null source is a source;
-    rows with the same id, source and size share their copies by their place in the input;
-    columns of these names are replaced; no rows give no rows. Equal input gives equal
-    copies. No group of documents is gathered: ranks come from counts by source, size and
-    hash piece, and a numbering inside pieces of bounded size.
+    Null texts and texts without a word have size 0 and no copies; a null source is a source.
+    Of rows that agree in every column the first get the copies that are over; such rows are
+    the same, so the result is the same for any order and layout of the input. Columns of
+    these names are replaced; no rows give no rows. No group of documents is gathered: ranks
+    come from counts by source, size and hash piece, and a numbering inside pieces of bounded size.
     """
-    sized = docs.withColumn("size", F.size(words(F.col("text"))).cast("long"))
-    ids = materialize(sized.groupBy("source", "size", "doc_id").agg(F.count(F.lit(1)).alias("k")), "sizes")
-    groups = ids.groupBy("source", "size").agg(F.sum("k").alias("n"))
+    plain = docs.drop("size", "source_size", "target", "rate", "copies")
+    every = [F.xxhash64(c) for c in plain.columns] + [F.col(c).isNull() for c in plain.columns]
+    sized = plain.withColumns({"size": F.size(words(F.col("text"))).cast("long"), "__row": F.xxhash64(*every)})
+    ids = materialize(sized.groupBy("source", "size", "doc_id", "__row").agg(F.count(F.lit(1)).alias("k")), "sizes")
+    groups = materialize(ids.groupBy("source", "size").agg(F.sum("k").alias("n")), "groups")
+    some = groups.filter("size > 0")
     sources = materialize(groups.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size")), "sources")
-    rate = F.least(F.lit(float(limit)), F.coalesce(F.exp(multiplier(F.col("source_size"), F.col("target"))), F.lit(0.0)))
-    rates = materialize(targets(sources, weights, limit).withColumn("rate", rate), "rates")
-    shares = _shares(ids, copies_by_size(groups, rates))
-    bases = sized.drop("source_size", "target", "rate", "copies").withColumn(
-        "__u", F.shiftrightunsigned(F.xxhash64(F.lit(5), F.monotonically_increasing_id()), 11) / F.lit(float(1 << 53)))
-    same = [F.col(f"b.{c}").eqNullSafe(F.col(f"s.{c}")) for c in ("doc_id", "source", "size")]
-    extra = F.coalesce((F.col("__u") * F.col("k") < F.col("more")).cast("long"), F.lit(0))
+    dual = multipliers(some, materialize(targets(sources, weights, limit), "targets"), limit)
+    shares = materialize(_shares(ids, copies_by_size(some, dual, limit)), "shares")
+    same = [F.col(f"b.{c}").eqNullSafe(F.col(f"s.{c}")) for c in ("__row", "doc_id", "source", "size")]
+    joined = sized.alias("b").join(shares.alias("s"), same, "left").select("b.*", "k", "least", "more")
+    single = joined.filter("k is null or k = 1").withColumn("__copies", F.col("least") + F.col("more"))
+    if not ids.filter("k > 1 and size > 0").isEmpty():  # of rows that are the same, one stands for all
+        equal = joined.filter("k > 1").dropDuplicates(["__row", "doc_id", "source", "size"])
+        numbered = equal.withColumn("__place", F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1)))
+        single = single.unionByName(numbered.withColumn("__copies", F.col("least") + (F.col("__place") < F.col("more")).cast("long")).drop("__place"))
     return (
-        bases.alias("b").join(shares.alias("s"), same, "left")
-        .join(rates.alias("r"), F.col("b.source").eqNullSafe(F.col("r.source")))
-        .select(*[F.col(f"b.{c}") for c in bases.columns if c != "__u"], "r.source_size", "r.target", "r.rate",
-                (F.coalesce(F.col("least"), F.lit(0)) + extra).cast("long").alias("copies"))
+        single.alias("b").join(dual.alias("r"), F.col("b.source").eqNullSafe(F.col("r.source")))
+        .select(*[F.col(f"b.{c}") for c in plain.columns], "b.size", "r.source_size", "r.target",
+                rate_of(F.col("multiplier"), F.col("b.size"), limit).alias("rate"), F.coalesce("__copies", F.lit(0)).cast("long").alias("copies"))
     )
 
 
 def _shares(ids: DataFrame, by_size: DataFrame) -> DataFrame:
-    """``least`` copies for each row of an id, and ``more`` for its ``k`` rows together.
+    """``least`` copies for each row, and ``more`` for the ``k`` rows together that are the same.
 
-    Within a source and size the ids follow each other by hash; the first rows get the copies
-    that are over after all got the same number.
+    Within a source and size rows follow each other by hash; the first get the copies that are
+    over after all got the same number.
     """
     dealt = by_size.select("source", "size", "n", F.floor(F.col("copies") / F.col("n")).alias("least"),
                            (F.col("copies") % F.col("n")).alias("over"), F.ceil(F.col("n") / PIECE).alias("pieces"))
@@ -117,7 +168,7 @@ def _shares(ids: DataFrame, by_size: DataFrame) -> DataFrame:
     same = F.col("i.source").eqNullSafe(F.col("d.source")) & (F.col("i.size") == F.col("d.size"))
     placed = (
         ids.alias("i").join(dealt.alias("d"), same)
-        .select("i.doc_id", "i.source", "i.size", "k", "n", "least", "over", "pieces", id_hash("i.doc_id").alias("hash"))
+        .select("i.doc_id", "i.__row", "i.source", "i.size", "k", "n", "least", "over", "pieces", F.xxhash64(id_hash("i.doc_id"), "i.__row").alias("hash"))
         .withColumn("piece", piece)
     )
     keys = ["source", "size", "piece"]
@@ -125,10 +176,10 @@ def _shares(ids: DataFrame, by_size: DataFrame) -> DataFrame:
     before = placed.groupBy(*keys).agg(F.sum("k").alias("rows")).select(
         *keys, F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("before"))
     same = F.col("p.source").eqNullSafe(F.col("f.source")) & (F.col("p.size") == F.col("f.size")) & (F.col("p.piece") == F.col("f.piece"))
-    inside = Window.partitionBy("p.source", "p.size", "p.piece").orderBy("hash", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("p.source", "p.size", "p.piece").orderBy("hash", "doc_id", "__row").rowsBetween(Window.unboundedPreceding, -1)
     first = F.col("before") + F.coalesce(F.sum("k").over(inside), F.lit(0))
     return placed.alias("p").join(before.alias("f"), same).select(
-        "doc_id", "p.source", "p.size", "k", "least",
+        "doc_id", "__row", "p.source", "p.size", "k", "least",
         F.least(F.col("k"), F.greatest(F.lit(0), F.col("over") - first)).alias("more"))
 
 
