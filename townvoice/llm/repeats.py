@@ -31,6 +31,7 @@ FILTER_BITS = (20, 29)  # least and most bits, as powers of 2, of the filter of
 CHUNK = 4 << 20  # bytes whose suffixes are sorted at once, about
 MANY = 20_000  # classes of one anchor that are sorted in one task, at most
 SENT = 1_000_000  # spans that are broadcast, at most: about 40 bytes each
+PLACE = ["doc_id", "text_key", "start"]  # where a segment starts, in order of precedence
 GOLDEN, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -113,7 +114,7 @@ def anchor_filter(repeated: DataFrame) -> tuple[int, np.ndarray]:
 
 
 def candidates(docs: DataFrame, known: tuple[int, np.ndarray], size: int, contents: bool) -> DataFrame:
-    """``anchor, content_hash, doc_id, start, n, content`` of segments whose anchor passes the filter.
+    """``anchor, content_hash, doc_id, text_key, start, n, content`` of segments whose anchor passes the filter.
 
     Without ``contents`` the last is null.
     """
@@ -123,14 +124,14 @@ def candidates(docs: DataFrame, known: tuple[int, np.ndarray], size: int, conten
         bits, held = shared.value
 
         def packed(rows: list) -> pa.RecordBatch:
-            columns = list(zip(*rows)) or [()] * 6
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+            columns = list(zip(*rows)) or [()] * 7
+            kinds = [*[pa.int64()] * 4, pa.int32(), pa.int32(), pa.binary()]
             return pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds)], names=["anchor", "content_hash", "doc_id", "start", "n", "content"])
+                [pa.array(c, k) for c, k in zip(columns, kinds)], names=["anchor", "content_hash", "doc_id", "text_key", "start", "n", "content"])
 
         for batch in batches:
             rows, volume = [], 0
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for doc_id, text_key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 data = text.as_py().encode("utf-8", "surrogatepass")
                 hashes, first, n, place = segments(data, size)
                 index = hashes >> np.uint64(64 - bits)
@@ -138,15 +139,15 @@ def candidates(docs: DataFrame, known: tuple[int, np.ndarray], size: int, conten
                 for anchor, start, count, at in zip(hashes[hit].view(np.int64).tolist(), first[hit].tolist(), n[hit].tolist(), place[hit].tolist()):
                     content = data[start : start + count + size - 1]
                     own = xxhash.xxh3_64_intdigest(content, seed=at - start)
-                    rows.append((anchor, own - (1 << 63), doc_id, start, count, content if contents else None))
+                    rows.append((anchor, own - (1 << 63), doc_id, text_key, start, count, content if contents else None))
                     volume += len(content)
                 if volume > CHUNK:
                     yield packed(rows)
                     rows, volume = [], 0
             yield packed(rows)
 
-    return docs.select("doc_id", "text").mapInArrow(
-        find, "anchor bigint, content_hash bigint, doc_id bigint, start int, n int, content binary")
+    return docs.select("doc_id", "text_key", "text").mapInArrow(
+        find, "anchor bigint, content_hash bigint, doc_id bigint, text_key bigint, start int, n int, content binary")
 
 
 def dense(values: np.ndarray) -> np.ndarray:
@@ -196,11 +197,11 @@ def repeated_starts(contents: list[bytes], size: int = SIZE) -> np.ndarray:
 
 
 def factor_spans(classes: DataFrame, size: int) -> DataFrame:
-    """``doc_id, start, stop`` of what the earliest segments of the classes repeat of each other."""
+    """``doc_id, text_key, start, stop`` of what the earliest segments of the classes repeat of each other."""
 
     def spans(rows: list[tuple]) -> pa.RecordBatch:
-        rows.sort(key=lambda row: (row[1], row[2]))
-        contents = [row[3] for row in rows]
+        rows.sort(key=lambda row: row[1:4])
+        contents = [row[4] for row in rows]
         found = repeated_starts(contents, size)
         counts = np.array([len(c) - size + 1 for c in contents])
         owner = np.repeat(np.arange(len(rows)), counts)
@@ -208,19 +209,20 @@ def factor_spans(classes: DataFrame, size: int) -> DataFrame:
         opens = found & ~np.concatenate([[False], found[:-1] & (owner[1:] == owner[:-1])])
         closes = found & ~np.concatenate([found[1:] & (owner[1:] == owner[:-1]), [False]])
         first, last = np.flatnonzero(opens), np.flatnonzero(closes)
-        start = np.array([row[2] for row in rows], np.int64)[owner[first]] if len(first) else np.zeros(0, np.int64)
-        doc_id = np.array([row[1] for row in rows], np.int64)[owner[first]] if len(first) else np.zeros(0, np.int64)
-        stop = start + inside[last] + size
-        return pa.RecordBatch.from_arrays([pa.array(doc_id), pa.array(start + inside[first]), pa.array(stop)], names=["doc_id", "start", "stop"])
+        of = owner[first]
+        doc_id, text_key, start = (np.array([row[i] for row in rows], np.int64)[of] for i in (1, 2, 3))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(doc_id), pa.array(text_key), pa.array(start + inside[first]), pa.array(start + inside[last] + size)],
+            names=["doc_id", "text_key", "start", "stop"])
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ready, volume, group = [], 0, []
         for batch in batches:
-            for row in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            for row in zip(*(batch.column(i).to_pylist() for i in range(5))):
                 if group and group[0][0] != row[0]:
                     if len(group) > 1:
                         ready += group
-                        volume += sum(len(r[3]) for r in group)
+                        volume += sum(len(r[4]) for r in group)
                     group = []
                     if volume > CHUNK:
                         yield spans(ready)
@@ -231,8 +233,8 @@ def factor_spans(classes: DataFrame, size: int) -> DataFrame:
             yield spans(ready)
 
     return (
-        classes.select("anchor", "first.doc_id", "first.start", "content").repartition("anchor")
-        .sortWithinPartitions("anchor").mapInArrow(walk, "doc_id bigint, start bigint, stop bigint")
+        classes.select("anchor", "first.doc_id", "first.text_key", "first.start", "content").repartition("anchor")
+        .sortWithinPartitions("anchor").mapInArrow(walk, "doc_id bigint, text_key bigint, start bigint, stop bigint")
     )
 
 
@@ -241,43 +243,45 @@ def string_spans(classes: DataFrame, size: int) -> DataFrame:
 
     def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for doc_id, start, content in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            for doc_id, text_key, start, content in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 n = len(content) - size + 1
                 keys = [xxhash.xxh3_128_hexdigest(content[i : i + size]) for i in range(n)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys), pa.array([doc_id] * n, pa.int64()), pa.array(range(start, start + n), pa.int64())], names=["key", "doc_id", "start"])
+                    [pa.array(keys), pa.array([doc_id] * n, pa.int64()), pa.array([text_key] * n, pa.int64()), pa.array(range(start, start + n), pa.int64())],
+                    names=["key", *PLACE])
 
-    every = materialize(classes.select("first.doc_id", "first.start", "content").mapInArrow(
-        strings, "key string, doc_id bigint, start bigint"), "strings")
-    first = every.groupBy("key").agg(F.min(F.struct("doc_id", "start")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    return every.join(first, "key").filter("struct(doc_id, start) <> first").select(
-        "doc_id", "start", (F.col("start") + size).alias("stop"))
+    every = materialize(classes.select("first.doc_id", "first.text_key", "first.start", "content").mapInArrow(
+        strings, "key string, doc_id bigint, text_key bigint, start bigint"), "strings")
+    first = every.groupBy("key").agg(F.min(F.struct(*PLACE)).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return every.join(first, "key").filter(F.struct(*PLACE) != F.col("first")).select(
+        *PLACE, (F.col("start") + size).alias("stop"))
 
 
 def merged(spans: DataFrame) -> DataFrame:
-    """``doc_id, spans``: overlapping and touching spans of a document joined, in order."""
-    own = Window.partitionBy("doc_id").orderBy("start", "stop")
+    """``doc_id, text_key, spans``: overlapping and touching spans of a text joined, in order."""
+    text = ["doc_id", "text_key"]
+    own = Window.partitionBy(*text).orderBy("start", "stop")
     reach = F.max("stop").over(own.rowsBetween(Window.unboundedPreceding, -1))
     opens = spans.withColumn("opens", (F.coalesce(F.col("start") > reach, F.lit(True))).cast("int"))
     numbered = opens.withColumn("span", F.sum("opens").over(own.rowsBetween(Window.unboundedPreceding, 0)))
-    joined = numbered.groupBy("doc_id", "span").agg(F.min("start").alias("start"), F.max("stop").alias("stop"))
-    return joined.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("spans"))
+    joined = numbered.groupBy(*text, "span").agg(F.min("start").alias("start"), F.max("stop").alias("stop"))
+    return joined.groupBy(*text).agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("spans"))
 
 
 def repeated_spans(docs: DataFrame, size: int = SIZE) -> DataFrame:
-    """``doc_id, spans``: the byte ranges of each document that also start earlier, where there are any."""
+    """``doc_id, text_key, spans``: the byte ranges of each text that also start earlier, where there are any."""
     small_batches(docs.sparkSession)
-    texts = docs.filter("doc_id is not null and text is not null").select(F.col("doc_id").cast("long"), "text").filter(
-        F.octet_length("text") >= size)
+    texts = docs.filter("doc_id is not null and text is not null").select(
+        F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"), "text").filter(F.octet_length("text") >= size)
     repeated = materialize(anchor_counts(texts, size).select("anchor"), "anchors")
     # texts are read once more for contents, so that only those that are compared travel
     found = materialize(candidates(texts, anchor_filter(repeated), size, False).drop("content"), "segments")
     keys = ["anchor", "content_hash"]
-    first = F.min(F.struct("doc_id", "start")).alias("first")
+    first = F.min(F.struct(*PLACE)).alias("first")
     # all but the earliest segment of a class
     earliest = found.groupBy(*keys).agg(first, F.count(F.lit(1)).alias("count"))
-    later = found.join(earliest.filter("count > 1"), keys).filter("struct(doc_id, start) <> first").select(
-        "doc_id", F.col("start").cast("long").alias("start"), (F.col("start") + F.col("n") + size - 1).cast("long").alias("stop"))
+    later = found.join(earliest.filter("count > 1"), keys).filter(F.struct(*PLACE) != F.col("first")).select(
+        "doc_id", "text_key", F.col("start").cast("long").alias("start"), (F.col("start") + F.col("n") + size - 1).cast("long").alias("stop"))
     # the earliest ones, compared with those of other classes of the anchor
     per_anchor = found.select(*keys).distinct().groupBy("anchor").agg(F.count(F.lit(1)).alias("classes"))
     several = materialize(per_anchor.filter("classes > 1"), "several")
@@ -298,14 +302,15 @@ def without_repeats(docs: DataFrame, size: int = SIZE) -> DataFrame:
 
     ``spans`` are ``start, stop`` byte offsets, maximal and in order. Null counts as the empty
     text; texts shorter than ``size`` stay whole; a document without an id stays whole and is
-    nobody's earlier copy; rows with one id are one document, so neither is the earlier one.
+    nobody's earlier copy. Rows with one id and one text are one document, so neither is the
+    earlier one; rows with one id and other texts are documents of their own, by hash of text.
     Other columns are ignored; no rows give no rows. Ids are integers.
     """
     found = materialize(repeated_spans(docs, size), "spans")
     total = found.agg(F.sum(F.size("spans"))).first()[0] or 0
     sent = F.broadcast(found) if total <= SENT else found
     data = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    rows = docs.select("doc_id", data.alias("data")).join(sent, "doc_id", "left")
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_key"), data.alias("data")).join(sent, ["doc_id", "text_key"], "left")
     spans = F.coalesce("spans", F.array().cast("array<struct<start: bigint, stop: bigint>>"))
     start = F.struct(F.lit(b"").alias("kept"), F.lit(0).cast("long").alias("at"))
 
