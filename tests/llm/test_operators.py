@@ -70,6 +70,63 @@ def test_repeats_edge_cases(edge_docs, no_docs):
     assert repeats.without_repeats(no_docs).count() == 0
 
 
+@pytest.mark.parametrize("parts", [1, 5])
+def test_texts_that_share_an_id_keep_what_is_their_own(spark, parts):
+    r = random.Random(4)
+    a, b = ("".join(r.choice("abcdefgh ") for _ in range(300)) for _ in range(2))
+    rows = [(1, a), (2, a + "zz"), (2, b), (2, b), (None, a), (None, None), (3, None)]
+    got = repeats.without_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)).collect()
+    assert sorted((x.doc_id or 0, x.n_bytes, len(x.kept)) for x in got) == [(0, 0, 0), (0, 300, 300), (1, 300, 300), (2, 300, 300), (2, 300, 300), (2, 302, 2), (3, 0, 0)]
+
+
+@pytest.mark.parametrize("parts", [1, 2, 5])
+def test_copies_are_told_by_rows_and_not_by_ids(spark, parts):
+    r = random.Random(5)
+    a, b, c = (" ".join(str(r.randrange(10**6)) for _ in range(40)) for _ in range(3))
+    rows = [(1, a, "x"), (1, b, "y"), (None, a + " more", "z"), (None, c, "z"), (None, c, "z"), (7, c, "w"), (8, "", "v"), (8, None, "v"), (9, b, "u"), (9, b, "u")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(parts)
+    got = sorted(((x.doc_id, x.text, x.source) for x in neardup.without_copies(docs).collect()), key=str)
+    assert got == sorted([(1, a, "x"), (1, b, "y"), (7, c, "w"), (8, "", "v"), (8, None, "v")], key=str)
+
+
+def test_mix_tilts_by_size_and_meets_its_targets(spark):
+    r = random.Random(6)
+    rows = [(i, "w " * r.choice([5, 40, 300, 2000]), "abc"[i % 3], i % 7) for i in range(900)] + [(5000 + i % 3, "w " * 100, "d", 1) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, source string, other int")
+    seen = set()
+    for parts in (1, 3, 7):
+        found = mixing.balance(docs.repartition(parts)).collect()
+        seen.add(tuple(sorted((x.doc_id, x.copies, round(x.rate, 9)) for x in found)))
+    assert len(seen) == 1 and len(found) == 960
+    for source in "abcd":
+        own = [x for x in found if x.source == source]
+        total = sum(x["size"] for x in own)
+        assert abs(sum(x.rate * x["size"] for x in own) - own[0].target) < 1e-6 * own[0].target
+        assert abs(sum(x.copies * x["size"] for x in own) - own[0].target) <= max(x["size"] for x in own)
+        assert all(math.floor(x.rate) <= x.copies <= math.ceil(x.rate) for x in own)
+        rates = {x["size"]: x.rate for x in own}
+        tilt = [math.log(rate) / size for size, rate in rates.items() if 0 < rate < 3]
+        assert not tilt or max(tilt) - min(tilt) < 1e-9 and (len(rates) == 1 or (tilt[0] > 0) == (own[0].target > total))
+
+
+def test_dual_is_solved_for_odd_sizes(spark):
+    groups = spark.createDataFrame([("a", 1, 10**6), ("a", 20_000, 3), ("b", 7, 5), ("c", 3, 4), ("c", 9000, 50), ("e", 10, 10)], "source string, size long, n long")
+    size = {"a": 1_060_000, "b": 35, "c": 450_012, "e": 100}
+    goals = spark.createDataFrame([("a", size["a"], 30_000.0), ("b", 35, 105.0), ("c", size["c"], 2.9 * size["c"]), ("d", 0, 0.0), ("e", 100, 100.0)], "source string, source_size long, target double")
+    found = {x.source: x for x in mixing.multipliers(groups, goals).collect()}
+    assert all(x.residual <= 1e-9 for x in found.values()) and found["d"].multiplier is None and found["e"].multiplier == 0
+    assert found["a"].multiplier < 0 < found["c"].multiplier
+
+
+def test_language_sample_does_not_depend_on_repeated_rows(spark):
+    texts = [(i, "en", f"alpha beta gamma {'x' * (i % 9)}") for i in range(40)] + [(100 + i, "de", f"uber strasse {'y' * (i % 9)}") for i in range(40)]
+    docs = spark.createDataFrame(texts, "doc_id int, lang string, text string")
+    many = docs.unionByName(docs.filter("doc_id = 1").withColumn("doc_id", F.explode(F.sequence(F.lit(1), F.lit(300)))).withColumn("doc_id", F.lit(1)))
+    one, other = language.train(docs, sample=10), language.train(many.repartition(3), sample=10)
+    assert one.languages == other.languages == ["de", "en"] and (one.slots == other.slots).all()
+    assert language.guess("strasse", one)[0] == "de"
+
+
 def test_benchmark_items_are_found(spark, sf_dir, texts):
     items = {r.item_id: r.text for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()}
     index = defaultdict(set)
@@ -397,5 +454,5 @@ def test_near_duplicate_edges(edge_docs, no_docs):
     found = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in rows}
     assert len(rows) == 11 and found[2][1] == 1 and found[8][1:] == (7, False) and found[3] == (0, 3, True) and found[None][1:] == (None, True)
     kept = neardup.without_copies(edge_docs, 4)
-    assert kept.columns == edge_docs.columns and sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 3, 4, 5, 6, 7, 9]
+    assert kept.columns == edge_docs.columns and sorted(r.doc_id or 0 for r in kept.collect()) == [1, 3, 4, 5, 6, 7, 9]
     assert neardup.near_duplicates(no_docs).count() == 0
