@@ -174,11 +174,11 @@ def seed_table(tracking: DataFrame, path: str, buckets: int | None = None) -> No
     fresh = Journal(state.generation, buckets or state.buckets, state.bases if buckets in (None, state.buckets) else {}, state.versions)
     version = fresh.latest() + 1
     fresh.versions[version] = ("seed", 0, 0)
-    _fold(spark, path, fresh, tracking.select(*NAMES), version, replace=True)
+    _fold(spark, path, fresh, tracking.select(*NAMES), version)
 
 
-def _fold(spark: SparkSession, path: str, state: Journal, rows: DataFrame, version: int, replace: bool = False) -> None:
-    """Write ``rows``, all that their buckets hold, to the buckets' next slots."""
+def _fold(spark: SparkSession, path: str, state: Journal, rows: DataFrame, version: int, touched: list[int] | None = None) -> None:
+    """Write ``rows``, all that the ``touched`` buckets hold, to the buckets' next slots; None stands for a whole new table."""
     slots = {bucket: (state.base(bucket).slot + 1) % BASE_SLOTS for bucket in state.bases}
     # a row a bucket; buckets without a base begin in slot 0
     table = spark.createDataFrame([(b, slots.get(b, 0)) for b in range(state.buckets)], "bucket int, slot int")
@@ -189,8 +189,10 @@ def _fold(spark: SparkSession, path: str, state: Journal, rows: DataFrame, versi
     parts = ["of", "bucket", "slot", "pending"]
     placed.hint("rebalance", "bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(f"{path}/base")
     written = spark.read.parquet(f"{path}/base").filter((F.col("of") == state.buckets) & (F.col("_version") == version))
+    if touched is not None:
+        written = written.filter(F.col("bucket").isin(touched))
     counts = written.groupBy("bucket", "slot").agg(F.sum("pending").alias("waiting"), F.sum(1 - F.col("pending")).alias("settled")).collect()
-    bases = {} if replace else dict(state.bases)
+    bases = {} if touched is None else dict(state.bases)
     for row in counts:
         bases[row.bucket] = [*state.bases.get(row.bucket, []), Base(version, row.slot, row.waiting, row.settled)]
     _write_generation(spark, path, Journal(state.generation + 1, state.buckets, bases, state.versions))
@@ -203,7 +205,7 @@ def fold_table(spark: SparkSession, path: str) -> None:
     if changed is None:
         return
     touched = sorted(row.bucket for row in changed.select(bucket_of(state.buckets).alias("bucket")).distinct().collect())
-    _fold(spark, path, state, _read(spark, path, state, None, touched, False), state.latest())
+    _fold(spark, path, state, _read(spark, path, state, None, touched, False), state.latest(), touched)
 
 
 def next_version(state: Journal, origin: str, batch: int | None) -> int:
