@@ -92,7 +92,7 @@ def test_long_chains_of_outcomes_equal_a_plain_loop(spark, rule, monkeypatch):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         final = tracking.final_state
-        monkeypatch.setattr(tracking, "final_state", lambda outcomes, threshold, rule: final(outcomes, threshold, rule, long=2))
+        monkeypatch.setattr(tracking, "final_state", lambda outcomes, threshold, rule, most: final(outcomes, threshold, rule, long=2))
         got = result(tracking.tracking_upsert(None, frame(spark, hits), rule=rule))
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)

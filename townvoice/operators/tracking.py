@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import TRACKING_SCHEMA
 from ..session import materialize
-from .fold import BASE, CHAIN, COLUMNS, FINAL_SCHEMA, FORCED, HIT, INTERVALS, OUTCOME_SCHEMA, chain_outcomes, fold_ranges
+from .fold import BASE, CHAIN, COLUMNS, FINAL_SCHEMA, FORCED, HIT, INTERVALS, OUTCOME_SCHEMA, PACKED, chain_outcomes, fold_ranges
 
 KEY = ["platform", "url"]
 UNSTABLE = ["FAILED", "BANNED"]
@@ -61,9 +61,11 @@ def tracking_upsert(tracking: DataFrame | None, hits: DataFrame, threshold: int
             F.min(F.when(has_figures & insertable, own)).alias("insert"),
             F.min(F.when(has_figures & sighted, own)).alias("any"),
             F.min(F.when(has_figures & sighted & insertable, own)).alias("full"),
+            F.count(F.lit(1)).alias("hits"),
         ),
         "sightings",
     )
+    most = seen.groupBy(*KEY).agg(F.sum("hits").alias("hits")).agg(F.max("hits")).first()[0] or 0
     touched = untouched = None
     if tracking is not None:
         # URLs without a hit keep their row and stay out of the fold.
@@ -93,7 +95,9 @@ def tracking_upsert(tracking: DataFrame | None, hits: DataFrame, threshold: int
         .sortWithinPartitions(*order)
         .mapInPandas(fold_ranges(threshold, rule == "documented"), OUTCOME_SCHEMA)
     )
-    folded = final_state(outcomes, threshold, rule)
+    # a range leaves three rows of a URL, and one for every full row of intervals
+    ranges = min(most, int(hits.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    folded = final_state(outcomes, threshold, rule, most=3 * ranges + most // PACKED)
     if untouched is None or touched_only:
         return folded
     kept = untouched.withColumn("keywords", F.array_distinct("keywords")).select(*TRACKING_SCHEMA.names)
@@ -208,19 +212,20 @@ def combine(outcomes: Column, threshold: int, rule: str) -> Column:
 LONG = 64  # outcome rows of a URL that are combined in one row, at most
 
 
-def final_state(outcomes: DataFrame, threshold: int, rule: str, long: int = LONG) -> DataFrame:
+def final_state(outcomes: DataFrame, threshold: int, rule: str, long: int = LONG, most: int | None = None) -> DataFrame:
     """One row per URL from the outcomes of its ranges and the keywords it met.
 
     The outcomes of a URL follow each other in the order of their partitions. A URL with up to
     ``long`` outcome rows is combined in one row; the rows of others are sorted and walked
     through with one state kept, so that no row grows with a URL's hits. What is collected
-    per URL in any case is its keywords.
+    per URL in any case is its keywords. ``most``: outcome rows that no URL can exceed.
     """
     names = ["part", "n", "role", "entries", "states", "at", "seq", "post_id", "words"]
-    outcomes = materialize(outcomes, "outcomes")
-    many = outcomes.filter("role <> 'words'").groupBy(*KEY).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > long).select(*KEY)
-    walked = None
-    if not many.isEmpty():
+    many = walked = None
+    if most is None or most > long:
+        outcomes = materialize(outcomes, "outcomes")
+        many = outcomes.filter("role <> 'words'").groupBy(*KEY).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > long).select(*KEY)
+    if many is not None and not many.isEmpty():
         many = materialize(many, "long-urls")
         chained = outcomes.alias("o").join(many.alias("m"), same_key("o", "m"), "left_semi")
         walked = chained.filter("role <> 'words'").repartition(*KEY).sortWithinPartitions(*KEY, "part", "n").mapInPandas(
