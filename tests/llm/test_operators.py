@@ -456,3 +456,21 @@ def test_near_duplicate_edges(edge_docs, no_docs):
     kept = neardup.without_copies(edge_docs, 4)
     assert kept.columns == edge_docs.columns and sorted(r.doc_id or 0 for r in kept.collect()) == [1, 3, 4, 5, 6, 7, 9]
     assert neardup.near_duplicates(no_docs).count() == 0
+
+
+@pytest.mark.parametrize("parts", [1, 3])
+def test_templates_do_not_depend_on_ids_copies_or_layout(spark, monkeypatch, parts):
+    item, short = "The quick engineer of the northern harbour paints 14 long wooden boats before winter", "two boats"
+    text = f"As told before, {item.lower()} and then rests."
+    rows = [(1, text, "x")] * 3 + [(None, text, "x"), (1, "no boats here", "x"), (2, None, "x"), (3, "", "x"), (4, "I own two boats.", None)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, item_key string").repartition(parts)
+    asked = [("a", item), ("a", item), ("a", short), (None, short), ("c", None), ("d", "...")]
+    bench = spark.createDataFrame(asked, "item_id string, text string").repartition(parts)
+    want = Counter({(1, "a"): 6, (None, "a"): 2, (4, "a"): 1, (4, None): 1})
+    for bits in ((20, 28), (15, 15)):  # the size of the map changes nothing
+        monkeypatch.setattr(decontamination, "MAP_BITS", bits)
+        got = decontamination.contaminations(docs, bench, block=2).collect()
+        assert Counter((r.doc_id, r.item_id) for r in got) == want and {(r.covered, r.consistent) for r in got} == {(1.0, 1.0)}
+    left = decontamination.decontaminated(docs, bench)
+    assert left.columns == docs.columns
+    assert Counter((r.doc_id, r.text) for r in left.collect()) == Counter({(1, "no boats here"): 1, (2, None): 1, (3, ""): 1})

@@ -1,7 +1,7 @@
 """Benchmark decontamination by template canonicalisation (operator 2).
 
-Words are lower-cased and lose their punctuation. Windows of them are hashed and looked up
-among the windows of the benchmark under three keys: as they are, with numbers and units as
+Words are lower-cased and lose their punctuation. Windows of them are hashed and joined by
+hash with the windows of the benchmark under three keys: as they are, with numbers and units as
 typed placeholders, and with names as placeholders too. So every item with a word is found
 where it stands literally, in any case, and most also with other numbers or names. Matches
 of one item on one diagonal (same distance of places) form runs, and runs on nearby diagonals
@@ -13,6 +13,10 @@ window of eight tokens shares no window and is not found.
 Windows of slots only are no evidence of another set of values. Names are told by capitals
 alone, so windows that are mostly names, as in any heading, add to a copy that has another
 match, but make none.
+
+Texts and items take part under the hash of their text, so copies are judged once. A bit map
+of the benchmark's windows keeps most other windows out of the join. Its size is bounded: past
+that, more windows are joined in vain, and the result is the same.
 """
 
 from __future__ import annotations
@@ -24,18 +28,21 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import small_batches, table
+from .common import materialize, small_batches, table
 
 WINDOW = 8  # tokens; an item with fewer is one window
 LITERAL = 0.5  # share of plain words in a window with names, at least, for it to be evidence by itself
 COVER = 0.5  # share of an item's tokens that matches cover, at least
 CONSISTENT = 0.8  # share of slot pairs that follow one substitution, at least
-BLOCK = 1_000_000  # windows of the benchmark that one pass over the texts looks up
+BLOCK = 50_000  # windows that a task hands over at once, about
+MAP_BITS = (20, 28)  # least and most bits, as powers of 2, of the map of the benchmark's windows: 32 MB
+PER_WINDOW = 1024  # bits of the map for each window of the benchmark, up to the most
 CACHED = 50_000  # words whose tokens a task keeps
 # units that count as such after a number; fixed values
 UNITS = frozenset("""% mm cm m km kg g mg l ml s ms min h hz kb mb gb tb usd eur gbp inch inches foot feet yard yards mile miles
@@ -151,13 +158,6 @@ def windows(tokens: Tokens, size: int, key: int) -> tuple[np.ndarray, np.ndarray
     return places, folded[places], words[places] >= (LITERAL * size if key == NAMED else 1)
 
 
-class Index(NamedTuple):
-    """A block of the benchmark: windows by length, and the tokens of the items they are from."""
-
-    lengths: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]  # sorted hashes, item, place, filter
-    items: dict  # item -> (slot, values)
-
-
 def entries_of(tokens: Tokens) -> tuple[int, np.ndarray, np.ndarray]:
     """The window length of an item, and the hashes and places of its windows under all keys."""
     size = min(WINDOW, len(tokens.codes))
@@ -165,40 +165,81 @@ def entries_of(tokens: Tokens) -> tuple[int, np.ndarray, np.ndarray]:
     return size, np.concatenate([f[1] for f in found]), np.concatenate([f[0] for f in found])
 
 
-def blocks(benchmark: DataFrame, block: int = BLOCK) -> Iterator[Index]:
-    """The benchmark in blocks of about ``block`` windows, read item by item.
+def item_windows(items: DataFrame) -> DataFrame:
+    """``hash, size, item_key, place, total``: the windows of each item, with its number of tokens.
 
-    Null and wordless items are left out; items with one id count as one item each.
+    ``items``: ``item_key, text``. Items without a word have none.
     """
-    known, entries, items, held = Canonical(), {}, {}, 0
-    for at, row in enumerate(benchmark.select("item_id", "text").toLocalIterator()):
-        tokens = known.tokens(row.text)
-        if not len(tokens.codes):
-            continue
-        size, hashes, places = entries_of(tokens)
-        key = (at, row.item_id)
-        items[key] = (tokens.slots[-1], tokens.values())
-        entries.setdefault(size, []).append((hashes, [key] * len(places), places))
-        held += len(places)
-        if held >= block:
-            yield index(entries, items)
-            entries, items, held = {}, {}, 0
-    if items:
-        yield index(entries, items)
-
-
-def index(entries: dict, items: dict) -> Index:
-    lengths = {}
-    for size, parts in entries.items():
-        hashes = np.concatenate([p[0] for p in parts])
-        order = np.argsort(hashes, kind="stable")
-        owners = np.empty(len(hashes), object)
-        owners[:] = [key for p in parts for key in p[1]]
-        bits = min(24, max(10, (16 * len(hashes)).bit_length()))
-        held = np.zeros(1 << bits, bool)
-        held[hashes >> np.uint64(64 - bits)] = True
-        lengths[size] = (hashes[order], owners[order], np.concatenate([p[2] for p in parts])[order], held)
-    return Index(lengths, items)
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = Canonical()
+        for batch in batches:
+            for key, text in zip(batch.item_key, batch.text):
+                tokens = known.tokens(text)
+                size, hashes, places = entries_of(tokens)
+                if size:
+                    yield pd.DataFrame({"hash": hashes.view(np.int64), "size": size, "item_key": key, "place": places, "total": len(tokens.codes)})
+
+    return items.mapInPandas(cut, "hash bigint, size int, item_key string, place int, total int")
+
+
+def item_tokens(items: DataFrame) -> DataFrame:
+    """``item_key, slots, values``: the tokens of each item, and which are placeholders."""
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = Canonical()
+        for batch in batches:
+            found = [known.tokens(text) for text in batch.text]
+            yield pd.DataFrame({"item_key": batch.item_key, "slots": [t.slots[-1].tolist() for t in found], "values": [t.values() for t in found]})
+
+    return items.mapInPandas(cut, "item_key string, slots array<boolean>, values array<string>")
+
+
+def window_map(entries: DataFrame) -> tuple[int, np.ndarray]:
+    """A bit for each value of the hashes' first bits, least bit of a byte first; how many bits those are."""
+    bits = min(MAP_BITS[1], max(MAP_BITS[0], (PER_WINDOW * max(1, entries.count()) - 1).bit_length()))
+    place = F.shiftrightunsigned("hash", 64 - bits) + 1
+    parts = entries.groupBy(F.bitmap_bucket_number(place).alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
+    out = np.zeros(1 << (bits - 3), np.uint8)
+    for row in parts.toLocalIterator():
+        own = np.frombuffer(row.bits, np.uint8)
+        out[(row.part - 1) * len(own) : row.part * len(own)] = own
+    return bits, out
+
+
+def text_windows(texts: DataFrame, entries: DataFrame, block: int = BLOCK) -> DataFrame:
+    """``hash, size, text_key, at, strong, words``: the windows of each text that the map of ``entries`` holds.
+
+    ``texts``: ``text_key, text``.
+    """
+    sizes = sorted(row.size_ for row in entries.select(F.col("size").alias("size_")).distinct().collect())
+    shared = texts.sparkSession.sparkContext.broadcast(window_map(entries))
+    kinds = {"hash": pa.int64(), "size": pa.int32(), "text_key": pa.string(), "at": pa.int32(), "strong": pa.bool_(), "words": pa.string()}
+
+    def packed(rows: list[tuple]) -> pa.RecordBatch:
+        columns = zip(*rows) if rows else [()] * len(kinds)
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds.values())], names=list(kinds))
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, rows = Canonical(), []
+        bits, held = shared.value
+        for batch in batches:
+            for text_key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                tokens = known.tokens(text.as_py())
+                for size in sizes:
+                    for key in range(len(tokens.keys)):
+                        places, hashes, strong = windows(tokens, size, key)
+                        bit = hashes >> np.uint64(64 - bits)
+                        hit = np.flatnonzero(held[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8) & 1)
+                        for at, own, alone in zip(places[hit].tolist(), hashes[hit].view(np.int64).tolist(), strong[hit].tolist()):
+                            words = " ".join([tokens.words[code] for code in tokens.codes[at : at + size].tolist()])
+                            rows.append((own, size, text_key, at, alone, words))
+                            if len(rows) >= block:
+                                yield packed(rows)
+                                rows = []
+        yield packed(rows)
+
+    return texts.mapInArrow(find, "hash bigint, size int, text_key string, at int, strong boolean, words string")
 
 
 class Run(NamedTuple):
@@ -295,73 +336,72 @@ def best_copy(runs: list[Run], slot: np.ndarray, values: list[str], words: list[
     return best if best[0] else None
 
 
-def matches(text: str | None, found: Index, known: Canonical) -> list[tuple]:
-    """``item_id, covered share, consistent share`` of the items that a text holds."""
-    tokens = known.tokens(text)
-    near: dict[tuple, list[tuple[int, int, int, bool]]] = {}
-    for size, (hashes, owners, places, held) in found.lengths.items():
-        for key in range(len(tokens.keys)):
-            own, looked, strong = windows(tokens, size, key)
-            some = np.flatnonzero(held[looked >> np.uint64(65 - len(held).bit_length())])
-            if not len(some):
-                continue
-            first, last = (np.searchsorted(hashes, looked[some], side) for side in ("left", "right"))
-            for i, start, end in zip(some.tolist(), first.tolist(), last.tolist()):
-                for entry in range(start, end):
-                    place = int(places[entry])
-                    near.setdefault(owners[entry], []).append((place, int(own[i]) - place, size, bool(strong[i])))
-    out, words = [], tokens.values() if near else []
-    for item, hits in near.items():
-        best = best_copy(runs_of(*np.array(hits).T), *found.items[item], words)
-        if best:
-            out.append((item[1], *best))
-    return out
+def judged(pairs: DataFrame) -> DataFrame:
+    """``text_key, item_key, covered, consistent`` of the pairs whose matches form a copy."""
 
+    def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for row in batch.itertuples(index=False):
+                words = {}
+                for at, held in zip(row.at, row.words):
+                    words.update(enumerate(held.split(" "), at))
+                runs = runs_of(row.place, row.at - row.place, row.size, row.strong)
+                best = best_copy(runs, np.array(row.slots, bool), row.values_, words)
+                if best:
+                    out.append((row.text_key, row.item_key, *best))
+            yield pd.DataFrame(out, columns=["text_key", "item_key", "covered", "consistent"])
 
-def contaminations(docs: DataFrame, benchmark: DataFrame, block: int = BLOCK) -> DataFrame:
-    """``doc_id, item_id, covered, consistent``: the items that each whole text holds.
+    return pairs.mapInPandas(judge, "text_key string, item_key string, covered double, consistent double")
 
-    Null, empty and wordless texts hold none; repeated rows each give theirs; other columns
-    are ignored; without rows on either side there are none. The benchmark is looked up in
-    blocks of bounded size, each in one pass over the texts.
-    """
-    small_batches(docs.sparkSession)
-    kind, item = (df.schema[c].dataType.simpleString() for df, c in ((docs, "doc_id"), (benchmark, "item_id")))
-    schema = f"doc_id {kind}, item_id {item}, covered double, consistent double"
-    out = docs.sparkSession.createDataFrame([], schema)
-    for found in blocks(benchmark, block):
-        shared = docs.sparkSession.sparkContext.broadcast(tuple(found))
 
-        def search(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            known, own = Canonical(), Index(*shared.value)
-            for batch in batches:
-                rows = [(i, *m) for i, text in zip(batch.doc_id, batch.text) for m in matches(text, own, known)]
-                yield pd.DataFrame(rows, columns=["doc_id", "item_id", "covered", "consistent"])
-
-        out = out.unionByName(docs.select("doc_id", "text").mapInPandas(search, schema))
-    return out
+def copies(docs: DataFrame, benchmark: DataFrame, block: int = BLOCK) -> DataFrame:
+    """``text_key, item_key, covered, consistent``, one row for each text and item text it holds; stored.
 
+    The keys are the MD5 of the texts; null texts have none.
+    """
+    small_batches(docs.sparkSession)
+    items = benchmark.select(F.md5("text").alias("item_key"), "text").filter("text is not null").dropDuplicates(["item_key"])
+    entries = materialize(item_windows(items), "item-windows")
+    tokens = materialize(item_tokens(items), "items")
+    texts = docs.select(F.md5("text").alias("text_key"), "text").filter("text is not null")
+    found = (
+        text_windows(texts, entries, block).join(entries, ["hash", "size"])
+        # copies of a text give their matches once; tasks combine theirs first
+        .groupBy("text_key", "item_key", "place", "at", "size")
+        .agg(F.max("strong").alias("strong"), F.min("words").alias("words"), F.min("total").alias("total"))
+    )
+    pairs = (
+        found.groupBy("text_key", "item_key")
+        .agg(F.collect_list(F.struct("place", "at", "size", "strong", "words")).alias("hits"), F.max("strong").alias("any_strong"),
+             F.sum("size").alias("reach"), F.min("total").alias("total"))
+        .filter(F.col("any_strong") & (F.col("reach") >= COVER * F.col("total")))
+        .join(tokens, "item_key")
+        .select("text_key", "item_key", "slots", F.col("values").alias("values_"),
+                *(F.col(f"hits.{name}").alias(name) for name in ("place", "at", "size", "strong", "words")))
+    )
+    return materialize(judged(pairs), "copies")
 
-def holds_item(text: Column, benchmark: DataFrame, block: int = BLOCK) -> Column:
-    """Whether a text holds any item of the benchmark."""
-    def lookup(shared) -> Column:
-        def search(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            known, own = Canonical(), Index(*shared.value)
-            for batch in texts:
-                yield pd.Series([bool(matches(text, own, known)) for text in batch], dtype=bool)
 
-        return F.pandas_udf(search, "boolean")(text)
+def contaminations(docs: DataFrame, benchmark: DataFrame, block: int = BLOCK) -> DataFrame:
+    """``doc_id, item_id, covered, consistent``: the items that each whole text holds.
 
-    small_batches(benchmark.sparkSession)
-    held, context = F.lit(False), benchmark.sparkSession.sparkContext
-    for found in blocks(benchmark, block):
-        held = held | lookup(context.broadcast(tuple(found)))
-    return held
+    Null, empty and wordless texts and items hold none and are in none; repeated rows on either
+    side each give theirs; ids may be of any type, be null or clash; other columns are ignored;
+    without rows on either side there are none.
+    """
+    found = copies(docs, benchmark, block)
+    return (
+        docs.select("doc_id", F.md5("text").alias("text_key")).join(found, "text_key")
+        .join(benchmark.select("item_id", F.md5("text").alias("item_key")), "item_key")
+        .select("doc_id", "item_id", "covered", "consistent")
+    )
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that hold no item."""
-    return docs.filter(~holds_item(F.col("text"), benchmark))
+    """The rows of ``docs`` that hold no item; null and empty texts stay."""
+    held = copies(docs, benchmark).select(F.col("text_key").alias("__held")).distinct()
+    return docs.join(held, F.md5(docs["text"]) == held["__held"], "left_anti")
 
 
 def op2_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
