@@ -474,3 +474,32 @@ def test_templates_do_not_depend_on_ids_copies_or_layout(spark, monkeypatch, par
     left = decontamination.decontaminated(docs, bench)
     assert left.columns == docs.columns
     assert Counter((r.doc_id, r.text) for r in left.collect()) == Counter({(1, "no boats here"): 1, (2, None): 1, (3, ""): 1})
+
+
+def test_suffix_statistics_leave_out_the_own_label(spark):
+    rng = random.Random(5)
+    urls_ = [f"https://{rng.choice(['a', 'b', 'c'])}.{rng.choice(['net', 'com', 'org'])}/{rng.choice(['fr', 'es', 'en'])}/{k}" for k in range(300)]
+    pages = spark.createDataFrame(list(enumerate([*urls_, *urls_[:40], None, "", "x"])), "page_id int, url string")
+    rows = [r.asDict() for r in urls.with_suffixes(urls.lexical(pages, urls.RULES)).collect()]
+    assert len(rows) == 343 and len({r["fold"] for r in rows}) == urls.FOLDS
+    for r in rows:
+        used = [o for o in rows if o["label"] is not None and (r["label"] is None or o["fold"] != r["fold"])]
+        assert r["label"] is None or r["url"] not in {o["url"] for o in used}
+        mean = sum(o["label"] for o in used) / max(1, len(used))
+        for suffix in ("top", "domain"):
+            own = [o["label"] for o in used if o[suffix] == r[suffix]]
+            assert r[f"{suffix}_blocked"] == pytest.approx((sum(own) + urls.PRIOR * mean) / (len(own) + urls.PRIOR))
+            assert r[f"{suffix}_share"] == pytest.approx(math.log10(sum(o[suffix] == r[suffix] for o in rows) / len(rows)))
+
+
+def test_learned_verdicts_do_not_follow_chance_labels(spark):
+    # labels by a coin (a rule's path) say nothing of a host: the trees must not tell them apart by the suffixes
+    rng = random.Random(11)
+    rows = [(k, f"https://h{rng.randrange(40)}.net/{rng.choice(['fr', 'de'])}/p{rng.randrange(10**6)}") for k in range(1500)]
+    rules = (urls.Rule("block", "net", "/fr/"), urls.Rule("allow", "net", "/de/"))
+    pages = spark.createDataFrame(rows, "page_id int, url string")
+    seen = [(r.label, r.domain_blocked) for r in urls.with_suffixes(urls.lexical(pages, rules)).collect()]
+    bad, good = ([x for y, x in seen if y == want] for want in (1.0, 0.0))
+    order = sorted(range(len(bad) + len(good)), key=lambda i: (bad + good)[i])
+    auc = (sum(rank for rank, i in enumerate(order) if i < len(bad)) - len(bad) * (len(bad) - 1) / 2) / (len(bad) * len(good))
+    assert 0.4 < auc < 0.6

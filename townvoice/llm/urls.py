@@ -2,7 +2,8 @@
 
 DataFrame and ``pyspark.ml`` functions only. The URLs that a rule covers are the labelled
 ones. Lexical features (length, depth, digit ratio, entropy, parameters, and statistics of
-the host's suffixes) feed gradient-boosted trees; the trees judge the rest.
+the host's suffixes) feed gradient-boosted trees; the trees judge the rest. What a suffix says
+of a labelled URL comes from the labels of other folds, so none is learned from its own label.
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ FEATURES = ["length", "host_length", "path_length", "depth", "labels", "digits",
             "fragment", "secure", "top_blocked", "top_share", "domain_blocked", "domain_share"]
 TRAIN_ROWS = 50_000  # labelled URLs that the trees are fitted on, at most: those of least hash
 PRIOR = 20.0  # labelled URLs that a suffix counts as having besides its own
+FOLDS = 5  # a labelled URL sees the labels of the other folds; equal URLs are in one
 
 
 def parts(url: Column) -> tuple[Column, Column]:
@@ -82,15 +84,32 @@ def lexical(pages: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
 
 
 def with_suffixes(rows: DataFrame) -> DataFrame:
-    """Adds what the labelled and all URLs say of a host's last label and last two labels."""
-    mean = rows.agg(F.coalesce(F.avg("label"), F.lit(0.0))).first()[0]
-    total = max(1, rows.count())
+    """Adds what the labelled and all URLs say of a host's last label and last two labels.
+
+    A labelled URL gets the share of blocked ones among the labelled URLs of the other folds,
+    any other that among all labelled URLs.
+    """
+    rows = rows.withColumn("fold", F.pmod(F.xxhash64(F.lit(5), F.coalesce("url", F.lit(""))), F.lit(FOLDS)).cast("int"))
+    seen = (F.count(F.lit(1)).alias("n"), F.count("label").alias("known"), F.coalesce(F.sum("label"), F.lit(0.0)).alias("bad"))
+    folds = {row.fold: row for row in rows.groupBy("fold").agg(*seen).collect()}
+    total, known, bad = (sum(row[c] for row in folds.values()) for c in ("n", "known", "bad"))
+
+    def mean(other_known: int, other_bad: float) -> Column:
+        return F.lit(other_bad / max(1, other_known))
+
+    means = F.array(*(mean(known - folds[i].known, bad - folds[i].bad) if i in folds else F.lit(0.0) for i in range(FOLDS)))
+    labelled = F.col("label").isNotNull()
+    prior = F.when(labelled, F.get(means, F.col("fold"))).otherwise(mean(known, bad))
     for suffix in ("top", "domain"):
-        counts = rows.groupBy(suffix).agg(
-            F.count(F.lit(1)).alias("n"), F.count("label").alias("known"), F.coalesce(F.sum("label"), F.lit(0.0)).alias("bad"))
-        known = counts.select(suffix, F.log10(F.col("n") / total).alias(f"{suffix}_share"),
-                              ((F.col("bad") + PRIOR * mean) / (F.col("known") + PRIOR)).alias(f"{suffix}_blocked"))
-        rows = rows.join(known, suffix)
+        counts = rows.groupBy(suffix, "fold").agg(*seen).groupBy(suffix).agg(
+            F.sum("n").alias("n"), F.sum("known").alias("known"), F.sum("bad").alias("bad"),
+            F.map_from_entries(F.collect_list(F.struct("fold", F.struct("known", "bad")))).alias("of"))
+        own = F.when(labelled, F.col("of")[F.col("fold")])
+        others = {c: F.col(c) - F.coalesce(own[c], F.lit(0)) for c in ("known", "bad")}
+        rows = rows.join(counts, suffix).withColumns({
+            f"{suffix}_share": F.log10(F.col("n") / max(1, total)),
+            f"{suffix}_blocked": (others["bad"] + PRIOR * prior) / (others["known"] + PRIOR),
+        }).drop("n", "known", "bad", "of")
     return rows
 
 
