@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 from datetime import datetime
+from html.parser import HTMLParser
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,7 +14,8 @@ from townvoice.operators.normalize import default_missing
 from townvoice.plans.registry import QUERIES
 from townvoice.plans import webpages  # noqa: F401 - registers its queries
 from townvoice.sources import pages as G
-from townvoice.sources.markup import parse
+from townvoice.sources import markup
+from townvoice.sources.markup import Element, parse
 
 
 def page(spark, html):
@@ -25,6 +29,55 @@ def test_unclosed_and_stray_tags():
     assert [e.tag for e in root.find("div", "p", "b")] == ["b"]
 
 
+def test_a_tree_is_freed_with_its_page():
+    gc.collect()
+    gc.disable()
+    try:
+        assert parse("<div><p>a<b>b</b></p></div>").first("b").text() == "b"
+        assert not [e for e in gc.get_objects() if isinstance(e, Element)]
+    finally:
+        gc.enable()
+
+
+def test_results_of_a_batch_are_handed_on_in_pieces(monkeypatch):
+    monkeypatch.setattr(G, "PIECE", 40)
+    seen = []
+
+    def pick(tree):
+        seen.append(tree.text())
+        return {"title": tree.text()}
+
+    batch = pa.array(["<p>" + "x" * 30, None, "<p>" + "y" * 30, "<p>z"])
+    pieces = G.picked(iter([batch, batch.slice(3)]), pick, pa.struct([("title", pa.string()), ("like", pa.string())]))
+    assert next(pieces).to_pylist() == [{"title": t, "like": None} for t in ("x" * 30, None, "y" * 30)]
+    assert len(seen) == 2  # nothing is read ahead
+    assert [len(piece) for piece in pieces] == [1, 1]
+
+
+def test_a_batch_in_pieces_keeps_its_rows(spark, monkeypatch):
+    monkeypatch.setattr(G, "PIECE_ROWS", 3)
+    pages = spark.range(1000).coalesce(2).selectExpr("id as page_id", "case when id % 7 > 0 then concat('<title>', id, '</title>') end as html")
+    rows = G.parse_generic(pages).collect()
+    assert sorted((r.page_id, r.title) for r in rows) == [(i, str(i) if i % 7 else None) for i in range(1000)]
+
+
+def shape(element):
+    return element.tag, element.attrs, [c if isinstance(c, str) else shape(c) for c in element.children]
+
+
+def test_plain_tags_are_read_without_the_library(monkeypatch):
+    plain = """<DIV Class="a  b" id="q">x &lt; y<a href="/?a=1&amp;b=&quot;2" href="/z"><br>t</a></p></DIV>"""
+    other = """<p x='1' y=2 z><a href="?a&copy=1">&copy</a><br/><script>"<p>"</script></ p><title>&amp;</title><td x="1"y="2"><3</td >"""
+    fast = shape(parse(plain)), shape(parse(other))
+    with monkeypatch.context() as m:
+        for name in ("START", "END"):
+            m.setattr(markup, name, markup.re.compile("(?!)"))
+        assert fast == (shape(parse(plain)), shape(parse(other)))
+    for name in ("parse_starttag", "parse_endtag"):
+        monkeypatch.setattr(HTMLParser, name, None)
+    assert shape(parse(plain)) == fast[0]
+
+
 DC_LIST = """<table><tr class="ub-content us-post" data-no="7"><td class="gall_tit ub-word"><a href="/v?no=7"><em class="icon"></em> 제목 <b>굵게</b></a>
 <a class="reply_numbox" href="#"><span class="reply_num">[1,012]</span></a></td><td class="gall_date" title="2025-02-24 10:11:12">02.24</td><td class="gall_count">조회 1,234</td></tr>
 <tr class="ub-content us-post" data-no="8"><td class="gall_tit ub-word"><a href="/v?no=8">답 없음</a></td><td class="gall_date" title="2025-02-24 10:00:00">x</td><td class="gall_count">5</td></tr>
