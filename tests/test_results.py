@@ -10,6 +10,7 @@ from townvoice.operators import summary
 from townvoice.operators.sentiment import attach_sentiment
 from townvoice.operators.tracking import tracking_upsert
 from townvoice.schemas import HITS_SCHEMA, POSTS_SCHEMA
+from townvoice.sources import landing
 from townvoice.sources import pages as G
 from townvoice.streaming import tracking as stream
 from townvoice.sources.landing import batch_dir
@@ -81,3 +82,28 @@ def test_a_new_checkpoint_goes_on_from_the_latest_version(spark, tmp_path):
 def test_rows_with_unreadable_counts_are_kept_apart(spark):
     typed = spark.createDataFrame([("/p", "1", 1, None, "2025"), ("/q", "2", 1, 5, "2025")], "url string, post_id string, comment_count int, view int, created_at string")
     assert [r.url for r in typed.dropna(subset=G.NEEDED).collect()] == ["/q"]
+
+
+PATHS = [
+    "file:/a/b/landing-1/2025-02-24/13/45/d0_all_posts.parquet/part-0.snappy.parquet", "s3a://b/l/2025-02-24/0/5/d_1.x_clien_comments.parquet/p",
+    "file:///l/2025-02-24/13/45/d0_posts.parquet_posts.parquet/part", "file:/l/2025-02-24/13/45/broken.parquet/part-1", "file:/2025-02-24/13/45/d1_all_posts.parquet",
+]
+
+
+def test_folder_and_landing_of_a_file(column):
+    folder = lambda c: F.regexp_extract(c, r"([^/]+/[^/]+/[^/]+)/[^/]+/[^/]+$", 1)
+    name = lambda c: F.regexp_extract(c, r"/([^/]+)_(?:posts|comments)\.parquet(?:/[^/]*)?$", 1)
+    assert column(landing.file_folder, PATHS) == column(folder, PATHS)
+    assert column(landing.file_name, PATHS) == column(name, PATHS) == ["d0_all", "d_1.x_clien", "d0_posts.parquet", "", "d1_all"]
+    assert column(landing.file_folder, PATHS[:1]) == ["2025-02-24/13/45"]
+
+
+def test_backfill_finds_folders_without_a_pattern_per_row(spark, tmp_path, monkeypatch):
+    plans, write = [], jobs.materialize
+    monkeypatch.setattr(jobs, "materialize", lambda df, label: plans.append((label, df._jdf.queryExecution().optimizedPlan().toString())) or write(df, label))
+    nested = spark.sql("select 'clien' platform, 't' title, '1' post_id, '/1' url, 'x' content, '5' view, timestamp_ntz '2025-01-01' created_at, '1' like, "
+                       "cast(null as string) dislike, '0' comment_count, array('k') keywords, cast(null as string) sentiment, 'UNCHANGED' status, "
+                       "cast(array() as array<struct<created_at:timestamp_ntz,content:string,like:string,dislike:string,sentiment:string>>) comment")
+    landing.land_nested(nested, str(tmp_path / "l"), "2025-02-24T13:45:03", None, "d0")
+    assert [(str(r.checked_at), r.total_posts_comments) for r in jobs.backfill(spark, str(tmp_path / "l")).collect()] == [("2025-02-24 13:45:03", 1)]
+    assert "regexp" not in dict(plans)["batch-times"]

@@ -26,7 +26,7 @@ from .lexicon import DEFAULT_LEXICON, Lexicon
 from .operators.summary import batch_summary, project_posts, summary_history
 from .schemas import COMMENTS_SCHEMA, HITS_SCHEMA, POSTS_SCHEMA
 from .session import materialize
-from .sources.landing import batch_dir, empty_batch_check, file_name, landings, scan_comments, scan_tolerant
+from .sources.landing import batch_dir, empty_batch_check, file_folder, file_name, landings, scan_comments, scan_tolerant
 from .sources.ledger import listed
 from .sources.sinks import load_append, write_curated, write_summary
 from .streaming.tracking import stream_tracking
@@ -67,8 +67,8 @@ def backfill(spark: SparkSession, landing: str, lexicon: Lexicon = DEFAULT_LEXIC
     batches = f"{landing}/*/*/*"
     rows = spark.read.schema(POSTS_SCHEMA).option("ignoreCorruptFiles", "true").parquet(f"{batches}/*.parquet")
     # the folder is the batch: a row without a time belongs to the batch it lies in
-    folder = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+/[^/]+/[^/]+)/[^/]+/[^/]+$", 1)
-    placed = rows.select("*", folder.alias("folder"), file_name(F.col("_metadata.file_path")).alias("name"))
+    path = F.col("_metadata.file_path")
+    placed = rows.select("*", file_folder(path).alias("folder"), file_name(path).alias("name"))
     noted = materialize(landings(spark, batches), "landings")
     hidden = noted.filter("state <> 'committed'").select("folder", "name")
     if not hidden.isEmpty():

@@ -64,9 +64,17 @@ def _note(spark: SparkSession, root: str, checked_at: str, name: str, platform:
     row.coalesce(1).write.mode("append").json(f"{root}/{batch_dir(checked_at)}/_landings")
 
 
+def file_folder(path: Column) -> Column:
+    """The batch folder of a file, as ``yyyy-MM-dd/H/m``, from its path.
+
+    It is cut out for every row: a pattern, tried at each place of the path, costs far more.
+    """
+    return F.substring_index(F.substring_index(path, "/", -5), "/", 3)
+
+
 def file_name(path: Column) -> Column:
     """The landing a file belongs to, from its path."""
-    return F.regexp_extract(path, r"/([^/]+)_(?:posts|comments)\.parquet(?:/[^/]*)?$", 1)
+    return F.regexp_extract(F.substring_index(path, "/", -3), r"/([^/]+)_(?:posts|comments)\.parquet(?:/[^/]*)?$", 1)
 
 
 def _committed(df: DataFrame, root: str, checked_at: str) -> DataFrame:
