@@ -166,3 +166,13 @@ def test_backfill_has_a_row_for_a_batch_without_rows(spark, tmp_path):
     want = spark.read.parquet(path).first()
     got = {str(r.checked_at): r for r in jobs.backfill(spark, root).collect()}
     assert set(got) == {"2025-02-24 03:05:03", "2025-02-24 04:10:07"} and got["2025-02-24 04:10:07"].asDict() == want.asDict()
+
+
+def test_listing_pages_come_with_their_document_in_one_pass(spark, sf_dir):
+    from townvoice.plans.collecting import listings
+
+    pages = listings(spark, sf_dir)
+    assert "Join" not in pages._jdf.queryExecution().optimizedPlan().toString()
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    got = sorted((r.page_id, r.lang, r.source) for r in pages.select("page_id", "lang", "source").collect())
+    assert got == sorted((r.doc_id, r.lang, r.source) for r in documents.select("doc_id", "lang", "source").collect())
