@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import random
 from datetime import datetime
 from html.parser import HTMLParser
 
@@ -78,6 +79,32 @@ def test_plain_tags_are_read_without_the_library(monkeypatch):
     assert shape(parse(plain)) == fast[0]
 
 
+def test_a_run_of_plain_markup_is_read_in_one_go(monkeypatch):
+    calls, read = [], markup._Builder.parse_starttag
+    monkeypatch.setattr(markup._Builder, "parse_starttag", lambda self, i: calls.append(i) or read(self, i))
+    assert len(list(parse("<ul>" + '<li class="a b">x<br>&lt;</li> ' * 500 + "</ul><p>").find("li.b.a"))) == 500
+    assert len(calls) == 1
+
+
+def test_any_mix_of_markup_makes_the_same_tree(monkeypatch):
+    parts = ["<p>", "</p>", "<Li A='1'>", "</LI>", "<br>", "<br/>", '<a href="?x=1&amp;y" B="&copy">', "</a>", "</a >", "<title>", "</title>", "<script>",
+             "</script>", "<!-- <p> -->", "<!x>", "<3", "<", ">", "&amp;", "&copy", "&", "\n", " text ", "</", '<td x="1"y="2">', "</>", '<i class="a b">', "</i>"]
+    pick = random.Random(7)
+    pages = ["".join(pick.choices(parts, k=pick.randrange(30))) for _ in range(3000)]
+    fast = [shape(parse(page)) for page in pages]
+    for name in ("START", "END", "NEXT"):
+        monkeypatch.setattr(markup, name, markup.re.compile("(?!)"), raising=False)
+    assert fast == [shape(parse(page)) for page in pages]
+
+
+def test_results_become_arrow_columns_field_by_field():
+    for kind, rows in ((G.DETAIL, [{}, {"title": "t", "comment": []}, {"comment": [{"content": "c", "blocked": True}, {}]}, {"comment": None}]),
+                       (G.LISTING_ROWS, [[], [{"title": "t"}, {}], []]), (G.GENERIC, [{"links": ["a", None]}, {}]), (G.DETAIL, [])):
+        made = G.column_of(rows, G.arrow_type(kind))
+        made.validate(full=True)
+        assert made.equals(pa.array(rows, G.arrow_type(kind)))
+
+
 DC_LIST = """<table><tr class="ub-content us-post" data-no="7"><td class="gall_tit ub-word"><a href="/v?no=7"><em class="icon"></em> 제목 <b>굵게</b></a>
 <a class="reply_numbox" href="#"><span class="reply_num">[1,012]</span></a></td><td class="gall_date" title="2025-02-24 10:11:12">02.24</td><td class="gall_count">조회 1,234</td></tr>
 <tr class="ub-content us-post" data-no="8"><td class="gall_tit ub-word"><a href="/v?no=8">답 없음</a></td><td class="gall_date" title="2025-02-24 10:00:00">x</td><td class="gall_count">5</td></tr>
