@@ -176,3 +176,18 @@ def test_listing_pages_come_with_their_document_in_one_pass(spark, sf_dir):
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
     got = sorted((r.page_id, r.lang, r.source) for r in pages.select("page_id", "lang", "source").collect())
     assert got == sorted((r.doc_id, r.lang, r.source) for r in documents.select("doc_id", "lang", "source").collect())
+
+
+def test_refused_pages_come_out_of_the_pass_that_reads_pages(spark, tmp_path):
+    platforms = ["clien", "dcinside", "bobaedream", "elsewhere"]
+    claimed = spark.createDataFrame([(p, u, u, ["k"], 1, 2) for p in platforms for u in "abc"],
+                                    "platform string, url string, post_id string, keywords array<string>, view int, comment_count int").withColumn("created_at", ntz(NOW.replace("T", " ")))
+    spark.createDataFrame([(p, u, None if u == "a" else "<p>") for p in platforms for u in "ab"], "platform string, url string, html string").write.parquet(f"{tmp_path}/pages")
+    outcomes = collect.nested_details(claimed, spark.read.parquet(f"{tmp_path}/pages"))[1]
+    plan = outcomes._jdf.queryExecution().executedPlan().toString()
+    assert "html" not in plan
+    found = {(r.platform, r.url): r.outcome for r in outcomes.collect()}
+    assert len(found) == outcomes.count() == 11
+    assert {p: found[p, "a"] for p in platforms} == dict.fromkeys(platforms, "banned")
+    assert {p: found[p, "c"] for p in platforms} == dict.fromkeys(platforms, "unseen")
+    assert [found.get((p, "b")) for p in platforms] == ["failed", "read", "failed", None]
