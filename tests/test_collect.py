@@ -191,3 +191,20 @@ def test_refused_pages_come_out_of_the_pass_that_reads_pages(spark, tmp_path):
     assert {p: found[p, "a"] for p in platforms} == dict.fromkeys(platforms, "banned")
     assert {p: found[p, "c"] for p in platforms} == dict.fromkeys(platforms, "unseen")
     assert [found.get((p, "b")) for p in platforms] == ["failed", "read", "failed", None]
+
+
+def test_texts_of_posts_are_written_once_and_take_part_in_no_join(spark, tmp_path):
+    time = ntz(NOW.replace("T", " "))
+    claimed = spark.createDataFrame([("clien", "a", "1", ["k"], 5, 2), ("dcinside", "a", "1", ["k"], 6, 3), ("dcinside", "b", "2", ["k"], 7, 4)],
+                                    "platform string, url string, post_id string, keywords array<string>, view int, comment_count int").withColumn("created_at", time)
+    listed = '<title>T</title><li class="ub-content"><div class="clear cmt_txtbox"><p class="usertxt ub-word">one</p></div></li>'
+    spark.createDataFrame([("clien", "a", CLIEN), ("dcinside", "a", listed), ("dcinside", "b", "<p>")], DETAILS).write.parquet(f"{tmp_path}/pages")
+    labels = '{"게시글_감정": "negative", "댓글_분석": [{"내용": "one", "감정": "positive"}, {"내용": "two", "감정": "neutral"}]}'
+    replies = spark.createDataFrame([("dcinside", "1", labels), ("dcinside", "9", labels)], "platform string, post_id string, reply string")
+    posts = collect.nested_details(claimed, spark.read.parquet(f"{tmp_path}/pages"), replies)[0]
+    assert "Join" not in posts._jdf.queryExecution().optimizedPlan().toString()
+    got = {(r.platform, r.url): (r.sentiment, r.view, r.comment_count, r.created_at.isoformat(), [(c.content, c.sentiment, c.created_at.isoformat()) for c in r.comment])
+           for r in posts.collect()}
+    assert got == {
+        ("clien", "a"): (None, "5", "8", NOW, []), ("dcinside", "a"): ("negative", "6", "3", NOW, [("one", "positive", NOW)]),
+        ("dcinside", "b"): (None, "7", "4", NOW, [])}

@@ -22,12 +22,20 @@ def attach_sentiment(nested: DataFrame, replies: DataFrame, keys: tuple[str, ...
     beyond the labels stay NULL; the position inside the post's own array is the key,
     so nothing depends on row order.
     """
+    labelled = nested.join(reply_labels(replies, keys, lenient), list(keys), "left")
+    return put_labels(labelled).select(*nested.columns)
+
+
+def reply_labels(replies: DataFrame, keys: tuple[str, ...] = ("platform", "post_id"), lenient: bool = False) -> DataFrame:
+    """The labels of every post that has a reply, one row per post."""
     single = replies.groupBy(*keys).agg(F.max("reply").alias("reply"))
-    labels = single.select(*keys, parse_sentiment_json(F.col("reply"), lenient).alias("_labels"))
+    return single.select(*keys, parse_sentiment_json(F.col("reply"), lenient).alias("_labels"))
+
+
+def put_labels(nested: DataFrame) -> DataFrame:
+    """:func:`attach_sentiment` for rows that carry their labels; leaves those out."""
     label_at = lambda i: F.get("_labels.comments", i)
-    return (
-        nested.join(labels, list(keys), "left")
-        .withColumn("sentiment", F.col("_labels.label"))
-        .withColumn("comment", F.transform("comment", lambda c, i: c.withField("sentiment", label_at(i))))
-        .select(*nested.columns)
-    )
+    return nested.withColumns({
+        "sentiment": F.col("_labels.label"),
+        "comment": F.transform("comment", lambda c, i: c.withField("sentiment", label_at(i))),
+    }).drop("_labels")
