@@ -107,6 +107,21 @@ def test_upsert_equals_a_plain_loop(spark, rule, seed, n, urls, views, threshold
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
+@pytest.mark.parametrize("rule", ["literal", "documented"])
+def test_urls_stay_whole_where_none_is_hot(spark, rule):
+    """Ranges are found by a further pass over the hits; it is made only where a URL may fill one."""
+    rng = random.Random(5)
+    hits = [dict(h, url=f"/{n % 60}") for n, h in enumerate(random_hits(rng, 1500, 60, 400, 0.2, ["a", "b", "", "c"], 600))]
+    hot = [dict(h, platform="clien", url="/hot") for h in random_hits(rng, 1500, 2, 400, 0.2, ["a", ""], 600, first_seq=len(hits))]
+    for rows, ranged in ((hits, False), (hits + hot, True)):
+        got = T.tracking_upsert(None, frame(spark, rows), rule=rule)
+        assert ("rangepartitioning" in got._jdf.queryExecution().executedPlan().toString()) == ranged
+        assert result(got) == plain_upsert([], rows, 100, rule == "documented")
+        state = [dict(zip(TRACKING_SCHEMA.names, row)) for row in plain_upsert([], rows[::2], 100, rule == "documented").values()]
+        again = T.tracking_upsert(frame(spark, state, TRACKING_SCHEMA), frame(spark, rows[1::2]), rule=rule)
+        assert result(again) == plain_upsert(state, rows[1::2], 100, rule == "documented")
+
+
 def upsert_one(spark, *hits, **options):
     rows = result(T.tracking_upsert(None, frame(spark, hits), **options))
     return {url: dict(zip(TRACKING_SCHEMA.names, row)) for (_, url), row in rows.items()}
