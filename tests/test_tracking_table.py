@@ -7,6 +7,7 @@ import os
 import random
 from datetime import timedelta
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from test_tracking import T0, frame, hit, plain_upsert, random_hits, result
@@ -93,6 +94,15 @@ def test_bytes_follow_the_hits(spark, tmp_path):
     assert S.read_table(spark, path).filter("array_contains(keywords, 'new')").count() == 20
 
 
+def test_hits_that_lie_in_one_file_are_read_by_several_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(S, "ROW_GROUP", 64 << 10, raising=False)
+    path, rows = f"{tmp_path}/t", random_hits(random.Random(2), 12_000, 40, 400, 0.1, ["k", "l", ""], 900)
+    S.upsert_table(spark, path, frame(spark, rows).coalesce(1), buckets=4)
+    files = glob.glob(f"{path}/scratch/*-hits/part-*.parquet")
+    assert len(files) == 1 and pq.ParquetFile(files[0]).num_row_groups > 1
+    assert result(S.read_table(spark, path)) == plain_upsert([], rows, 100, False)
+
+
 def test_claims_read_waiting_rows_and_equal_the_plain_operator(spark, tmp_path, quick):
     path, state = f"{tmp_path}/t", some_state(spark, 400)
     S.seed_table(state, path, buckets=4)
